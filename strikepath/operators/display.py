@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from strikepath.functions.clock import parse_number
 from strikepath.functions.prices import looks_like_dollars, quote_mid, quote_spread
 
+DISPLAY_DIGITS = 6
+
 # Column names.
 PRICE_COLUMNS = (
     "yes_price_cents",
@@ -96,8 +98,11 @@ def with_display_prices(df: DataFrame, any_column: bool = False, decide_on: Data
     ``decide_on`` may be a cheaper frame with the same prices.
     """
     facts = price_multiplier(df if decide_on is None else decide_on, any_column)
+    # A millionth of a cent is far below any price step; rounding there drops
+    # the noise of binary differences, so equal moves compare as equal.
     shown = {
-        f"{c}_display": parse_number(c) * F.col("multiplier") for c in _present(df, PRICE_COLUMNS + CHANGE_COLUMNS)
+        f"{c}_display": F.round(parse_number(c) * F.col("multiplier"), DISPLAY_DIGITS)
+        for c in _present(df, PRICE_COLUMNS + CHANGE_COLUMNS)
     }
     return per_week(df, facts).withColumns(shown).drop("multiplier")
 
