@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,71 +53,71 @@ class Data:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
-    @property
+    @cached_property
     def micro(self) -> DataFrame:
         return adapters.micro_1s(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def markets(self) -> DataFrame:
         return match.clean_markets(adapters.markets(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def labels(self) -> DataFrame:
         return match.clean_labels(adapters.labels(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def trades(self) -> DataFrame:
         return adapters.trades(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def bars(self) -> DataFrame:
         return bars.ohlc_bars(self.micro)
 
-    @property
+    @cached_property
     def leading(self) -> DataFrame:
         return bars.keep_dominant(self.bars)
 
-    @property
+    @cached_property
     def matches(self) -> DataFrame:
         return match.threshold_matches(self.markets, self.leading)
 
-    @property
+    @cached_property
     def quotes(self) -> DataFrame:
         """Panel without decision columns, with week and buckets."""
         base = panel.with_week(adapters.contract_quotes(self.spark, self.sf_dir))
         return self._named(panel.with_buckets(base))
 
-    @property
+    @cached_property
     def contracts(self) -> DataFrame:
         """Whole panel with week and buckets, no changes."""
         base = panel.with_week(adapters.contract_1s(self.spark, self.sf_dir))
         return self._named(panel.with_buckets(base))
 
-    @property
+    @cached_property
     def moves(self) -> DataFrame:
         """Features without decision columns."""
         return panel.panel_features(adapters.contract_quotes(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def features(self) -> DataFrame:
         return panel.panel_features(
             adapters.contract_1s(self.spark, self.sf_dir),
             sized_by=adapters.contract_quotes(self.spark, self.sf_dir),
         )
 
-    @property
+    @cached_property
     def decisions(self) -> DataFrame:
         return summary.decision_times(self.contracts)
 
-    @property
+    @cached_property
     def summary(self) -> DataFrame:
         return summary.contract_summary(self.contracts)
 
-    @property
+    @cached_property
     def contract_moves(self) -> DataFrame:
         return views.contract_moves(self.moves)
 
-    @property
+    @cached_property
     def micro_frame(self) -> DataFrame:
         return views.micro_frame(self.quotes)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRING, DOUBLE, LONG, INT = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
@@ -170,18 +169,18 @@ def conform(df: DataFrame, contract: T.StructType, required: tuple[str, ...] | N
     if missing:
         raise ValueError(f"missing required columns: {', '.join(missing)}")
     present = {field.name: field.dataType for field in df.schema}
-    return df.select(*[_cell(field, present.get(field.name)).alias(field.name) for field in contract])
+    return df.selectExpr(*[_cell(field, present.get(field.name)) for field in contract])
 
 
-def _cell(field: T.StructField, found: T.DataType | None):
+def _cell(field: T.StructField, found: T.DataType | None) -> str:
+    name, kind = f"`{field.name}`", field.dataType.simpleString()
     if found is None:
-        return F.lit(None).cast(field.dataType)
-    column = F.col(field.name)
-    if found != field.dataType:
-        column = column.try_cast(field.dataType)
-    if isinstance(field.dataType, T.DoubleType):
-        column = F.when(~F.isnan(column), column)
-    return column
+        return f"cast(NULL AS {kind}) AS {name}"
+    value = name if found == field.dataType else f"try_cast({name} AS {kind})"
+    # Whole numbers cannot become NaN.
+    if isinstance(field.dataType, T.DoubleType) and not isinstance(found, T.IntegralType):
+        value = f"CASE WHEN NOT isnan({value}) THEN {value} END"
+    return f"{value} AS {name}"
 
 
 def keep_existing(df: DataFrame, *names: str) -> DataFrame:

@@ -13,6 +13,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a Python call site for every column costs more than small plans do.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

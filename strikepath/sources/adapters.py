@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strikepath import roles
-from strikepath.functions import clock
 from strikepath.functions.aggregates import first_by, last_by, rows
 from strikepath.session import use_utc
 
-BASE_PRICE = 100_000.0
-REFERENCE_PRICE = 100_500.0
 WEEK_MICROS = 604_800_000_000
 LIFE_SECONDS = 900
 DECIDED_AT = 95
@@ -35,90 +32,84 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``."""
-    return (
-        load(spark, sf_dir, "events")
-        .withColumns(
-            {
-                "k": F.get_json_object("props", "$.k").cast("int"),
-                "px": BASE_PRICE + F.col("value") * 10,
-                "wk": clock.week_start("ts"),
-                "w15": clock.floor_to("ts"),
-            }
-        )
-        .drop("props")
+    return load(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "ts",
+        "user_id",
+        "event_type",
+        "value",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "1e5 + value * 10 AS px",
+        "date_trunc('WEEK', ts) AS wk",
+        "timestamp_seconds(unix_seconds(ts) - pmod(unix_seconds(ts), 900)) AS w15",
     )
 
 
 def micro_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("k")
-    spread = 5 + k / 10
-    regime = F.when(k < 10, F.lit(None)).when(k < 40, "low").when(k < 70, "mid").otherwise("high")
-    df = quotes(spark, sf_dir).select(
-        F.col("ts").alias("timestamp"),
-        F.col("event_type").alias("symbol"),
-        F.col("px").alias("mid_price"),
-        spread.alias("spread"),
-        (spread / F.col("px") * 1e4).alias("spread_bps"),
-        (1 + k % 3).alias("trade_count"),
-        F.col("value").alias("trade_volume"),
-        F.when(k >= 10, k / 100).alias("rv_60s"),
-        regime.alias("vol_regime"),
-        (F.col("value") > 150).alias("event_large_move"),
+    df = quotes(spark, sf_dir).selectExpr(
+        "ts AS timestamp",
+        "event_type AS symbol",
+        "px AS mid_price",
+        "5 + k / 10 AS spread",
+        "(5 + k / 10) / px * 1e4 AS spread_bps",
+        "1 + k % 3 AS trade_count",
+        "value AS trade_volume",
+        "CASE WHEN k >= 10 THEN k / 100 END AS rv_60s",
+        "CASE WHEN k < 10 THEN NULL WHEN k < 40 THEN 'low' WHEN k < 70 THEN 'mid' ELSE 'high' END AS vol_regime",
+        "value > 150 AS event_large_move",
     )
     return roles.conform(df, roles.MICRO_1S)
 
 
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("k")
     df = (
         quotes(spark, sf_dir)
-        .where(F.col("event_type") == "signup")
-        .select(
-            F.concat(F.lit("M"), "event_id").alias("ticker"),
-            F.concat(F.lit("E"), "user_id").alias("event_ticker"),
-            F.lit("BTC above strike").alias("title"),
-            F.lit("15 minutes").alias("subtitle"),
-            F.col("w15").alias("open_time"),
-            (F.col("w15") + F.expr("INTERVAL 15 MINUTES")).alias("close_time"),
-            (BASE_PRICE + 10 * k).alias("floor_strike"),
-            F.lit("greater").alias("strike_type"),
-            (k % 2).alias("result_binary"),
-            (k / 100).alias("last_price"),
-            ((k + 1) / 100).alias("yes_ask"),
-            ((k - 1) / 100).alias("yes_bid"),
-            F.lit(0.02).alias("spread"),
-            F.col("value").alias("volume"),
-            (k * 2).alias("open_interest"),
-            (F.col("value") * 3).alias("liquidity"),
-            F.lit("day").alias("session"),
-            F.when(k < 50, "low").otherwise("high").alias("price_bucket"),
+        .where("event_type = 'signup'")
+        .selectExpr(
+            "concat('M', event_id) AS ticker",
+            "concat('E', user_id) AS event_ticker",
+            "'BTC above strike' AS title",
+            "'15 minutes' AS subtitle",
+            "w15 AS open_time",
+            "w15 + INTERVAL 15 MINUTES AS close_time",
+            "1e5 + 10 * k AS floor_strike",
+            "'greater' AS strike_type",
+            "k % 2 AS result_binary",
+            "k / 100 AS last_price",
+            "(k + 1) / 100 AS yes_ask",
+            "(k - 1) / 100 AS yes_bid",
+            "2e-2 AS spread",
+            "value AS volume",
+            "k * 2 AS open_interest",
+            "value * 3 AS liquidity",
+            "'day' AS session",
+            "CASE WHEN k < 50 THEN 'low' ELSE 'high' END AS price_bucket",
         )
     )
     return roles.conform(df, roles.MARKETS)
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    move = F.col("close_price") - F.col("decision_price")
     df = (
         quotes(spark, sf_dir)
-        .where(F.col("event_type") == "click")
+        .where("event_type = 'click'")
         .groupBy(F.col("w15").alias("window_start"))
         .agg(
             first_by("px", "ts").alias("decision_price"),
             last_by("px", "ts").alias("close_price"),
             rows().alias("n"),
         )
-        .select(
+        .selectExpr(
             "window_start",
-            (F.col("window_start") + F.expr("INTERVAL 15 MINUTES")).alias("window_end"),
-            (F.col("window_start") + F.expr("INTERVAL 10 MINUTES")).alias("decision_point"),
-            (F.col("window_start") + F.expr("INTERVAL 14 MINUTES")).alias("close_start"),
+            "window_start + INTERVAL 15 MINUTES AS window_end",
+            "window_start + INTERVAL 10 MINUTES AS decision_point",
+            "window_start + INTERVAL 14 MINUTES AS close_start",
             "decision_price",
             "close_price",
-            (F.col("n") == 1).alias("has_gap"),
-            move.alias("price_change"),
-            (move / F.col("decision_price") * 100).alias("price_change_pct"),
-            (move > 0).cast("int").alias("label"),
+            "n = 1 AS has_gap",
+            "close_price - decision_price AS price_change",
+            "(close_price - decision_price) / decision_price * 100 AS price_change_pct",
+            "cast(close_price - decision_price > 0 AS int) AS label",
         )
     )
     return roles.conform(df, roles.LABELS)
@@ -126,64 +117,57 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _panel_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel columns that come straight from one event."""
-    k, px, wk, ts = F.col("k"), F.col("px"), F.col("wk"), F.col("ts")
-    elapsed = F.unix_micros(ts) - F.unix_micros(wk)
-    left_seconds = (WEEK_MICROS - elapsed) * F.lit(float(LIFE_SECONDS)) / float(WEEK_MICROS)
-    gap = px - REFERENCE_PRICE
-    z = gap / REFERENCE_PRICE * 1e4
-    spread = 5 + k / 10
-    user = F.col("user_id")
     return (
         quotes(spark, sf_dir)
-        .withColumn("left_seconds", left_seconds)
-        .select(
-            F.concat(F.lit("C"), "user_id", F.lit("-"), F.date_format("wk", "yyyyMMdd")).alias("ticker"),
-            clock.floor_second("ts").alias("second"),
-            F.floor(elapsed * F.lit(LIFE_SECONDS) / F.lit(WEEK_MICROS)).alias("relative_second"),
-            F.floor("left_seconds").alias("seconds_to_close"),
-            (F.col("left_seconds") / 60).alias("minutes_to_close"),
-            wk.alias("contract_open_time"),
-            (wk + F.expr("INTERVAL 7 DAYS") - F.expr("INTERVAL 1 SECOND")).alias("contract_close_time"),
-            F.col("event_type").alias("selected_futures_symbol"),
-            F.col("event_type").alias("futures_symbol"),
-            F.lit("futures_mid").alias("underlying_source"),
-            px.alias("underlying_value"),
-            F.lit(REFERENCE_PRICE).alias("reference_underlying"),
-            gap.alias("underlying_diff"),
-            (px / REFERENCE_PRICE - 1).alias("underlying_return_from_open"),
-            z.alias("underlying_bps_from_open"),
-            (k / 1e4).alias("underlying_return_1s"),
-            F.ln(px / REFERENCE_PRICE).alias("log_moneyness"),
-            (gap / 1000).alias("z_moneyness"),
-            z.alias("z_bps"),
-            F.abs(z).alias("abs_z_bps"),
-            F.col("left_seconds").alias("time_to_close_seconds"),
-            (F.col("left_seconds") / LIFE_SECONDS).alias("time_to_close_frac_15m"),
-            k.alias("yes_state_cents"),
-            (100 - k).alias("no_state_cents"),
-            (k / 100).alias("kalshi_yes_price"),
-            (1 - k / 100).alias("kalshi_no_price"),
-            F.least(F.greatest(k / 100, F.lit(0.01)), F.lit(0.99)).alias("kalshi_yes_price_clipped"),
-            (1 + k % 3).alias("trade_count"),
-            F.col("value").alias("trade_size"),
-            (F.col("event_type") == "purchase").alias("has_trade_this_second"),
-            F.when(user % 3 == 0, "YES").when(user % 3 == 1, "NO").alias("inferred_winner"),
-            F.when(user % 3 == 0, 1).when(user % 3 == 1, 0).alias("outcome_yes"),
-            F.lit(True).alias("has_underlying"),
-            F.lit(True).alias("underlying_path_complete"),
-            F.lit(True).alias("has_futures_observation"),
-            (k % 10).alias("seconds_since_last_futures_update"),
-            (k % 10 > 5).alias("is_futures_stale"),
-            (px - spread / 2).alias("best_bid"),
-            (px + spread / 2).alias("best_ask"),
-            spread.alias("spread"),
-            (spread / px * 1e4).alias("spread_bps"),
-            F.lit(True).alias("is_valid_spread"),
-            F.when(ts < F.lit(PERIOD_SPLIT).cast("timestamp"), "early").otherwise("late").alias("data_source_period"),
-            ts.alias("observed_at"),
+        .selectExpr("*", "unix_micros(ts) - unix_micros(wk) AS elapsed")
+        .selectExpr("*", f"({WEEK_MICROS} - elapsed) * {LIFE_SECONDS}e0 / {WEEK_MICROS} AS left_s", "px - 100500 AS gap")
+        .selectExpr(
+            "concat('C', user_id, '-', date_format(wk, 'yyyyMMdd')) AS ticker",
+            "date_trunc('SECOND', ts) AS second",
+            f"(elapsed * {LIFE_SECONDS}) div {WEEK_MICROS} AS relative_second",
+            "floor(left_s) AS seconds_to_close",
+            "left_s / 60 AS minutes_to_close",
+            "wk AS contract_open_time",
+            "wk + INTERVAL 7 DAYS - INTERVAL 1 SECOND AS contract_close_time",
+            "event_type AS selected_futures_symbol",
+            "event_type AS futures_symbol",
+            "'futures_mid' AS underlying_source",
+            "px AS underlying_value",
+            "100500e0 AS reference_underlying",
+            "gap AS underlying_diff",
+            "px / 100500 - 1 AS underlying_return_from_open",
+            "gap / 100500 * 1e4 AS underlying_bps_from_open",
+            "k / 1e4 AS underlying_return_1s",
+            "ln(px / 100500) AS log_moneyness",
+            "gap / 1000 AS z_moneyness",
+            "gap / 100500 * 1e4 AS z_bps",
+            "abs(gap / 100500 * 1e4) AS abs_z_bps",
+            "left_s AS time_to_close_seconds",
+            f"left_s / {LIFE_SECONDS} AS time_to_close_frac_15m",
+            "k AS yes_state_cents",
+            "100 - k AS no_state_cents",
+            "k / 100 AS kalshi_yes_price",
+            "1 - k / 100 AS kalshi_no_price",
+            "least(greatest(k / 100, 1e-2), 99e-2) AS kalshi_yes_price_clipped",
+            "1 + k % 3 AS trade_count",
+            "value AS trade_size",
+            "event_type = 'purchase' AS has_trade_this_second",
+            "CASE user_id % 3 WHEN 0 THEN 'YES' WHEN 1 THEN 'NO' END AS inferred_winner",
+            "CASE user_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS outcome_yes",
+            "true AS has_underlying",
+            "true AS underlying_path_complete",
+            "true AS has_futures_observation",
+            "k % 10 AS seconds_since_last_futures_update",
+            "k % 10 > 5 AS is_futures_stale",
+            "px - (5 + k / 10) / 2 AS best_bid",
+            "px + (5 + k / 10) / 2 AS best_ask",
+            "5 + k / 10 AS spread",
+            "(5 + k / 10) / px * 1e4 AS spread_bps",
+            "true AS is_valid_spread",
+            f"CASE WHEN ts < timestamp '{PERIOD_SPLIT}' THEN 'early' ELSE 'late' END AS data_source_period",
+            "ts AS observed_at",
             "user_id",
             "wk",
-            "k",
         )
     )
 
@@ -207,16 +191,15 @@ def contract_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("user_id", "wk")
         .agg(F.min("ts").alias("decision_time"))
     )
-    left = WEEK_MICROS - (F.unix_micros("decision_time") - F.unix_micros("wk"))
     df = (
         _panel_base(spark, sf_dir)
         .join(decided, ["user_id", "wk"], "left")
-        .withColumns(
-            {
-                "decision_found": F.col("decision_time").isNotNull(),
-                "minutes_before_close_at_decision": left * F.lit(float(LIFE_SECONDS)) / float(WEEK_MICROS) / 60,
-                "is_after_decision": F.coalesce(F.col("observed_at") >= F.col("decision_time"), F.lit(False)),
-            }
+        .selectExpr(
+            "*",
+            "decision_time IS NOT NULL AS decision_found",
+            f"({WEEK_MICROS} - (unix_micros(decision_time) - unix_micros(wk))) * {LIFE_SECONDS}e0 / {WEEK_MICROS} / 60"
+            " AS minutes_before_close_at_decision",
+            "coalesce(observed_at >= decision_time, false) AS is_after_decision",
         )
     )
     return roles.conform(df, PANEL)
@@ -225,12 +208,7 @@ def contract_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (
         quotes(spark, sf_dir)
-        .where(F.col("event_type") == "purchase")
-        .select(
-            F.col("ts").alias("ts_event"),
-            F.col("px").alias("price"),
-            (1 + F.col("k") % 5).alias("size"),
-            F.col("event_type").alias("symbol"),
-        )
+        .where("event_type = 'purchase'")
+        .selectExpr("ts AS ts_event", "px AS price", "1 + k % 5 AS size", "event_type AS symbol")
     )
     return roles.conform(df, roles.TRADES)
