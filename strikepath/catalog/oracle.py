@@ -205,11 +205,11 @@ VIEWS: dict[str, str] = {
                                OR quantile_cont(abs(no_price_cents), 0.99) <= 1.5 THEN 100e0 ELSE 1e0 END AS m
         FROM feat GROUP BY 1""",
     "moved": """
-        SELECT f.*, round(yes_price_cents * m, 6) AS yes_price_cents_display,
-               round(no_price_cents * m, 6) AS no_price_cents_display,
-               round(yes_price_change_1s * m, 6) AS yes_price_change_1s_display,
-               round(yes_price_change_5s * m, 6) AS yes_price_change_5s_display,
-               abs(round(yes_price_change_5s * m, 6)) AS abs_yes_price_change_5s_display
+        SELECT f.*, floor((yes_price_cents * m) * 1e6 + 0.5e0) / 1e6 AS yes_price_cents_display,
+               floor((no_price_cents * m) * 1e6 + 0.5e0) / 1e6 AS no_price_cents_display,
+               floor((yes_price_change_1s * m) * 1e6 + 0.5e0) / 1e6 AS yes_price_change_1s_display,
+               floor((yes_price_change_5s * m) * 1e6 + 0.5e0) / 1e6 AS yes_price_change_5s_display,
+               abs(floor((yes_price_change_5s * m) * 1e6 + 0.5e0) / 1e6) AS abs_yes_price_change_5s_display
         FROM feat f JOIN unit USING (week_id)""",
     "both_moved": """
         SELECT * FROM moved WHERE yes_price_change_1s IS NOT NULL AND yes_price_change_5s IS NOT NULL""",
@@ -258,7 +258,7 @@ VIEWS: dict[str, str] = {
     "decision_marks": """
         SELECT f.week_id, f.ticker, min(f.contract_close_time) AS close_marker,
                make_timestamp(epoch_us(min(f.contract_close_time))
-                 - CAST(round(min(y.minutes_before_close_at_decision) * 60000000) AS BIGINT)) AS decision_marker
+                 - CAST(floor(min(y.minutes_before_close_at_decision) * 60000000 + 0.5e0) AS BIGINT)) AS decision_marker
         FROM feat f LEFT JOIN yes_dec y ON f.ticker = y.ticker GROUP BY 1, 2""",
     "six": """
         SELECT week_id FROM feat GROUP BY week_id HAVING bool_or(data_source_period = 'late')""",
@@ -287,8 +287,7 @@ def pick(columns: str, source: str, tail: str = "", distinct: bool = False) -> s
         elif kind == "day":
             value = f"strftime({value}, '%Y-%m-%d')"
         elif kind == "d":
-            value = f"round(CAST({value} AS DOUBLE), 6)"
-            value = f"CASE WHEN {value} = 0 THEN 0e0 ELSE {value} END"
+            value = f"floor(CAST({value} AS DOUBLE) * 1e6 + 0.5e0) / 1e6"
         elif kind == "t":
             value = f"CAST({value} AS TIMESTAMP)"
         cells.append(f'{value} AS "{name}"')
@@ -810,7 +809,7 @@ def _times() -> None:
     register(
         "t05_time_shift",
         pick("event_id:i; earlier:t = ts - INTERVAL 15 MINUTE; "
-             "earlier_by_value:t = make_timestamp(epoch_us(ts) - CAST(round(value * 60000000) AS BIGINT))", "events"),
+             "earlier_by_value:t = make_timestamp(epoch_us(ts) - CAST(floor(value * 60000000 + 0.5e0) AS BIGINT))", "events"),
     )
     register(
         "t06_whole_seconds",
@@ -837,7 +836,7 @@ def _times() -> None:
     register(
         "t12_decision_marker",
         pick("ticker; decision_marker:t = make_timestamp(epoch_us(contract_close_time) "
-             "- CAST(round(minutes_before_close_at_decision * 60000000) AS BIGINT))", "dec"),
+             "- CAST(floor(minutes_before_close_at_decision * 60000000 + 0.5e0) AS BIGINT))", "dec"),
     )
     register(
         "t13_decision_zone",
@@ -972,7 +971,7 @@ def _views() -> None:
              FROM (SELECT week_id, max(value) FILTER (metric = 'kalshi_markets') AS n FROM market_long GROUP BY 1) m
              LEFT JOIN contract_wide USING (week_id)"""),
     )
-    summed = """(SELECT c.week_id, round(c.yes_price_change * m, 6) AS yes_price_change_display FROM csum c JOIN (
+    summed = """(SELECT c.week_id, floor((c.yes_price_change * m) * 1e6 + 0.5e0) / 1e6 AS yes_price_change_display FROM csum c JOIN (
         SELECT week_id, CASE WHEN least(quantile_cont(abs(yes_open_cents), 0.99), quantile_cont(abs(yes_close_cents), 0.99),
             quantile_cont(abs(yes_max_cents), 0.99), quantile_cont(abs(yes_min_cents), 0.99)) <= 1.5 THEN 100e0 ELSE 1e0
             END AS m FROM csum GROUP BY 1) u USING (week_id))"""

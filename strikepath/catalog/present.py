@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIGITS = 6
+from strikepath.functions.prices import snap
+
 # Counts that an outer join leaves NULL on some rows are given as doubles, so
 # that every reader shows the same value for them.
 SPARSE_COUNTS = ("outcome_yes", "trade_count_sum", "large_move_rows", "underlying_trade_count")
@@ -20,8 +21,7 @@ def present(df: DataFrame) -> DataFrame:
 def _cell(field: T.StructField):
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        rounded = F.round(column, DIGITS)
-        column = F.when(rounded == 0, 0.0).otherwise(rounded)
+        column = snap(column)
     elif isinstance(field.dataType, T.IntegralType):
         column = column.cast("double" if field.name in SPARSE_COUNTS else "bigint")
     elif isinstance(field.dataType, T.DateType):

@@ -53,6 +53,16 @@ class Data:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder and read back.
+
+        Views read built products, often several times; this keeps the window
+        stage from being worked out again for each read.
+        """
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def micro(self) -> DataFrame:
         return adapters.micro_1s(self.spark, self.sf_dir)
@@ -117,6 +127,19 @@ class Data:
     def contract_moves(self) -> DataFrame:
         return views.contract_moves(self.moves)
 
+    @cached_property
+    def stored_moves(self) -> DataFrame:
+        columns = [*CONTRACT, "observed_at", *views.LARGEST_MOVES]
+        return self.stored(self.contract_moves.select(*columns), "contract-moves")
+
+    @cached_property
+    def stored_decisions(self) -> DataFrame:
+        return self.stored(self.decisions, "contract-decision-times")
+
+    @cached_property
+    def stored_summary(self) -> DataFrame:
+        return self.stored(self.summary, "contract-summary")
+
     @cached_property
     def micro_frame(self) -> DataFrame:
         return views.micro_frame(self.quotes)
@@ -651,7 +674,7 @@ def _(d):
 
 @query("w03_sampled_lag")
 def _(d):
-    sampled = sample.capped_sample(d.moves)
+    sampled = sample.capped_sample(d.moves, sized_by=d.quotes)
     return views.sampled_move_pairs(sampled, time_to_close="10-15m")
 
 
@@ -751,12 +774,12 @@ def _(d):
 
 @query("o08_capped_sample")
 def _(d):
-    return sample.capped_sample(d.moves).groupBy("week_id").agg(agg.rows().alias("n_rows"))
+    return sample.capped_sample(d.moves, sized_by=d.quotes).groupBy("week_id").agg(agg.rows().alias("n_rows"))
 
 
 @query("o08_capped_sample_small")
 def _(d):
-    return sample.capped_sample(d.moves, cap=500).groupBy("week_id").agg(agg.rows().alias("n_rows"))
+    return sample.capped_sample(d.moves, cap=500, sized_by=d.quotes).groupBy("week_id").agg(agg.rows().alias("n_rows"))
 
 
 # --- set operations -------------------------------------------------------------------
@@ -1059,7 +1082,7 @@ def _(d):
 
 @query("v02_yes_change_histogram")
 def _(d):
-    return views.yes_change_histogram(d.summary)
+    return views.yes_change_histogram(d.stored_summary)
 
 
 @query("v03_outcomes")
@@ -1083,7 +1106,7 @@ def _(d):
 
 @query("v05_decision_histogram")
 def _(d):
-    return views.decision_histogram(d.decisions)
+    return views.decision_histogram(d.stored_decisions)
 
 
 @query("v06_contract_metadata")
@@ -1093,22 +1116,22 @@ def _(d):
 
 @query("v07_move_histogram")
 def _(d):
-    return views.move_histogram(d.contract_moves)
+    return views.move_histogram(d.stored_moves)
 
 
 @query("v08_move_boxes")
 def _(d):
-    return views.move_boxes(d.contract_moves)
+    return views.move_boxes(d.stored_moves)
 
 
 @query("v09_largest_moves")
 def _(d):
-    return views.largest_moves(d.contract_moves)
+    return views.largest_moves(d.stored_moves)
 
 
 @query("v10_combined_path")
 def _(d):
-    return views.combined_path(d.quotes, d.decisions)
+    return views.combined_path(d.quotes, d.stored_decisions)
 
 
 @query("v11_distance_path")
@@ -1138,7 +1161,7 @@ def _(d):
 
 @query("v16_decision_statistics")
 def _(d):
-    return views.decision_statistics(d.decisions)
+    return views.decision_statistics(d.stored_decisions)
 
 
 @query("v17_decision_table")
@@ -1148,7 +1171,7 @@ def _(d):
 
 @query("v18_heatmap_matrix")
 def _(d):
-    return views.heatmap_matrix(summary.threshold_heatmap(d.moves))
+    return views.heatmap_matrix(d.stored(summary.threshold_heatmap(d.moves), "threshold-heatmap"))
 
 
 @query("v19_distance_histogram")
@@ -1158,17 +1181,17 @@ def _(d):
 
 @query("v20_distance_vs_response")
 def _(d):
-    return views.distance_vs_response(sample.capped_sample(d.moves), source="late")
+    return views.distance_vs_response(sample.capped_sample(d.moves, sized_by=d.quotes), source="late")
 
 
 @query("v21_move_pairs")
 def _(d):
-    return views.move_pairs(sample.capped_sample(d.moves))
+    return views.move_pairs(sample.capped_sample(d.moves, sized_by=d.quotes))
 
 
 @query("v22_sensitivity_curve")
 def _(d):
-    return views.sensitivity_curve(summary.sensitivity_bins(d.moves))
+    return views.sensitivity_curve(d.stored(summary.sensitivity_bins(d.moves), "sensitivity-bins"))
 
 
 @query("v23_preview_summary")
@@ -1188,7 +1211,7 @@ def _(d):
 
 @query("v23_preview_sample")
 def _(d):
-    sampled = sample.capped_sample(d.moves).select(
+    sampled = sample.capped_sample(d.moves, sized_by=d.quotes).select(
         "week_id", "ticker", "observed_at", "yes_price_change_5s", "moneyness_bucket", "time_to_close_bucket"
     )
     return views.product_preview(sampled, 200, "ticker", "observed_at")

@@ -32,7 +32,7 @@ def floor_second(ts: str | Column) -> Column:
 def minus_minutes(ts: str | Column, minutes: str | Column | float) -> Column:
     """``ts`` less a possibly fractional, possibly per-row number of minutes."""
     amount = F.lit(minutes) if isinstance(minutes, (int, float)) else _col(minutes)
-    micros = F.round(amount * F.lit(60_000_000.0)).cast("bigint")
+    micros = F.floor(amount * F.lit(60_000_000.0) + 0.5)
     return F.timestamp_micros(F.unix_micros(_col(ts)) - micros)
 
 

@@ -10,6 +10,11 @@ def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def snap(value: str | Column) -> Column:
+    """Nearest millionth, halves up. Plain arithmetic, where ``round`` would go through decimals."""
+    return F.floor(_col(value) * 1e6 + 0.5) / 1e6
+
+
 def cents(dollars: str | Column) -> Column:
     return _col(dollars) * 100
 

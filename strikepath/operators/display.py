@@ -13,9 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strikepath.functions.clock import parse_number
-from strikepath.functions.prices import looks_like_dollars, quote_mid, quote_spread
-
-DISPLAY_DIGITS = 6
+from strikepath.functions.prices import looks_like_dollars, quote_mid, quote_spread, snap
 
 # Column names.
 PRICE_COLUMNS = (
@@ -101,7 +99,7 @@ def with_display_prices(df: DataFrame, any_column: bool = False, decide_on: Data
     # A millionth of a cent is far below any price step; rounding there drops
     # the noise of binary differences, so equal moves compare as equal.
     shown = {
-        f"{c}_display": F.round(parse_number(c) * F.col("multiplier"), DISPLAY_DIGITS)
+        f"{c}_display": snap(parse_number(c) * F.col("multiplier"))
         for c in _present(df, PRICE_COLUMNS + CHANGE_COLUMNS)
     }
     return per_week(df, facts).withColumns(shown).drop("multiplier")

@@ -15,25 +15,28 @@ MAX_ROWS_PER_WEEK = 150_000
 GRAIN = 1 << 40
 
 
-def capped_sample(features: DataFrame, cap: int = MAX_ROWS_PER_WEEK, seed: int = 42) -> DataFrame:
+def capped_sample(
+    features: DataFrame, cap: int = MAX_ROWS_PER_WEEK, seed: int = 42, sized_by: DataFrame | None = None
+) -> DataFrame:
     """All rows of a week that has at most ``cap``; else exactly ``cap`` of them.
 
     Rows are picked by a seeded hash of their key, so a rerun or a lost executor
     gives the same sample. Hash values a little above the needed share are kept
     first, which leaves about ``cap`` rows per week to rank, never the week.
+    ``sized_by`` is a cheaper frame with the same rows per week to count.
     """
-    key = [F.lit(seed), F.col("ticker"), F.col(order_column(features))]
-    sizes = features.groupBy("week_id").agg(rows().alias("_n"))
-    slack = cap + 8 * math.isqrt(cap) + 8
-    draw = F.pmod(F.xxhash64(*key), F.lit(GRAIN))
-    rank = F.row_number().over(W.partitionBy("week_id").orderBy("_draw", "ticker", order_column(features)))
-    # One size per week, so the broadcast is bounded by the calendar.
-    drawn = features.join(F.broadcast(sizes), "week_id").withColumn("_draw", draw)
-    small = drawn.where(F.col("_n") <= cap)
-    large = (
-        drawn.where((F.col("_n") > cap) & (F.col("_draw") < F.lit(float(GRAIN)) * slack / F.col("_n")))
+    at = order_column(features)
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("ticker"), F.col(at)), F.lit(GRAIN))
+    sizes = (features if sized_by is None else sized_by).groupBy("week_id").agg(rows().alias("_n"))
+    # Eight deviations of the drawn count above the cap.
+    limit = sizes.select("week_id", (F.lit(float(GRAIN)) * (cap + 8 * math.isqrt(cap) + 8) / F.col("_n")).alias("_limit"))
+    rank = F.row_number().over(W.partitionBy("week_id").orderBy("_draw", "ticker", at))
+    return (
+        # One limit per week, so the broadcast is bounded by the calendar.
+        features.join(F.broadcast(limit), "week_id")
+        .withColumn("_draw", draw)
+        .where(F.col("_draw") < F.col("_limit"))
         .withColumn("_rank", rank)
         .where(F.col("_rank") <= cap)
-        .drop("_rank")
+        .drop("_limit", "_draw", "_rank")
     )
-    return small.unionByName(large).drop("_n", "_draw")
