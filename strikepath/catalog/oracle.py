@@ -1183,6 +1183,9 @@ def _profiles() -> None:
              FROM strict GROUP BY 2
              UNION ALL SELECT 'contract_plot_sample', week_id, count(underlying_trade_price) FROM bysec GROUP BY 2"""),
     )
+
+
+def _builds() -> None:
     counted = "SELECT '{}' AS product, week_id, count(*) AS n_rows FROM {} GROUP BY week_id"
     register(
         "e01_weekly_contract_build",
@@ -1198,7 +1201,25 @@ def _profiles() -> None:
             "SELECT 'contract_behavior_summary_metrics', week_id, 7 FROM feat GROUP BY week_id",
         ])),
     )
+    weekly = "(SELECT *, strftime(week_start, '%Y-%m-%d') AS week_id FROM {}) x"
+    register(
+        "e02_weekly_market_build",
+        pick("product week_id n_rows:i", " UNION ALL ".join([
+            counted.format("kalshi_markets", weekly.format("mk")),
+            counted.format("labels_15m", weekly.format("lab")),
+            counted.format("futures_15m_windows", weekly.format("lead_bars")),
+            counted.format("futures_label_window_behavior", weekly.format("behavior")),
+            counted.format("kalshi_threshold_matches", weekly.format("tm")),
+            counted.format("summary_metrics", "market_long"),
+        ])),
+    )
+    register(
+        "e03_trade_enrichment",
+        pick("week_id n_rows:i matched_rows:i matched_pct:d", """SELECT week_id, count(*) AS n_rows,
+             count(underlying_trade_price) AS matched_rows, count(underlying_trade_price) * 100e0 / count(*) AS matched_pct
+             FROM bysec GROUP BY 1"""),
+    )
 
 
-for build in (_sources, _projections, _joins, _aggregates, _windows, _orders, _times, _expressions, _views, _profiles):
+for build in (_sources, _projections, _joins, _aggregates, _windows, _orders, _times, _expressions, _views, _profiles, _builds):
     build()

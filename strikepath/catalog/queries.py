@@ -27,7 +27,7 @@ from strikepath.operators import (
     stats,
     summary,
 )
-from strikepath.plans import views, weekly_contracts
+from strikepath.plans import trade_enrichment, views, weekly_contracts, weekly_markets
 from strikepath.session import scratch_path
 from strikepath.sources import adapters, tables
 
@@ -1289,15 +1289,42 @@ def _(d):
 # --- whole builds -------------------------------------------------------------------------------------
 
 
+def _rows_per_week(d: Data, root: str, names: list[str]) -> DataFrame:
+    return tables.union_all(
+        [
+            tables.read_product(d.spark, root, name)
+            .groupBy("week_id")
+            .agg(agg.rows().alias("n_rows"))
+            .select(F.lit(name).alias("product"), "*")
+            for name in names
+        ]
+    )
+
+
 @query("e01_weekly_contract_build")
 def _(d):
     root = d.scratch("contract-build")
     written = weekly_contracts.build(d.spark, adapters.contract_1s(d.spark, d.sf_dir), root)
-    counts = [
-        tables.read_product(d.spark, root, name).groupBy("week_id").agg(agg.rows().alias("n_rows")).select(
-            F.lit(name).alias("product"), "*"
-        )
-        for name in sorted(written)
-        if not written[name].endswith(".csv")
-    ]
-    return tables.union_all(counts)
+    return _rows_per_week(d, root, sorted(n for n, path in written.items() if not path.endswith(".csv")))
+
+
+@query("e02_weekly_market_build")
+def _(d):
+    root = d.scratch("market-build")
+    written = weekly_markets.build(
+        d.spark,
+        d.micro,
+        adapters.markets(d.spark, d.sf_dir),
+        adapters.labels(d.spark, d.sf_dir),
+        root,
+    )
+    return _rows_per_week(d, root, sorted(n for n, path in written.items() if not path.endswith(".csv")))
+
+
+@query("e03_trade_enrichment")
+def _(d):
+    root = d.scratch("enrichment")
+    evolution = d.quotes.select("week_id", "ticker", "second", "observed_at", "selected_futures_symbol")
+    for product in trade_enrichment.PRODUCTS:
+        tables.write_product(evolution, root, product, ("ticker", "second"))
+    return trade_enrichment.build(d.spark, d.trades, root)
