@@ -9,6 +9,7 @@ from strikepath.session import scratch_path
 from strikepath.sources.tables import read_product, rewrite_product
 
 PRODUCTS = ("contract_evolution_1s", "contract_plot_sample")
+ORDER = ("ticker", "second")
 
 
 def build(spark: SparkSession, trades: DataFrame, root: str, strict: bool = False) -> DataFrame:
@@ -21,7 +22,7 @@ def build(spark: SparkSession, trades: DataFrame, root: str, strict: bool = Fals
         attach = enrich.attach_trades_by_second
     for product in PRODUCTS:
         rewrite_product(
-            spark, root, product, lambda panel: attach(panel, found), scratch_path(spark, product)
+            spark, root, product, lambda panel: attach(panel, found), scratch_path(spark, product), ORDER
         )
     return enrich.match_rate(read_product(spark, root, PRODUCTS[0]), price, "week_id")
 
@@ -29,6 +30,6 @@ def build(spark: SparkSession, trades: DataFrame, root: str, strict: bool = Fals
 def alias_build(spark: SparkSession, root: str) -> DataFrame:
     """Copy strict trade columns to the by-second names; return known prices per week."""
     for product in PRODUCTS:
-        rewrite_product(spark, root, product, enrich.alias_strict_trades, scratch_path(spark, product))
+        rewrite_product(spark, root, product, enrich.alias_strict_trades, scratch_path(spark, product), ORDER)
     datasets = {p: read_product(spark, root, p) for p in PRODUCTS}
     return enrich.known_values(datasets, "underlying_trade_price")

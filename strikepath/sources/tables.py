@@ -75,17 +75,16 @@ def read_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFram
     return spark.read.csv(path, header=True, schema=contract)
 
 
-def rewrite_product(spark: SparkSession, root: str, product: str, change, staging: str) -> str:
+def rewrite_product(
+    spark: SparkSession, root: str, product: str, change, staging: str, sort_by: Sequence[str] = ()
+) -> str:
     """Replace a product by ``change(product)``.
 
     Spark cannot overwrite what it is reading, so the new version is written to
-    ``staging`` (shared storage) first and copied over the weeks it holds.
+    ``staging`` (shared storage) first and then over the weeks it holds.
     """
-    path = product_path(root, product)
-    change(read_product(spark, root, product)).write.mode("overwrite").partitionBy(WEEK).parquet(staging)
-    fresh = spark.read.parquet(staging).withColumn(WEEK, F.col(WEEK).cast("string"))
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(WEEK).parquet(path)
-    return path
+    change(read_product(spark, root, product)).write.mode("overwrite").parquet(staging)
+    return write_product(spark.read.parquet(staging), root, product, sort_by)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
