@@ -10,6 +10,7 @@ the heads and tails of all slots put in order.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -42,6 +43,13 @@ def large_groups(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int =
     )
 
 
+def _join_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which NULL keys match, since rows without a key are a group too."""
+    renamed = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    return df.join(F.broadcast(renamed), same, how).drop(*[f"_hot_{k}" for k in keys])
+
+
 def with_lookback(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,12 +68,12 @@ def with_lookback(
     With no large group the second branch is empty and adaptive execution drops
     it, which leaves one exchange and one sort.
     """
-    hot = F.broadcast(large_groups(df if sized_by is None else sized_by, keys, order, hot_rows))
+    hot = large_groups(df if sized_by is None else sized_by, keys, order, hot_rows)
     slot = F.coalesce(F.floor(F.unix_micros(order) / F.col("_slot_us")), F.lit(-1))
     by_slot = W.partitionBy(*keys, "_slot").orderBy(order)
     extra = ("_slot_us", "_slot", "_pos")
 
-    tagged = df.join(hot, list(keys), "left").withColumn("_slot", slot)
+    tagged = _join_hot(df, hot, keys, "left").withColumn("_slot", slot)
     inner = (
         compute(tagged, by_slot)
         .withColumn("_pos", F.when(F.col("_slot_us").isNotNull(), F.row_number().over(by_slot)))
@@ -75,7 +83,7 @@ def with_lookback(
 
     size = F.count(F.lit(1)).over(W.partitionBy(*keys, "_slot"))
     edges = (
-        df.join(hot, list(keys), "inner")
+        _join_hot(df, hot, keys, "inner")
         .withColumn("_slot", slot)
         .withColumn("_pos", F.row_number().over(by_slot))
         .withColumn("_left", size - F.col("_pos"))

@@ -73,8 +73,9 @@ def test_rolling_deviation_matches_pandas(make, size):
         np.testing.assert_allclose(got.to_numpy(float), expected.to_numpy(), rtol=1e-9, atol=1e-9)
 
 
-def test_lookback_keeps_null_keys(make):
-    rows = [(START, None, START + timedelta(seconds=i), 0.1 * i, 1.0) for i in range(8)]
+@pytest.mark.parametrize("hot_rows", [1000, 20])
+def test_lookback_keeps_null_keys(make, hot_rows):
+    rows = [(START, None, START + timedelta(seconds=i), 0.1 * i, 1.0) for i in range(80)]
     df = make(rows, SCHEMA)
-    got = with_lookback(df, ("week_start", "ticker"), "second", 5, panel._changes).toPandas()
-    assert len(got) == 8 and got["yes_price_change_5s"].notna().sum() == 3
+    got = with_lookback(df, ("week_start", "ticker"), "second", 5, panel._changes, hot_rows).toPandas()
+    assert len(got) == 80 and got["yes_price_change_5s"].notna().sum() == 75
