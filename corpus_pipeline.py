@@ -10,10 +10,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strikepath.llm import near_dup, packing, secret_scan
+from strikepath.llm import line_dedup, near_dup, packing, quality, secret_scan
 from strikepath.llm.common import read, scratch
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks that an earlier document has go from later ones; a document that loses all its text goes."""
+    return line_dedup.without_repeats(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id."""
     return near_dup.keep_first(docs)
@@ -30,6 +40,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_repeats", line_repeats),
     ("near_duplicates", near_duplicates),
     ("secrets", secrets),
     ("packed", packed),

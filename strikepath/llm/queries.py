@@ -6,10 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikepath.llm import near_dup, packing, secret_scan
+from strikepath.llm import line_dedup, near_dup, packing, quality, secret_scan
 from strikepath.llm.common import read, scratch
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps of its lines, and whom the deleted ones align with."""
+    out = line_dedup.dedup(read(spark, sf_dir, "documents"))
+    kept = F.coalesce("kept_text", F.lit(""))
+    return out.select(
+        "doc_id",
+        F.col("n_lines").cast("bigint").alias("n_lines"),
+        F.size("cut").cast("bigint").alias("n_deleted"),
+        F.array_join(F.transform("cut", lambda i: i.cast("string")), ",").alias("deleted_lines"),
+        "partners",
+        F.length(kept).cast("bigint").alias("kept_chars"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a fresh ledger."""
     documents = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.lit(1).alias("version"), "text")
@@ -30,6 +45,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, score and verdict of every document."""
+    out = quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return out.select("doc_id", *counts, "base_failed", "kept", "score")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into windows of 1024 ids."""
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -42,7 +64,9 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op10_near_dup": op10_near_dup,
 }
