@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikepath.llm import line_dedup, near_dup, packing, quality, secret_scan
+from strikepath.llm import bpe, licenses, line_dedup, near_dup, packing, preference, quality, secret_scan, spotsigs, urls
 from strikepath.llm.common import read, scratch
 
 
@@ -25,6 +25,20 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a fresh ledger."""
     documents = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.lit(1).alias("version"), "text")
@@ -45,6 +59,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return urls.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, score and verdict of every document."""
     out = quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -57,6 +76,16 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered turns of every preference pair."""
+    return preference.format_preferences(read(spark, sf_dir, "conversations"))
+
+
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and the next document's."""
+    return spotsigs.followed(read(spark, sf_dir, "documents"))
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     found = near_dup.groups(read(spark, sf_dir, "documents"))
@@ -65,9 +94,14 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_licenses": op2_licenses,
+    "op3_bpe": op3_bpe,
     "op4_secret_scan": op4_secret_scan,
+    "op5_urls": op5_urls,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_preferences": op8_preferences,
+    "op9_spotsigs": op9_spotsigs,
     "op10_near_dup": op10_near_dup,
 }
 
@@ -87,5 +121,26 @@ e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
 r(doc_id, reach) AS (SELECT doc_id, doc_id FROM g UNION SELECT e.b, r.reach FROM r JOIN e ON e.a = r.doc_id WHERE r.reach < e.b),
 c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1)
 SELECT g.doc_id, len(g.sh) AS n_shingles, c.component_id, g.doc_id = c.component_id AS kept FROM g JOIN c USING (doc_id)
+""",
+    "op8_preferences": r"""
+WITH d AS (SELECT DISTINCT conv_id, coalesce(turn, 9223372036854775807) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+r AS (SELECT *, '<|' || role || '|>' || chr(10) || text || chr(10) AS rendered FROM d),
+t AS (SELECT *, CAST(sum(length(rendered)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS BIGINT)
+             - length(rendered) AS start FROM r),
+o AS (SELECT conv_id, count(*) AS n, min({'turn': turn, 'opening': sha256(role || chr(10) || text)}).opening AS opening FROM d GROUP BY 1),
+b AS (SELECT opening, min({'n': n, 'conv_id': conv_id}).conv_id AS chosen_id FROM o GROUP BY 1),
+p AS (SELECT b.chosen_id, o.conv_id AS rejected_id FROM o JOIN b USING (opening) WHERE o.conv_id <> b.chosen_id
+      UNION SELECT x.conv_id, y.conv_id FROM o x JOIN o y ON y.conv_id = x.conv_id + 1 WHERE y.conv_id % 2 = 1),
+m AS (SELECT p.*, coalesce(min(CASE WHEN c.start IS NULL OR c.role <> t.role OR c.text <> t.text THEN t.start END),
+                           max(t.start + length(t.rendered))) AS prefix
+      FROM p JOIN t ON t.conv_id = p.rejected_id LEFT JOIN t c ON c.conv_id = p.chosen_id AND c.start = t.start GROUP BY 1, 2),
+x AS (SELECT m.*, t.*, CASE WHEN t.start < prefix THEN 'prompt' ELSE 'rejected' END AS part FROM m JOIN t ON t.conv_id = m.rejected_id
+      UNION ALL SELECT m.*, t.*, 'chosen' FROM m JOIN t ON t.conv_id = m.chosen_id AND t.start >= prefix),
+y AS (SELECT *, CASE WHEN part = 'prompt' THEN start ELSE start - prefix END AS pos FROM x)
+SELECT chosen_id, rejected_id, part, turn, role, rendered, pos AS start,
+       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN pos + length(role) + 5 ELSE pos END AS loss_start,
+       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN pos + length(role) + 5 + length(text) ELSE pos END AS loss_end
+FROM y
 """,
 }
