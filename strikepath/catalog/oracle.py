@@ -171,16 +171,16 @@ VIEWS: dict[str, str] = {
         FROM feat GROUP BY week_id, ticker""",
     "bins": """
         SELECT week_id, time_to_close_bucket, moneyness_bucket, count(*) AS n_rows,
-               avg(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
-               avg(yes_price_change_5s) AS mean_yes_price_change_5s,
-               avg(underlying_change_5s) AS mean_underlying_change_5s,
-               avg(abs_underlying_change_5s) AS mean_abs_underlying_change_5s,
+               CAST(sum(CAST(abs_yes_price_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
+               CAST(sum(CAST(yes_price_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(yes_price_change_5s) AS mean_yes_price_change_5s,
+               CAST(sum(CAST(underlying_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_change_5s) AS mean_underlying_change_5s,
+               CAST(sum(CAST(abs_underlying_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(abs_underlying_change_5s) AS mean_abs_underlying_change_5s,
                count(*) FILTER (has_trade_this_second) AS trade_seconds
         FROM feat WHERE yes_price_change_5s IS NOT NULL AND underlying_change_5s IS NOT NULL GROUP BY 1, 2, 3""",
     "heat": """
         SELECT week_id, time_to_close_bucket, moneyness_bucket, count(*) AS n_rows,
-               avg(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
-               avg(kalshi_yes_price) AS mean_yes_price_cents, avg(abs_z_bps) AS mean_abs_z_bps
+               CAST(sum(CAST(abs_yes_price_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
+               CAST(sum(CAST(kalshi_yes_price AS DECIMAL(28,8))) AS DOUBLE) / count(kalshi_yes_price) AS mean_yes_price_cents, CAST(sum(CAST(abs_z_bps AS DECIMAL(28,8))) AS DOUBLE) / count(abs_z_bps) AS mean_abs_z_bps
         FROM feat WHERE abs_yes_price_change_5s IS NOT NULL GROUP BY 1, 2, 3""",
     "sec_trades": """
         SELECT date_trunc('second', ts_event) AS second, arg_max(price, ts_event) AS underlying_trade_price,
@@ -214,8 +214,8 @@ VIEWS: dict[str, str] = {
     "both_moved": """
         SELECT * FROM moved WHERE yes_price_change_1s IS NOT NULL AND yes_price_change_5s IS NOT NULL""",
     "per_sec": """
-        SELECT week_id, second, avg((best_bid + best_ask) / 2) AS underlying, avg(spread) AS spread,
-               avg(spread_bps) AS spread_bps, avg(best_ask - best_bid) AS quote_spread,
+        SELECT week_id, second, CAST(sum(CAST((best_bid + best_ask) / 2 AS DECIMAL(28,8))) AS DOUBLE) / count((best_bid + best_ask) / 2) AS underlying, CAST(sum(CAST(spread AS DECIMAL(28,8))) AS DOUBLE) / count(spread) AS spread,
+               CAST(sum(CAST(spread_bps AS DECIMAL(28,8))) AS DOUBLE) / count(spread_bps) AS spread_bps, CAST(sum(CAST(best_ask - best_bid AS DECIMAL(28,8))) AS DOUBLE) / count(best_ask - best_bid) AS quote_spread,
                sum(trade_count) AS trade_count, sum(trade_size) AS trade_size
         FROM feat GROUP BY 1, 2""",
     "returns": """
@@ -274,6 +274,11 @@ CONTRACT_METRIC_NAMES = (
 )
 
 
+def snapped(value: str) -> str:
+    """Millionths, halves up; NaN, infinities and numbers from a billion on as they are."""
+    return f"CASE WHEN abs({value}) < 1e9 THEN floor({value} * 1e6 + 0.5e0) / 1e6 ELSE {value} END"
+
+
 def pick(columns: str, source: str, tail: str = "", distinct: bool = False) -> str:
     """SELECT with the output casts; ``name=expression`` pairs are not split on spaces, use ``;``."""
     parts = columns.split(";") if ";" in columns or "=" in columns else columns.split()
@@ -287,7 +292,7 @@ def pick(columns: str, source: str, tail: str = "", distinct: bool = False) -> s
         elif kind == "day":
             value = f"strftime({value}, '%Y-%m-%d')"
         elif kind == "d":
-            value = f"floor(CAST({value} AS DOUBLE) * 1e6 + 0.5e0) / 1e6"
+            value = snapped(f"CAST({value} AS DOUBLE)")
         elif kind == "t":
             value = f"CAST({value} AS TIMESTAMP)"
         cells.append(f'{value} AS "{name}"')
@@ -404,9 +409,9 @@ EVENT = (
     "mean_abs_z_bps:d trade_seconds:i"
 )
 EVENT_SQL = """
-    count(*) AS n_rows, avg(underlying_diff) AS mean_underlying_diff,
-    avg(underlying_bps_from_open) AS mean_underlying_bps_from_open, avg(kalshi_yes_price) AS mean_yes_price_cents,
-    avg(kalshi_no_price) AS mean_no_price_cents, avg(abs_z_bps) AS mean_abs_z_bps,
+    count(*) AS n_rows, CAST(sum(CAST(underlying_diff AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_diff) AS mean_underlying_diff,
+    CAST(sum(CAST(underlying_bps_from_open AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_bps_from_open) AS mean_underlying_bps_from_open, CAST(sum(CAST(kalshi_yes_price AS DECIMAL(28,8))) AS DOUBLE) / count(kalshi_yes_price) AS mean_yes_price_cents,
+    CAST(sum(CAST(kalshi_no_price AS DECIMAL(28,8))) AS DOUBLE) / count(kalshi_no_price) AS mean_no_price_cents, CAST(sum(CAST(abs_z_bps AS DECIMAL(28,8))) AS DOUBLE) / count(abs_z_bps) AS mean_abs_z_bps,
     count(*) FILTER (has_trade_this_second) AS trade_seconds FROM feat"""
 DAILY = "SELECT CAST(window_start AS DATE) AS date, sum(trade_count_sum) AS trade_count_sum FROM lead_bars GROUP BY 1"
 INDEX = """
@@ -468,10 +473,14 @@ def _sources() -> None:
             "week_id source n_rows:i trade_count:i",
             """
             WITH found AS (
-                SELECT strftime(week_start, '%Y-%m-%d') AS week_id, 'futures_label_window_behavior' AS source, 1 AS p,
-                       trade_count_sum AS c FROM behavior
-                WHERE week_start >= DATE '2024-01-15' AND trade_count_sum IS NOT NULL
-                UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), 'futures_15m_windows', 2, trade_count_sum FROM bars)
+                SELECT week_id, 'contract_plot_sample' AS source, 0 AS p, underlying_trade_count AS c FROM bysec
+                WHERE second IS NOT NULL AND underlying_trade_count IS NOT NULL
+                UNION ALL SELECT week_id, 'contract_evolution_1s', 1, futures_trade_count_1s FROM strict
+                WHERE second IS NOT NULL AND has_futures_trade_1s
+                UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), 'futures_label_window_behavior', 2, trade_count_sum
+                FROM behavior WHERE trade_count_sum IS NOT NULL
+                UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), 'futures_15m_windows', 3, trade_count_sum FROM bars
+                WHERE trade_count_sum IS NOT NULL)
             SELECT week_id, source, count(*) AS n_rows, sum(c) AS trade_count FROM found
             WHERE (week_id, p) IN (SELECT week_id, min(p) FROM found GROUP BY 1) GROUP BY 1, 2""",
         ),
@@ -691,7 +700,7 @@ def _aggregates() -> None:
     register(
         "a26_underlying_per_second",
         pick("week_id second:t underlying_value:d",
-             "SELECT week_id, second, avg(underlying_value) AS underlying_value FROM feat GROUP BY 1, 2"),
+             "SELECT week_id, second, CAST(sum(CAST(underlying_value AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_value) AS underlying_value FROM feat GROUP BY 1, 2"),
     )
     register(
         "a27_category_counts",
@@ -734,6 +743,15 @@ def _aggregates() -> None:
 def _windows() -> None:
     register("w01_lag1_changes", pick("ticker observed_at:t yes_price_change_1s:d underlying_change_1s:d", "feat"))
     register("w02_lag5_changes", pick("ticker observed_at:t yes_price_change_5s:d underlying_change_5s:d", "feat"))
+    register(
+        "w03_lag_all_rows",
+        pick("week_id ticker second:t selected_underlying_change_5s:d yes_price_change_5s_display:d time_to_close_bucket",
+             """SELECT * FROM (
+                SELECT *, (best_bid + best_ask) / 2 - lag((best_bid + best_ask) / 2, 5)
+                    OVER (PARTITION BY ticker ORDER BY observed_at) AS selected_underlying_change_5s
+                FROM moved) x
+                WHERE selected_underlying_change_5s IS NOT NULL AND yes_price_change_5s IS NOT NULL"""),
+    )
     register(
         "w03_sampled_lag",
         pick("week_id ticker second:t selected_underlying_change_5s:d yes_price_change_5s_display:d time_to_close_bucket",
@@ -989,7 +1007,7 @@ def _views() -> None:
         "v04_underlying_path_fallback",
         pick("week_id second:t value:d symbol", """
              WITH has AS (SELECT DISTINCT week_id FROM feat WHERE data_source_period = 'early')
-             SELECT week_id, second, avg(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END) AS value,
+             SELECT week_id, second, CAST(sum(CAST(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END AS DECIMAL(28,8))) AS DOUBLE) / count(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END) AS value,
                     CAST(NULL AS VARCHAR) AS symbol
              FROM feat WHERE week_id IN (SELECT week_id FROM has) GROUP BY 1, 2
              UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), window_start, futures_close, symbol FROM lead_bars
@@ -1071,6 +1089,12 @@ def _views() -> None:
         "v19_distance_histogram",
         histogram("feat", "week_id", "abs_z_bps", 60, "time_to_close_bucket", "moneyness_bucket = 'Far'"),
     )
+    register("v19_distance_histogram_all", histogram("feat", "week_id", "abs_z_bps", 60, "time_to_close_bucket"))
+    register(
+        "v20_distance_vs_response_all",
+        pick("week_id ticker second:t minutes_to_close:d yes_price_cents_display:d abs_z_bps:d "
+             "abs_yes_price_change_5s_display:d time_to_close_bucket", "moved", "WHERE abs_yes_price_change_5s IS NOT NULL"),
+    )
     register(
         "v20_distance_vs_response",
         pick("week_id ticker second:t minutes_to_close:d yes_price_cents_display:d abs_z_bps:d "

@@ -248,10 +248,14 @@ def _(d):
 def _(d):
     named = d.bars.withColumn("week_id", clock.week_id("week_start"))
     behavior = match.window_behavior(d.labels, d.leading).withColumn("week_id", clock.week_id("week_start"))
-    late = behavior.where(F.col("week_id") >= "2024-01-15")
+    by_second = enrich.attach_trades_by_second(d.quotes, bars.trade_bars(d.trades))
+    strict = enrich.attach_trades_strict(d.quotes, bars.trade_bars_by_symbol(d.trades))
+    # A panel row without a trade is no count of trades.
+    traded = strict.where(F.col("has_futures_trade_1s"))
     sources = [
-        ("contract_plot_sample", d.quotes, "second", "no_such_count"),
-        ("futures_label_window_behavior", late, "window_start", "trade_count_sum"),
+        ("contract_plot_sample", by_second, "second", "underlying_trade_count"),
+        ("contract_evolution_1s", traded, "second", "futures_trade_count_1s"),
+        ("futures_label_window_behavior", behavior, "window_start", "trade_count_sum"),
         ("futures_15m_windows", named, "window_start", "trade_count_sum"),
     ]
     return tables.first_source_per_week(sources).groupBy("week_id", "source").agg(
@@ -259,11 +263,6 @@ def _(d):
     )
 
 
-@query("s10_discover_files")
-def _(d):
-    return tables.discover_files(d.spark, d.sf_dir, ("event", "order", "lineitem")).select("file", "length")
-
-
 # --- projections, filters, predicates ----------------------------------------
 
 
@@ -354,16 +353,16 @@ def _(d):
 
 
 def _six_products(d: Data) -> dict[str, DataFrame]:
-    made = {
-        "contract_summary": d.quotes,
-        "contract_evolution_1s": d.quotes,
+    """The weeks of six products as a build makes them."""
+    return {
+        "contract_summary": d.summary,
+        "contract_evolution_1s": summary.contract_evolution(d.quotes),
         # Kept for the later period only, so the earlier weeks are incomplete.
-        "contract_plot_sample": d.quotes.where(F.col("data_source_period") == "late"),
-        "sensitivity_bins": d.quotes,
-        "threshold_heatmap": d.quotes,
-        "contract_decision_times": d.quotes,
+        "contract_late_rows": d.quotes.where(F.col("data_source_period") == "late"),
+        "sensitivity_bins": summary.sensitivity_bins(d.moves),
+        "threshold_heatmap": summary.threshold_heatmap(d.moves),
+        "contract_decision_times": d.decisions,
     }
-    return {name: df.select("week_id") for name, df in made.items()}
 
 
 @query("p13_complete_weeks")
@@ -594,7 +593,7 @@ def _(d):
 
 @query("a26_underlying_per_second")
 def _(d):
-    return d.quotes.groupBy("week_id", "second").agg(F.avg("underlying_value").alias("underlying_value"))
+    return d.quotes.groupBy("week_id", "second").agg(agg.exact_mean("underlying_value").alias("underlying_value"))
 
 
 @query("a27_category_counts")
@@ -674,8 +673,12 @@ def _(d):
 
 @query("w03_sampled_lag")
 def _(d):
-    sampled = sample.capped_sample(d.moves, sized_by=d.quotes)
-    return views.sampled_move_pairs(sampled, time_to_close="10-15m")
+    return views.filtered_move_pairs(d.moves, time_to_close="10-15m")
+
+
+@query("w03_lag_all_rows")
+def _(d):
+    return views.filtered_move_pairs(d.moves)
 
 
 @query("w04_contract_path_moves")
@@ -774,7 +777,7 @@ def _(d):
 
 @query("o08_capped_sample")
 def _(d):
-    return sample.capped_sample(d.moves, sized_by=d.quotes).groupBy("week_id").agg(agg.rows().alias("n_rows"))
+    return sample.capped_sample(d.moves, cap=150_000, sized_by=d.quotes).groupBy("week_id").agg(agg.rows().alias("n_rows"))
 
 
 @query("o08_capped_sample_small")
@@ -1092,7 +1095,7 @@ def _(d):
 
 @query("v04_underlying_path")
 def _(d):
-    return views.underlying_path(sample.capped_sample(d.quotes))
+    return views.underlying_path(d.quotes)
 
 
 @query("v04_underlying_path_fallback")
@@ -1101,7 +1104,7 @@ def _(d):
     sparse = d.quotes.withColumns(
         {c: F.when(early, F.col(c)) for c in ("underlying_value", "best_bid", "best_ask")}
     )
-    return views.underlying_path(sample.capped_sample(sparse), d.leading)
+    return views.underlying_path(sparse, d.leading)
 
 
 @query("v05_decision_histogram")
@@ -1126,7 +1129,7 @@ def _(d):
 
 @query("v09_largest_moves")
 def _(d):
-    return views.largest_moves(d.stored_moves)
+    return views.largest_moves(d.stored_moves, 25)
 
 
 @query("v10_combined_path")
@@ -1176,17 +1179,27 @@ def _(d):
 
 @query("v19_distance_histogram")
 def _(d):
-    return views.distance_histogram(sample.capped_sample(d.quotes), moneyness="Far")
+    return views.distance_histogram(d.quotes, moneyness="Far")
+
+
+@query("v19_distance_histogram_all")
+def _(d):
+    return views.distance_histogram(d.quotes)
 
 
 @query("v20_distance_vs_response")
 def _(d):
-    return views.distance_vs_response(sample.capped_sample(d.moves, sized_by=d.quotes), source="late")
+    return views.distance_vs_response(d.moves, source="late")
+
+
+@query("v20_distance_vs_response_all")
+def _(d):
+    return views.distance_vs_response(d.moves)
 
 
 @query("v21_move_pairs")
 def _(d):
-    return views.move_pairs(sample.capped_sample(d.moves, sized_by=d.quotes))
+    return views.move_pairs(d.moves)
 
 
 @query("v22_sensitivity_curve")
@@ -1211,7 +1224,7 @@ def _(d):
 
 @query("v23_preview_sample")
 def _(d):
-    sampled = sample.capped_sample(d.moves, sized_by=d.quotes).select(
+    sampled = d.moves.select(
         "week_id", "ticker", "observed_at", "yes_price_change_5s", "moneyness_bucket", "time_to_close_bucket"
     )
     return views.product_preview(sampled, 200, "ticker", "observed_at")
@@ -1220,7 +1233,7 @@ def _(d):
 @query("v24_price_audit")
 def _(d):
     evolution = enrich.attach_trades_by_second(d.quotes, bars.trade_bars(d.trades))
-    return views.price_audit(evolution, sample.capped_sample(d.quotes))
+    return views.price_audit(evolution, d.quotes)
 
 
 @query("v25_filter_options")

@@ -11,6 +11,15 @@ def sum_or_zero(column: str | Column) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
+def exact_mean(column: str | Column) -> Column:
+    """Mean from an exact decimal sum and one division, so the order of rows cannot show.
+
+    Values count to eight decimals; what is no finite number counts as missing.
+    """
+    value = (F.col(column) if isinstance(column, str) else column).try_cast("decimal(28,8)")
+    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+
+
 def distinct_with_null(column: str) -> Column:
     """Exact distinct count in which NULL is one more value."""
     return F.count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
@@ -26,14 +35,24 @@ def last_by(column: str | Column, order: str | Column) -> Column:
     return F.max_by(column, order)
 
 
-def first_known_by(column: str, order: str) -> Column:
+def tick_order(time: str, value: str) -> Column:
+    """Order by time, then by value, as one fixed-width number, so that aggregates on it stay hash aggregates.
+
+    Values from half a trillion on count as equal to each other in this.
+    """
+    most = F.lit(4.0e11)
+    place = (F.greatest(F.least(F.col(value), most), -most) + 5.0e11).try_cast("decimal(20,8)")
+    return F.unix_micros(time).cast("decimal(17,0)") * F.lit(10**12).cast("decimal(13,0)") + place
+
+
+def first_known_by(column: str, *order: str) -> Column:
     """First non-NULL value in ``order``."""
-    return F.min_by(column, F.when(F.col(column).isNotNull(), F.col(order)))
+    return F.min_by(column, F.when(F.col(column).isNotNull(), F.struct(*order)))
 
 
-def last_known_by(column: str, order: str) -> Column:
+def last_known_by(column: str, *order: str) -> Column:
     """Last non-NULL value in ``order``."""
-    return F.max_by(column, F.when(F.col(column).isNotNull(), F.col(order)))
+    return F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order)))
 
 
 def rows() -> Column:

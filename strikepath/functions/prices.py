@@ -10,9 +10,17 @@ def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+SNAPPED_BELOW = 1e9
+
+
 def snap(value: str | Column) -> Column:
-    """Nearest millionth, halves up. Plain arithmetic, where ``round`` would go through decimals."""
-    return F.floor(_col(value) * 1e6 + 0.5) / 1e6
+    """Nearest millionth, halves up. Plain arithmetic, where ``round`` would go through decimals.
+
+    NaN, infinities and numbers from a billion on, which hold no millionths worth
+    rounding, stay as they are.
+    """
+    v = _col(value)
+    return F.when(F.abs(v) < SNAPPED_BELOW, F.floor(v * 1e6 + 0.5) / 1e6).otherwise(v)
 
 
 def cents(dollars: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from strikepath.functions.aggregates import sum_or_zero
+from strikepath.functions.aggregates import exact_mean, sum_or_zero
 from strikepath.functions.prices import log_return_bps
 from strikepath.operators.lookback import HOT_ROWS, with_lookback
 
@@ -18,8 +18,8 @@ VOL_MIN_RETURNS = 20
 
 def per_second(panel: DataFrame, underlying: str = "underlying_series") -> DataFrame:
     """One row per week and second: mean price and spreads, summed activity."""
-    measures = [F.avg(underlying).alias("underlying")] if underlying in panel.columns else []
-    measures += [F.avg(c).alias(c) for c in MEAN_COLUMNS if c in panel.columns]
+    measures = [exact_mean(underlying).alias("underlying")] if underlying in panel.columns else []
+    measures += [exact_mean(c).alias(c) for c in MEAN_COLUMNS if c in panel.columns]
     measures += [sum_or_zero(c).alias(c) for c in SUM_COLUMNS if c in panel.columns]
     return panel.groupBy("week_id", "second").agg(*measures)
 

@@ -27,7 +27,6 @@ PRICE_PARTS = (
     "underlying",
     "futures",
 )
-MAX_NUMERIC_COLUMNS = 40
 
 
 def _named(df: DataFrame, parts: Sequence[str], *kinds: type) -> list[str]:
@@ -47,7 +46,7 @@ def id_columns(df: DataFrame) -> list[str]:
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return _named(df, PRICE_PARTS, T.NumericType)[:MAX_NUMERIC_COLUMNS]
+    return _named(df, PRICE_PARTS, T.NumericType)
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -86,7 +85,7 @@ def numeric_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _stack(wide, names, ("min", "max", "mean"))
 
 
-def id_samples(df: DataFrame, column: str, n: int = 12) -> DataFrame:
+def id_samples(df: DataFrame, column: str, n: int) -> DataFrame:
     """The first ``n`` distinct values of an id column and how many there are.
 
     Distinct values are reduced in parallel; only the ``n`` smallest are ordered.

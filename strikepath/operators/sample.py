@@ -11,14 +11,13 @@ from pyspark.sql import Window as W
 from strikepath.functions.aggregates import rows
 from strikepath.operators.panel import order_column
 
-MAX_ROWS_PER_WEEK = 150_000
 GRAIN = 1 << 40
 
 
 def capped_sample(
-    features: DataFrame, cap: int = MAX_ROWS_PER_WEEK, seed: int = 42, sized_by: DataFrame | None = None
+    features: DataFrame, cap: int, seed: int = 42, sized_by: DataFrame | None = None
 ) -> DataFrame:
-    """All rows of a week that has at most ``cap``; else exactly ``cap`` of them.
+    """Of each week as many rows as it has, at most ``cap``; the caller always chooses it.
 
     Rows are picked by a seeded hash of their key, so a rerun or a lost executor
     gives the same sample. Hash values a little above the needed share are kept

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strikepath.functions.aggregates import first_by, last_by, rows, sum_or_zero
+from strikepath.functions.aggregates import exact_mean, first_by, last_by, rows, sum_or_zero
 from strikepath.operators.panel import order_column
 from strikepath.roles import EVOLUTION_COLUMNS, keep_existing
 
@@ -98,10 +98,10 @@ def sensitivity_bins(features: DataFrame) -> DataFrame:
         .groupBy("week_id", "time_to_close_bucket", "moneyness_bucket")
         .agg(
             rows().alias("n_rows"),
-            F.avg("abs_yes_price_change_5s").alias("mean_abs_yes_price_change_5s"),
-            F.avg("yes_price_change_5s").alias("mean_yes_price_change_5s"),
-            F.avg("underlying_change_5s").alias("mean_underlying_change_5s"),
-            F.avg("abs_underlying_change_5s").alias("mean_abs_underlying_change_5s"),
+            exact_mean("abs_yes_price_change_5s").alias("mean_abs_yes_price_change_5s"),
+            exact_mean("yes_price_change_5s").alias("mean_yes_price_change_5s"),
+            exact_mean("underlying_change_5s").alias("mean_underlying_change_5s"),
+            exact_mean("abs_underlying_change_5s").alias("mean_abs_underlying_change_5s"),
             F.count_if("has_trade_this_second").alias("trade_seconds"),
         )
     )
@@ -114,9 +114,9 @@ def threshold_heatmap(features: DataFrame) -> DataFrame:
         .groupBy("week_id", "time_to_close_bucket", "moneyness_bucket")
         .agg(
             rows().alias("n_rows"),
-            F.avg("abs_yes_price_change_5s").alias("mean_abs_yes_price_change_5s"),
-            F.avg("kalshi_yes_price").alias("mean_yes_price_cents"),
-            F.avg("abs_z_bps").alias("mean_abs_z_bps"),
+            exact_mean("abs_yes_price_change_5s").alias("mean_abs_yes_price_change_5s"),
+            exact_mean("kalshi_yes_price").alias("mean_yes_price_cents"),
+            exact_mean("abs_z_bps").alias("mean_abs_z_bps"),
         )
     )
 
@@ -126,11 +126,11 @@ def event_window_response(features: DataFrame, by_bucket: bool = True) -> DataFr
     keys = ("time_to_close_bucket", "moneyness_bucket") if by_bucket else ()
     return features.groupBy("week_id", "relative_second", *keys).agg(
         rows().alias("n_rows"),
-        F.avg("underlying_diff").alias("mean_underlying_diff"),
-        F.avg("underlying_bps_from_open").alias("mean_underlying_bps_from_open"),
-        F.avg("kalshi_yes_price").alias("mean_yes_price_cents"),
-        F.avg("kalshi_no_price").alias("mean_no_price_cents"),
-        F.avg("abs_z_bps").alias("mean_abs_z_bps"),
+        exact_mean("underlying_diff").alias("mean_underlying_diff"),
+        exact_mean("underlying_bps_from_open").alias("mean_underlying_bps_from_open"),
+        exact_mean("kalshi_yes_price").alias("mean_yes_price_cents"),
+        exact_mean("kalshi_no_price").alias("mean_no_price_cents"),
+        exact_mean("abs_z_bps").alias("mean_abs_z_bps"),
         F.count_if("has_trade_this_second").alias("trade_seconds"),
     )
 

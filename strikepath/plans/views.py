@@ -7,11 +7,13 @@ the stored products.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from strikepath.functions import buckets, clock
+from strikepath.functions.aggregates import exact_mean
 from strikepath.operators import display, filters, micro, profile, stats
+from strikepath.operators.lookback import with_lookback
 from strikepath.operators.metrics import metric
 from strikepath.operators.panel import order_column
 from strikepath.roles import keep_existing
@@ -49,7 +51,7 @@ def underlying_path(sample: DataFrame, bars: DataFrame | None = None) -> DataFra
     path = (
         series.where(F.col("underlying_source_column").isNotNull())
         .groupBy(WEEK, "second")
-        .agg(F.avg("underlying_series").alias("value"))
+        .agg(exact_mean("underlying_series").alias("value"))
         .withColumn("symbol", F.lit(None).cast("string"))
     )
     if bars is None:
@@ -137,7 +139,7 @@ LARGEST_MOVES = (
 )
 
 
-def largest_moves(moves: DataFrame, n: int = 25, probability: float = 0.95) -> DataFrame:
+def largest_moves(moves: DataFrame, n: int, probability: float = 0.95) -> DataFrame:
     """Each contract's largest moves at or above its own 95th percentile."""
     big = stats.at_or_above_quantile(
         moves, CONTRACT, "abs_yes_price_change_5s_display", probability, "p95_move"
@@ -293,16 +295,18 @@ def move_pairs(sample: DataFrame, **chosen: str) -> DataFrame:
     )
 
 
-def sampled_move_pairs(sample: DataFrame, **chosen: str) -> DataFrame:
-    """The same pairs with the underlying move taken between sampled, filtered rows."""
-    kept = filters.apply_filters(sample, **chosen)
+def filtered_move_pairs(panel: DataFrame, **chosen: str) -> DataFrame:
+    """The same pairs with the underlying move taken over five of the rows that the filter keeps."""
+    kept = filters.apply_filters(panel, **chosen)
     series = display.with_underlying_series(display.with_underlying_columns(kept))
     shown = display.with_display_prices(series, decide_on=keep_existing(kept, WEEK, "yes_price_cents"))
-    # The sample is capped per week, so one contract is at most the cap.
-    path = W.partitionBy(*CONTRACT).orderBy(order_column(sample))
-    move = F.col("underlying_series") - F.lag("underlying_series", 5).over(path)
+
+    def moved(df: DataFrame, window: WindowSpec) -> DataFrame:
+        move = F.col("underlying_series") - F.lag("underlying_series", 5).over(window)
+        return df.withColumn("selected_underlying_change_5s", move)
+
     return (
-        shown.withColumn("selected_underlying_change_5s", move)
+        with_lookback(shown, CONTRACT, order_column(panel), 5, moved, sized_by=kept)
         .na.drop(subset=["selected_underlying_change_5s", "yes_price_change_5s_display"])
         .select(
             *CONTRACT, "second", "selected_underlying_change_5s", "yes_price_change_5s_display",

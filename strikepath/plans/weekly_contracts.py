@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strikepath.operators import metrics, summary
 from strikepath.operators.panel import panel_features
-from strikepath.operators.sample import MAX_ROWS_PER_WEEK, capped_sample
+from strikepath.operators.sample import capped_sample
 from strikepath.sources.tables import product_path, write_csv, write_product
 
 FEATURES = "contract_features_1s"
 
 
-def products(features: DataFrame, price_unit: str = "dollars", cap: int = MAX_ROWS_PER_WEEK) -> dict[str, DataFrame]:
-    """Every weekly product, each a lazy frame over the same features."""
+def products(features: DataFrame, price_unit: str = "dollars", cap: int | None = None) -> dict[str, DataFrame]:
+    """Every weekly product, each a lazy frame over the same features.
+
+    The plot table holds every row unless the caller asks for a sample of ``cap`` rows a week.
+    """
     return {
         "contract_summary": summary.contract_summary(features),
         "contract_decision_times": summary.decision_times(features),
         "sensitivity_bins": summary.sensitivity_bins(features),
         "threshold_heatmap": summary.threshold_heatmap(features),
         "contract_event_window_response": summary.event_window_response(features),
-        "contract_plot_sample": capped_sample(features, cap),
+        "contract_plot_sample": features if cap is None else capped_sample(features, cap),
         "contract_evolution_1s": summary.contract_evolution(features),
         "contract_behavior_summary_metrics": metrics.contract_metrics(features, price_unit),
     }
@@ -39,7 +42,7 @@ SORTED_BY = {
 
 
 def build(
-    spark: SparkSession, panel: DataFrame, root: str, price_unit: str = "dollars", cap: int = MAX_ROWS_PER_WEEK
+    spark: SparkSession, panel: DataFrame, root: str, price_unit: str = "dollars", cap: int | None = None
 ) -> dict[str, str]:
     """Write the feature table once, then every product from it.
 

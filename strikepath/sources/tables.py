@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 from pyspark.sql.utils import AnalysisException
 
 WEEK = "week_id"
@@ -66,8 +65,12 @@ def read_product(
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """A small report (an index, metrics, daily totals) as one CSV with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A small report (an index, metrics, daily totals) as one CSV with a header.
+
+    One task writes, but it does not make the rows: the exchange keeps what comes
+    before it parallel.
+    """
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -152,8 +155,3 @@ def with_file(df: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     return df.withColumns({"file_path": path, "file": F.element_at(F.split(path, "/"), -1)})
 
-
-def head_per_week(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """First ``n`` rows of each week in a declared order."""
-    rank = F.row_number().over(W.partitionBy(WEEK).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

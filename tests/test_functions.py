@@ -125,3 +125,20 @@ def test_null_safe_aggregates(make):
         )
     )
     assert got == [(0.0, 2, 1, None, "a", None)]
+
+
+def test_snap_leaves_what_has_no_millionths(make):
+    values = [0.1234565, -0.1234565, float("nan"), 1e13, -2e13, float("inf"), None]
+    df = make([(v,) for v in values], "x double").select(prices.snap("x").alias("x"))
+    got = [r["x"] for r in df.collect()]
+    assert got[:2] == [0.123457, -0.123456] and got[2] != got[2]
+    assert got[3:] == [1e13, -2e13, float("inf"), None]
+
+
+def test_exact_mean_does_not_depend_on_order(spark):
+    rows = spark.range(64).selectExpr("id % 2 AS k", "(CASE WHEN id % 3 = 0 THEN 0.1 ELSE 0.7 END) + id * 1e5 AS x")
+    means = {
+        tuple(r["m"] for r in rows.repartition(n, "x").groupBy("k").agg(agg.exact_mean("x").alias("m")).orderBy("k").collect())
+        for n in (1, 3, 7)
+    }
+    assert len(means) == 1

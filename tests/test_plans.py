@@ -1,11 +1,12 @@
 """Physical plans that matter at scale."""
 
+import inspect
 import re
 
 from pyspark.sql import functions as F
 
 from strikepath.operators import bars, panel, stats, summary
-from strikepath.plans import views
+from strikepath.plans import views, weekly_contracts
 from strikepath.sources import adapters
 
 
@@ -74,3 +75,10 @@ def test_no_cross_joins_and_no_python_workers(spark, sf_dir):
         plan = initial(QUERIES[name](spark, sf_dir))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "Python" not in plan, name
+
+
+def test_views_read_every_row_of_a_large_week(spark):
+    panel_rows = spark.range(160_000).selectExpr("'2024-01-01' AS week_id", "cast(id % 97 AS double) AS abs_z_bps", "'0-1m' AS time_to_close_bucket")
+    shown = views.distance_histogram(panel_rows)
+    assert shown.agg(F.sum("count")).first()[0] == 160_000
+    assert inspect.signature(weekly_contracts.products).parameters["cap"].default is None

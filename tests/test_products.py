@@ -284,7 +284,7 @@ def test_profiles(make):
     assert rows_of(profile.time_ranges(df)) == [("second", ts("2024-01-01"), ts("2024-01-03"))]
     assert rows_of(profile.numeric_ranges(df)) == [("price", 1.0, 3.0, 2.0)]
     assert rows_of(profile.duplicate_keys(df, "ticker", "second")) == [("a", ts("2024-01-01"), 2)]
-    assert rows_of(profile.id_samples(df, "ticker")) == [("a",)]
+    assert rows_of(profile.id_samples(df, "ticker", 12)) == [("a",)]
     audit = profile.series_audit({"x": df, "y": df.withColumn("underlying_quote_mid", F.col("price"))})
     assert sorted((r.file, r.has_quote_mid, r.non_null_quote_mid) for r in audit.collect()) == [("x", False, 0), ("y", True, 2)]
 
@@ -313,3 +313,14 @@ def test_published_week_ids_are_mondays(spark):
     assert got.where(clock.week_start("week_start") != F.col("week_start")).count() == 0
     labels = [r.week_label for r in got.orderBy("week_id").collect()]
     assert (labels[0], labels[-1]) == ("Dec 15, 2025 - Dec 21, 2025", "Apr 27, 2026 - May 03, 2026")
+
+
+def test_equal_times_give_one_answer_for_any_partitioning(make):
+    rows = [("A", f"2024-01-01 00:00:0{i % 2}", float(i % 5)) for i in range(40)]
+    ticks = make(rows, "symbol string, t string, price double").selectExpr("symbol", "cast(t AS timestamp) ts_event", "price", "1 size")
+    found = set()
+    for n in (1, 3, 8):
+        by_symbol = bars.trade_bars_by_symbol(ticks.repartition(n, "price")).orderBy("second").collect()
+        every = bars.trade_bars(ticks.repartition(n, "price")).orderBy("second").collect()
+        found.add((tuple(r["futures_last_trade_price_1s"] for r in by_symbol), tuple(r["underlying_trade_price"] for r in every)))
+    assert found == {((4.0, 4.0), (4.0, 4.0))}
