@@ -5,13 +5,14 @@
    hashes of a set are its sketch.
 2. Inverted lists of retained values: of each sketch only the rarest values in
    the corpus are listed, as many as a pair over the threshold cannot all miss.
-   Each list links its members to its first one, so it stays linear in length.
+   Each list links its members to its most central one, whose values are the
+   most common, so it makes as many pairs as it is long.
 3. The merged sketch of a linked pair estimates its similarity; pairs far below
    the threshold go, the others are confirmed on their full sets. Confirmed
    links give components.
 4. Lists whose members still lie in several components are unfinished. Their
    members are listed again, now by the rarest part of their full sets, which is
-   exact, and pairs across components are confirmed in the same way.
+   exact, and those that meet are compared across components, block by block.
 
 Two members of one component need not be compared: no component is lost.
 
@@ -40,6 +41,8 @@ K = 48
 #: Of K retained values two sets at the threshold share 36 on average, with a
 #: deviation of 3; fewer than this share of them counts as impossible (5 deviations).
 LEAST_SHARED = 0.42
+#: Sets in a block of the comparison across components.
+BLOCK = 256
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -136,18 +139,20 @@ def sketches(documents: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
 
 
 def _rarest(postings: DataFrame, least_shared: float) -> DataFrame:
-    """Of each member's values (set_id, n, size, v) the rarest that two linked sets cannot all miss; only values of two members or more."""
+    """Of each member's values (set_id, n, size, v) the rarest that two linked sets cannot all miss; only values of two members or more.
+
+    ``central`` is high for members most of whose values many others have, as
+    the origin of a group of edited copies.
+    """
     often = postings.groupBy("v").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     # Values of one member alone come first in its order and need no list; they only shorten what is left to list.
     listed = postings.join(often, "v")
-    order = Window.partitionBy("set_id").orderBy("often", "v")
-    unique = F.col("size") - F.count(F.lit(1)).over(Window.partitionBy("set_id"))
+    own = Window.partitionBy("set_id")
+    unique = F.col("size") - F.count(F.lit(1)).over(own)
     reach = F.col("size") - F.greatest(F.lit(1), F.ceil(F.col("size") * F.lit(least_shared))) + 1
-    return listed.select("v", "set_id", "n", (F.row_number().over(order) + unique).alias("at"), reach.alias("reach")).where("at <= reach").select("v", "set_id", "n")
-
-
-def _similar_sizes(a: str, b: str, threshold: int) -> F.Column:
-    return (F.col(a) * 100 >= F.col(b) * threshold) & (F.col(b) * 100 >= F.col(a) * threshold)
+    central = F.sum(F.log("often")).over(own) / F.col("size")
+    at = F.row_number().over(own.orderBy("often", "v")) + unique
+    return listed.select("v", "set_id", "n", central.alias("central"), at.alias("at"), reach.alias("reach")).where("at <= reach").drop("at", "reach")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int, k: int) -> DataFrame:
@@ -231,7 +236,7 @@ def groups(documents: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD,
     )
     values = classes.select("set_id", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
     lists = stored(_rarest(values, LEAST_SHARED), "neardup-lists")
-    firsts = lists.groupBy("v").agg(F.min("set_id").alias("a"))
+    firsts = lists.groupBy("v").agg(F.max(F.struct("central", "set_id")).alias("top")).select("v", F.col("top.set_id").alias("a"))
     stars = lists.join(firsts, "v").where("a <> set_id").select("a", F.col("set_id").alias("b"))
     stars = stored(stars.distinct(), "neardup-stars")
     links = stored(_linked(_estimated(stars, classes, threshold, k), documents, classes, width, threshold), "neardup-links")
@@ -241,9 +246,7 @@ def groups(documents: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD,
     open_lists = placed.groupBy("v").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     open_lists = open_lists.where("lo <> hi and members > 2").select("v")
     rest = stored(placed.join(open_lists, "v", "left_semi").select("set_id", "root").distinct(), "neardup-open")
-    across = _across(rest, documents, classes, width, threshold)
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = _linked(_estimated(across, classes, threshold, k), documents, classes, width, threshold)
+    more = _across(rest, documents, classes, width, threshold)
     roots = components(links.union(stored(more, "neardup-links")))
 
     named = _with_root(classes.select("set_id", "first_id"), roots)
@@ -255,14 +258,64 @@ def groups(documents: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD,
 
 
 def _across(rest: DataFrame, documents: DataFrame, classes: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components, by the rarest part of their full sets: no pair over the threshold can share none of it."""
+    """Confirmed pairs (a, b) of different components among ``rest(set_id, root)``.
+
+    Sets are listed by the rarest part of their full items: no pair over the
+    threshold can share none of it. Sets that meet in lists of several
+    components make a region. A region is dealt into blocks of about
+    ``BLOCK`` sets, those of one large component into blocks of their own, and
+    each pair of blocks that can hold a link is compared by itself.
+    """
     sets = _full_sets(rest.select("set_id"), documents, classes, width)
     values = sets.select("set_id", F.size("items").cast("bigint").alias("n"), F.size("items").alias("size"), F.explode("items").alias("v"))
-    lists = stored(_rarest(values, threshold / 100).join(rest, "set_id"), "neardup-open-lists")
-    x = lists.select("v", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    y = lists.select("v", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    return x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _similar_sizes("n_a", "n_b", threshold)).select("a", "b").distinct()
+    lists = stored(_rarest(values, threshold / 100).select("v", "set_id").join(rest, "set_id"), "neardup-open-lists")
+    heads = lists.groupBy("v").agg(F.min("set_id").alias("a"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    regions = components(lists.join(heads, "v").select("a", F.col("set_id").alias("b"))).select(F.col("node").alias("set_id"), F.col("root").alias("region"))
+    placed = stored(rest.join(regions, "set_id"), "neardup-regions")
+    sizes = placed.groupBy("region", "root").agg(F.count(F.lit(1)).alias("of_root"))
+    own = F.when(F.col("of_root") >= BLOCK, F.col("root"))
+    sizes = sizes.withColumn("part", own)
+    parts = sizes.groupBy("region", "part").agg(F.ceil(F.sum("of_root") / BLOCK).cast("int").alias("blocks"))
+    placed = placed.join(sizes.drop("of_root"), ["region", "root"]).alias("p").join(
+        parts.alias("q"), (F.col("p.region") == F.col("q.region")) & F.col("p.part").eqNullSafe(F.col("q.part"))
+    )
+    placed = placed.select("p.region", "set_id", "root", "p.part", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("at"))
+    placed = stored(placed.withColumn("block", F.xxhash64("region", F.coalesce("part", F.unhex(F.lit(""))), "at")), "neardup-blocks")
+    blocks = placed.select("region", "part", "block").distinct()
+    x, y = blocks.toDF("region", "part_x", "x"), blocks.toDF("region", "part_y", "y")
+    met = x.join(y, "region").where((F.col("x") <= F.col("y")) & ~F.coalesce(F.col("part_x") == F.col("part_y"), F.lit(False))).select("x", "y")
+    sides = met.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    full = placed.select("set_id", "root", "block").join(sets, "set_id")
+    return sides.join(full, "block").select("x", "y", "block", "set_id", "root", "items").groupBy("x", "y").applyInArrow(_compare(threshold), "a binary, b binary")
+
+
+def _compare(threshold: int) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        block, ids = table.column("block").to_numpy(), table.column("set_id").to_pylist()
+        roots = table.column("root").to_pylist()
+        items = [x.values.to_numpy() for chunk in table.column("items").chunks for x in chunk]
+        first = block == table.column("x")[0].as_py()
+        left = np.flatnonzero(first)
+        right = left if first.all() else np.flatnonzero(~first)
+        values = np.concatenate([items[j] for j in right])
+        owner = np.repeat(np.arange(len(right)), [len(items[j]) for j in right])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        sizes = np.array([len(items[j]) for j in right])
+        a, b = [], []
+        for i in left.tolist():
+            lo, hi = np.searchsorted(values, items[i], "left"), np.searchsorted(values, items[i], "right")
+            n = hi - lo
+            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            shared = np.bincount(owner[at], minlength=len(right))
+            linked = 100 * shared >= threshold * (len(items[i]) + sizes - shared)
+            for j in right[linked].tolist():
+                if roots[i] != roots[j]:
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
+    return run
 
 
 def keep_first(documents: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
