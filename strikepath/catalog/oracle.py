@@ -1243,6 +1243,24 @@ def _builds() -> None:
              count(underlying_trade_price) AS matched_rows, count(underlying_trade_price) * 100e0 / count(*) AS matched_pct
              FROM bysec GROUP BY 1"""),
     )
+    register(
+        "e03_strict_enrichment",
+        pick("week_id n_rows:i matched_rows:i matched_pct:d", """SELECT week_id, count(*) AS n_rows,
+             count(futures_last_trade_price_1s) AS matched_rows,
+             count(futures_last_trade_price_1s) * 100e0 / count(*) AS matched_pct FROM strict GROUP BY 1"""),
+    )
+    register(
+        "e03_alias_enrichment",
+        pick("dataset week_id non_null:i", """
+             SELECT 'contract_evolution_1s' AS dataset, week_id, count(futures_last_trade_price_1s) AS non_null FROM strict GROUP BY 2
+             UNION ALL SELECT 'contract_plot_sample', week_id, count(futures_last_trade_price_1s) FROM strict GROUP BY 2"""),
+    )
+    register(
+        "e03_by_second_after_strict",
+        pick("week_id n_rows:i matched_rows:i matched_pct:d strict_columns:i", """SELECT week_id, count(*) AS n_rows,
+             count(underlying_trade_price) AS matched_rows, count(underlying_trade_price) * 100e0 / count(*) AS matched_pct,
+             0 AS strict_columns FROM bysec GROUP BY 1"""),
+    )
 
 
 for build in (_sources, _projections, _joins, _aggregates, _windows, _orders, _times, _expressions, _views, _profiles, _builds):

@@ -1334,10 +1334,37 @@ def _(d):
     return _rows_per_week(d, root, sorted(n for n, path in written.items() if not path.endswith(".csv")))
 
 
-@query("e03_trade_enrichment")
-def _(d):
+def _enriched_root(d: Data) -> str:
+    """Both panel products, written without trades."""
     root = d.scratch("enrichment")
     evolution = d.quotes.select("week_id", "ticker", "second", "observed_at", "selected_futures_symbol")
     for product in trade_enrichment.PRODUCTS:
         tables.write_product(evolution, root, product, ("ticker", "second"))
-    return trade_enrichment.build(d.spark, d.trades, root)
+    return root
+
+
+@query("e03_trade_enrichment")
+def _(d):
+    return trade_enrichment.build(d.spark, d.trades, _enriched_root(d))
+
+
+@query("e03_strict_enrichment")
+def _(d):
+    return trade_enrichment.build(d.spark, d.trades, _enriched_root(d), strict=True)
+
+
+@query("e03_alias_enrichment")
+def _(d):
+    root = _enriched_root(d)
+    trade_enrichment.build(d.spark, d.trades, root, strict=True)
+    return trade_enrichment.alias_build(d.spark, root)
+
+
+@query("e03_by_second_after_strict")
+def _(d):
+    """A by-second run over strict results: rows per week, and how many columns of the strict run are left."""
+    root = _enriched_root(d)
+    trade_enrichment.build(d.spark, d.trades, root, strict=True)
+    rate = trade_enrichment.build(d.spark, d.trades, root)
+    left = tables.read_product(d.spark, root, trade_enrichment.PRODUCTS[0])
+    return rate.withColumn("strict_columns", F.lit(len(set(enrich.STRICT_COLUMNS) & set(left.columns))))

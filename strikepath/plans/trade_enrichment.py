@@ -12,6 +12,11 @@ PRODUCTS = ("contract_evolution_1s", "contract_plot_sample")
 ORDER = ("ticker", "second")
 
 
+def by_second(panel: DataFrame, found: DataFrame) -> DataFrame:
+    """Trades by second; strict columns of an earlier run, which would be stale, go."""
+    return enrich.attach_trades_by_second(panel, found, replace_strict=True)
+
+
 def build(spark: SparkSession, trades: DataFrame, root: str, strict: bool = False) -> DataFrame:
     """Rewrite both panel products with trade columns; return the match rate per week."""
     if strict:
@@ -19,7 +24,7 @@ def build(spark: SparkSession, trades: DataFrame, root: str, strict: bool = Fals
         attach = enrich.attach_trades_strict
     else:
         found, price = bars.trade_bars(trades), "underlying_trade_price"
-        attach = enrich.attach_trades_by_second
+        attach = by_second
     for product in PRODUCTS:
         rewrite_product(
             spark, root, product, lambda panel: attach(panel, found), scratch_path(spark, product), ORDER
