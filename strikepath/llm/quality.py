@@ -115,7 +115,9 @@ def _repeats(df: DataFrame) -> DataFrame:
     twice = F.filter("placed", lambda x, k: (x["h"] == F.get("placed", k - 1)["h"]) | (x["h"] == F.get("placed", k + 1)["h"]))
     df = df.withColumn("starts", F.sort_array(F.transform(twice, lambda x: x["i"])))
     covered = F.transform("starts", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("starts", k + 1) - p, F.lit(3))))
-    return df.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0), lambda s, x: s + x))
+    # The partition id, which is never below 0, keeps later filters above this step: pushed below it they would
+    # repeat the arrays inside the functions over them.
+    return df.withColumn("n_repeat_words", F.when(F.spark_partition_id() >= 0, F.aggregate(covered, F.lit(0), lambda s, x: s + x)))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
