@@ -37,11 +37,11 @@ def test_rules_equal_brute_force(spark):
 
 def test_model_learns_words_of_hosts_it_has_not_seen(spark):
     words = "harbour valley painter summit orchard lantern meadow copper willow canyon".split()
-    rows = [(i, f"https://{w}-{i}.example.org/en/{i}") for i, w in enumerate(words * 8)]
-    rows += [(1000 + i, f"https://{w}.example.org/en/{i}") for i, w in enumerate(("casino-night", "best-poker-now", "adult-zone", "free-pills24"))]
+    rows = [(i, f"https://{w}-{i}.example.org/en/{i}") for i, w in enumerate(words * 200)]
+    rows += [(10_000 + i, f"https://{w}.example.org/en/{i}") for i, w in enumerate(("casino-night", "best-poker-now", "adult-zone", "free-pills24"))]
     out = {r["page_id"]: r["verdict"] for r in urls.judge(pages(spark, rows)).collect()}
-    assert sum(out[1000 + i] == "block" for i in range(4)) >= 3
-    assert sum(out[i] == "block" for i in range(80)) <= 2
+    assert sum(out[10_000 + i] == "block" for i in range(4)) >= 3
+    assert sum(out[i] == "block" for i in range(2000)) <= 10
 
 
 def test_without_both_verdicts_no_model_is_trained(spark):
