@@ -31,7 +31,7 @@ from strikepath.llm.common import pick, slices, texts_of
 ENCODED = "doc_id bigint, ids array<int>"
 DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 WORD_END = "</w>"
-_NEVER = np.int64(1) << 40
+NEVER = 1 << 40
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -44,7 +44,7 @@ def byte_alphabet() -> dict[int, str]:
 class WordBpe:
     """Encoder and decoder of one vocabulary file; encoded words are kept between calls."""
 
-    def __init__(self, vocabulary: str, kept: int = 300_000):
+    def __init__(self, vocabulary: str, kept: int = 400_000):
         with open(vocabulary, encoding="utf-8") as f:
             data = json.load(f)
         self.vocab: dict[str, int] = data["model"]["vocab"]
@@ -56,50 +56,57 @@ class WordBpe:
         self.bytes = byte_alphabet()
         self.library = Tokenizer.from_file(vocabulary)
         self.longest = max(len(t.removesuffix(WORD_END)) for t in self.vocab)
+        # Entries that end a word, by what stands before the end mark, and the others.
+        self.final = {t.removesuffix(WORD_END): i for t, i in self.vocab.items() if t.endswith(WORD_END)}
+        self.inner = {t: i for t, i in self.vocab.items() if not t.endswith(WORD_END)}
         self.kept = kept
+        self.known: dict[str, tuple[bytes, bytes]] = {}
         self.cache: dict[str, tuple[bytes, bytes]] = {}
         # Merges: rank of a pair of ids, and which pair an id is made of.
         size = max(self.vocab.values()) + 1
         self.size = size
         self.made = np.full(size, -1, np.int64)
         self.left, self.right = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.pair_ranks: dict[tuple[int, int], int] = {}
+        self.made_by: dict[int, int] = {}
         for rank, pair in enumerate(data["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             x, y, z = self.vocab[a], self.vocab[b], self.vocab[a + b]
-            self.ranks.setdefault((x, y), (rank, z))
+            self.pair_ranks.setdefault((x, y), rank)
+            self.made_by[rank] = z
             if self.made[z] < 0:
                 self.made[z], self.left[z], self.right[z] = rank, x, y
-        keys = np.array([x * size + y for x, y in self.ranks], np.int64)
+        keys = np.array([x * size + y for x, y in self.pair_ranks], np.int64)
         order = np.argsort(keys)
-        self.keys, self.key_ranks = keys[order], np.array([r for r, _ in self.ranks.values()], np.int64)[order]
+        self.keys, self.key_ranks = keys[order], np.array(list(self.pair_ranks.values()), np.int64)[order]
 
     def propose(self, word: str) -> list[int]:
         """The longest entry at each place; empty if some place has none."""
         out, at, n = [], 0, len(word)
-        vocab = self.vocab
-        while at < n:
-            for end in range(min(n, at + self.longest), at, -1):
-                i = vocab.get(word[at:end] + WORD_END if end == n else word[at:end])
+        final, inner, longest = self.final, self.inner, self.longest
+        while n - at > longest or word[at:] not in final:
+            for end in range(min(n - 1, at + longest), at, -1):
+                i = inner.get(word[at:end])
                 if i is not None:
                     out.append(i)
                     at = end
                     break
             else:
                 return []
+        out.append(final[word[at:]])
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each pair of entries, whether merging the joined symbols gives the two again."""
         a, b = a.copy(), b.copy()
         ok = np.ones(len(a), bool)
-        limit = np.full(len(a), _NEVER)
+        limit = np.full(len(a), NEVER, np.int64)
         live = np.arange(len(a))
         while len(live):
             x, y = a[live], b[live]
             key = x * self.size + y
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.where(self.keys[at] == key, self.key_ranks[at], _NEVER)
+            rank = np.where(self.keys[at] == key, self.key_ranks[at], NEVER)
             wrong = rank < limit[live]
             ok[live[wrong]] = False
             # Undo the later of the two merges; of equal ones the right is later, as merging goes from the left.
@@ -118,12 +125,19 @@ class WordBpe:
     def merge(self, word: str) -> list[int]:
         """Exact merging: the lowest rank first, of equal ones the leftmost."""
         ids = [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + WORD_END]]
-        while len(ids) > 1:
-            found = [(self.ranks[p][0], k) for k, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.ranks]
-            if not found:
+        rank_of = self.pair_ranks.get
+        ranks = [rank_of(p, NEVER) for p in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            rank = min(ranks)
+            if rank == NEVER:
                 break
-            _, k = min(found)
-            ids[k : k + 2] = [self.ranks[ids[k], ids[k + 1]][1]]
+            k = ranks.index(rank)
+            ids[k : k + 2] = [self.made_by[rank]]
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = rank_of((ids[k], ids[k + 1]), NEVER)
+            if k:
+                ranks[k - 1] = rank_of((ids[k - 1], ids[k]), NEVER)
         return ids
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
@@ -150,11 +164,16 @@ class WordBpe:
 
     def _learn(self, chunks: set[str]) -> None:
         pieces = {c: self._pieces(c) for c in chunks}
-        words = sorted({w for p in pieces.values() for w in p})
-        ids = dict(zip(words, self.encode_words(words), strict=True))
+        if len(self.known) > self.kept:
+            self.known.clear()
+        ids = self.known
+        words = list({w for p in pieces.values() for w in p}.difference(ids))
+        token = self.token
+        for w, own in zip(words, self.encode_words(words), strict=True):
+            ids[w] = (np.array(own, "<u4").tobytes(), " ".join([token[i] for i in own]).encode())
         for c, p in pieces.items():
-            own = [i for w in p for i in ids[w]]
-            self.cache[c] = (np.array(own, "<u4").tobytes(), " ".join([self.token[i] for i in own]).encode())
+            found = [ids[w] for w in p]
+            self.cache[c] = found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), b" ".join([x[1] for x in found]))
 
     def _plain(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids and decoded bytes of texts without special tokens. A space always ends a word, so texts go chunk by chunk."""
