@@ -170,15 +170,17 @@ def at_or_above_quantile(
 
 
 def category_counts(df: DataFrame, keys: Sequence[str], category: str, unknown: str = "Unknown") -> DataFrame:
-    """Rows per category, NULL under a label of its own."""
+    """Rows per category, NULL under a label of its own; most frequent first within each group, equal counts by label."""
     label = F.coalesce(F.col(category), F.lit(unknown)).alias(category)
-    return df.groupBy(*keys, label).agg(rows().alias("count"))
+    counted = df.groupBy(*keys, label).agg(rows().alias("count"))
+    return counted.orderBy(*keys, F.desc("count"), category)
 
 
 def category_shares(df: DataFrame, keys: Sequence[str], category: str) -> DataFrame:
     """Category counts with their part of the group."""
     whole = F.sum("count").over(W.partitionBy(*keys))
-    return category_counts(df, keys, category).withColumn("share", F.col("count") / whole)
+    shares = category_counts(df, keys, category).withColumn("share", F.col("count") / whole)
+    return shares.orderBy(*keys, F.desc("count"), category)
 
 
 def pivot_mean(

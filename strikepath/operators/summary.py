@@ -18,6 +18,7 @@ FIRST_FIXED = (
     "decision_time",
     "minutes_before_close_at_decision",
 )
+# Output columns in their given order.
 DECISION_TIME_COLUMNS = (
     "ticker",
     "contract_open_time",

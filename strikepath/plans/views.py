@@ -75,6 +75,7 @@ def decision_histogram(decisions: DataFrame, bins: int = 40) -> DataFrame:
     )
 
 
+# Output columns in their given order.
 METADATA = (
     "ticker",
     "contract_open_time",
@@ -126,6 +127,7 @@ def move_boxes(moves: DataFrame, bins: int = 60) -> DataFrame:
     return stats.box_stats(moves, (*CONTRACT, "time_to_close_bucket"), "abs_yes_price_change_5s_display")
 
 
+# Output columns in their given order.
 LARGEST_MOVES = (
     "second",
     "yes_price_change_5s_display",
@@ -235,6 +237,7 @@ def decision_statistics(decisions: DataFrame) -> DataFrame:
     return stats.describe(_decided(decisions), [WEEK], "minutes_before_close_at_decision", per_week=True)
 
 
+# Output columns in their given order.
 DECISION_TABLE = (
     "ticker",
     "contract_open_time",
@@ -326,6 +329,7 @@ def sensitivity_curve(bins: DataFrame) -> DataFrame:
     ).orderBy(WEEK, "time_order", "moneyness_order")
 
 
+# Output columns in their given order.
 PREVIEW_COLUMNS = (
     "second",
     "underlying_value",
