@@ -1,4 +1,4 @@
-"""Line deduplication by pairwise alignment.
+"""Line and passage deduplication by pairwise alignment.
 
 1. Lines are compared without outer white space. A line of at least
    ``min_words`` words is a key: long enough that sharing it is no accident.
@@ -9,7 +9,16 @@
    on both sides anchor the alignment, the longest rising run of anchors is
    kept, and blocks grow from it; this is repeated on what is left.
 4. Aligned common blocks that hold a key are deleted from the later document.
-   A key's first holder never loses it, so every passage stays once.
+   A key's first holder never loses it to a whole line, so every line stays once.
+5. Passages that start or end inside lines are found on words, white space and
+   line breaks apart: each window of ``PASSAGE`` words that an earlier document
+   has too is deleted. Windows in a row with the same lowest run of ``GRAM``
+   words make a stretch. Stretches whose run is held by one document are left
+   out; equal stretches are matched whole; of the first of each, windows are
+   matched one by one if its run stands in different stretches. No pair of
+   documents is compared, and only words, runs and stretches whose 64-bit hashes all agree match.
+   A line that loses all its words counts as deleted; of any other the words
+   before and after stay. Shorter repeats inside longer lines stay.
 
 Order is by doc_id. Defined results: a null text has one empty line; rows that
 share a doc_id count as versions of one document, are never compared with each
@@ -20,11 +29,14 @@ ignored.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +44,12 @@ from pyspark.sql import functions as F
 from strikepath.llm.common import DOCUMENT_COLUMNS, pick, slices, stored, texts_of
 
 MIN_WORDS = 5
+PASSAGE = 50
+GRAM = 10
+#: Odd, so that its powers have inverses modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+#: Words whose runs are hashed at once.
+STEP = 100_000
 LAST = (1 << 63) - 1
 
 
@@ -142,6 +160,156 @@ def _align(min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _runs(ids: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` numbers in a row, from hashes of runs half as long."""
+    out, held = None, 0
+    part, length = ids, 1
+    while True:
+        if size & length:
+            if out is None:
+                out, held = part, length
+            else:
+                n = len(ids) - held - length + 1
+                out = out[:n] * np.uint64(pow(BASE, length, 1 << 64)) + part[held : held + n]
+                held += length
+        if held == size:
+            return out
+        part = part[:-length] * np.uint64(pow(BASE, length, 1 << 64)) + part[length:]
+        length *= 2
+
+
+def _lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the smallest of every ``width`` values in a row is, the leftmost of equal ones."""
+    at, length = np.arange(len(values)), 1
+    while length < width:
+        step = min(length, width - length)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[left] <= values[right], left, right)
+        length += step
+    return at
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * np.uint64(BASE)
+    return values ^ (values >> np.uint64(29))
+
+
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _ids(words: list[str]) -> np.ndarray:
+    """A hash of every word: its share of the running sum of bytes times powers, brought back to the first power."""
+    data = np.frombuffer(" ".join(words).encode("utf-8", "surrogatepass"), np.uint8)
+    ends = np.append(np.flatnonzero(data == 32), len(data))
+    starts = np.append(0, ends[:-1] + 1)
+    size = 1 << max(16, len(data).bit_length())
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, size)[: len(data)], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * _powers(pow(BASE, -1, 1 << 64), size)[starts])
+
+
+def stretches(words: list[str]) -> np.ndarray:
+    """Rows (run, key, start, more): windows start .. start + more share their lowest run; hashes of it and of the whole stretch."""
+    out = [np.empty((4, 0), np.int64)]
+    for at in range(0, len(words) - PASSAGE + 1, STEP):
+        ids = _ids(words[at : at + STEP + PASSAGE - 1])
+        grams, windows = _mixed(_runs(ids, GRAM)), _runs(ids, PASSAGE)
+        low = _lowest(grams, PASSAGE - GRAM + 1)
+        start = np.flatnonzero(np.diff(low, prepend=-1))
+        end = np.append(start[1:], len(low)) - 1
+        more = end - start
+        # The two end windows overlap or touch, so they and their distance tell the whole.
+        key = _mixed(_mixed(windows[start]) * np.uint64(BASE) + windows[end] + more.astype(np.uint64))
+        out.append(np.stack([grams[low[start]].view(np.int64), key.view(np.int64), start + at, more]))
+    return np.concatenate(out, axis=1)
+
+
+def _lists(columns: np.ndarray, sizes: list[int], names: list[str]) -> pa.Array:
+    """One list of structs per size, from the columns side by side."""
+    at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(c) for c in columns], names=names))
+
+
+STRETCH = ["run", "key", "start", "more"]
+
+
+def _gist(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, rows=2000):
+        found = [stretches(text.split()) for text in texts_of(batch)]
+        lists = _lists(np.concatenate(found, axis=1), [f.shape[1] for f in found], STRETCH)
+        yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("digest"), lists], names=["at", "digest", "found"])
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of the stretches in question, one by one."""
+    for batch in slices(batches):
+        found, sizes = [np.empty((3, 0), np.int64)], []
+        for text, asked in zip(texts_of(batch), batch.column("asked").to_pylist(), strict=True):
+            words = text.split()
+            for x in asked:
+                start, n = x["start"], x["more"] + 1
+                windows = _mixed(_runs(_ids(words[start : start + n + PASSAGE - 1]), PASSAGE)).view(np.int64)
+                found.append(np.stack([np.full(n, x["run"]), windows, np.arange(start, start + n)]))
+            sizes.append(sum(x["more"] + 1 for x in asked))
+        lists = _lists(np.concatenate(found, axis=1), sizes, ["run", "window", "start"])
+        yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("digest"), lists], names=["at", "digest", "found"])
+
+
+def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same positions in ranges that neither touch nor overlap."""
+    out: list[tuple[int, int]] = []
+    for first, end in sorted(ranges):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((first, end))
+    return out
+
+
+def without(text: str, cut: list[int], words: list[tuple[int, int]]) -> tuple[list[int], str]:
+    """All lines that go, and the text without them and without the given ranges of its words."""
+    gone, kept, at, n = set(cut), [], 0, 0
+    words = _joined(words)
+    for k, line in enumerate(split_lines(text)):
+        own = [m.span() for m in re.finditer(r"\S+", line)] if words else []
+        here = range(at, at + len(own))
+        at += len(own)
+        while n < len(words) and words[n][1] <= here.start:
+            n += 1
+        lost: set[int] = set()
+        for m in range(n, len(words)):
+            first, end = words[m]
+            if first >= here.stop:
+                break
+            lost.update(range(max(first, here.start) - here.start, min(end, here.stop) - here.start))
+        if k in gone:
+            continue
+        if lost and len(lost) == len(own):
+            gone.add(k)
+            continue
+        if lost:
+            stay = [j for j in range(len(own)) if j not in lost]
+            # Each word that stays keeps the white space before it; the first keeps the line's.
+            line = line[: own[0][0]] + "".join(line[own[j - 1][1] if i and j else own[j][0] : own[j][1]] for i, j in enumerate(stay)) + (line[own[-1][1] :] if stay[-1] == len(own) - 1 else "")
+        kept.append(line)
+    return sorted(gone), "\n".join(kept)
+
+
+def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        cuts, texts = [], []
+        for text, cut, words in zip(batch.column("text"), batch.column("cut").to_pylist(), batch.column("words").to_pylist(), strict=True):
+            gone, kept = without(text.as_py() or "", cut, [(w["first"], w["end"]) for w in words]) if cut or words else ([], None)
+            cuts.append(gone)
+            texts.append(kept)
+        columns = {c: batch.column(c) for c in DOCUMENT_COLUMNS} | {"cut": pa.array(cuts, pa.list_(pa.int32())), "partners": batch.column("partners"), "kept_text": pa.array(texts, pa.string())}
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     return documents.withColumn("at", F.coalesce("doc_id", F.lit(LAST))).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
 
@@ -168,25 +336,50 @@ def cuts(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def shared_passages(documents: DataFrame) -> DataFrame:
+    """(at, digest, words, partners): for each row that loses passages their word positions, and the first documents that have them."""
+    keyed = _keyed(pick(documents, {"doc_id": "bigint", "text": "string"})).select("at", "digest", "text")
+    kind = f"at bigint, digest bigint, found array<struct<{','.join(f'{c}:bigint' for c in STRETCH)}>>"
+    drawn = stored(keyed.mapInArrow(_gist, kind), "linededup-stretches").select("at", "digest", F.explode("found").alias("x")).select("at", "digest", "x.*")
+    several = drawn.groupBy("run").agg(F.min("at").alias("a"), F.max("at").alias("z")).where("a < z").select("run")
+    # Stored, so that the join has exchanges of its own, whose large partitions are split.
+    several = stored(several, "linededup-several").hint("shuffle_hash")
+    shared = stored(drawn.join(several, "run", "left_semi"), "linededup-shared")
+    # Equal stretches, whole.
+    whole = stored(shared.groupBy("run", "key").agg(F.min("at").alias("first")), "linededup-whole")
+    met = stored(shared.join(whole, ["run", "key"]).select("run", "at", "digest", "start", "more", "first"), "linededup-met")
+    repeats = met.where("at > first").select("at", "digest", "first", "start", "more")
+    # Windows of the first of each, where its run stands in different stretches.
+    doubt = whole.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
+    asked = met.where("at = first").join(doubt, "run", "left_semi").groupBy("at", "digest").agg(F.collect_set(F.struct("run", "start", "more")).alias("asked"))
+    single = keyed.join(asked, ["at", "digest"]).mapInArrow(_single, "at bigint, digest bigint, found array<struct<run:bigint,window:bigint,start:bigint>>")
+    windows = stored(single, "linededup-windows").select("at", "digest", F.explode("found").alias("x")).select("at", "digest", "x.*")
+    firsts = windows.groupBy("run", "window").agg(F.min("at").alias("first"), F.max("at").alias("z")).where("first < z").drop("z")
+    others = windows.join(firsts, ["run", "window"]).where("at > first").select("at", "digest", "first", "start", F.lit(0).cast("bigint").alias("more"))
+    span = F.struct(F.col("start").cast("int").alias("first"), (F.col("start") + F.col("more") + PASSAGE).cast("int").alias("end"))
+    return repeats.unionByName(others).groupBy("at", "digest").agg(F.collect_set(span).alias("words"), F.collect_set("first").alias("partners"))
+
+
 def dedup(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The columns of documents, with repeated blocks deleted from later ones, and n_lines, cut, partners, kept_text."""
-    found = stored(cuts(documents, min_words), "linededup-cuts")
+    """The columns of documents, with repeated blocks and passages deleted from later ones, and n_lines, cut, partners, kept_text."""
+    kinds = {"cut": "array<int>", "words": "array<struct<first:int,end:int>>", "partners": "array<bigint>"}
+    none = {c: F.array().cast(kind) for c, kind in kinds.items()}
+    by_line = cuts(documents, min_words).select("at", "digest", "cut", none["words"].alias("words"), "partners")
+    by_word = shared_passages(documents).select("at", "digest", none["cut"].alias("cut"), "words", "partners")
+    both = by_line.unionByName(by_word).groupBy("at", "digest").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in kinds])
+    found = stored(both.withColumn("partners", F.sort_array(F.array_distinct("partners"))), "linededup-cuts")
     joined = _keyed(pick(documents, DOCUMENT_COLUMNS)).join(found, ["at", "digest"], "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("cut", i)), "\n")
-    return joined.select(
-        *DOCUMENT_COLUMNS,
-        F.size(lines).alias("n_lines"),
-        F.coalesce("cut", F.array().cast("array<int>")).alias("cut"),
-        F.coalesce("partners", F.array().cast("array<bigint>")).alias("partners"),
-        F.when(F.col("cut").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
+    columns = ", ".join(f"{c} {kind}" for c, kind in DOCUMENT_COLUMNS.items())
+    applied = joined.select(*DOCUMENT_COLUMNS, *[F.coalesce(c, none[c]).alias(c) for c in kinds]).mapInArrow(
+        _applied, f"{columns}, cut array<int>, partners array<bigint>, kept_text string"
     )
+    return applied.select(*DOCUMENT_COLUMNS, F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n_lines"), "cut", "partners", F.when(F.size("partners") > 0, F.col("kept_text")).otherwise(F.col("text")).alias("kept_text"))
 
 
 def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Documents with repeated blocks deleted; one that loses all it had goes, one that loses nothing stays as it was."""
+    """Documents with repeated blocks and passages deleted; one that loses all it had goes, one that loses nothing stays as it was."""
     out = dedup(documents, min_words)
-    changed = F.size("cut") > 0
+    changed = F.size("partners") > 0
     return out.where(~changed | F.col("kept_text").rlike(r"\S")).select(
         "doc_id", F.col("kept_text").alias("text"), "lang", "source", F.when(changed, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars")
     )
