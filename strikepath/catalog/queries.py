@@ -352,17 +352,24 @@ def _(d):
     return big.select(*CONTRACT, "observed_at", "underlying_value", "p95")
 
 
+SIX_PRODUCTS = (
+    "contract_summary",
+    "contract_evolution_1s",
+    "contract_plot_sample",
+    "sensitivity_bins",
+    "threshold_heatmap",
+    "contract_decision_times",
+)
+
+
+def six_products(spark: SparkSession, contract_rows: DataFrame, root: str) -> dict[str, DataFrame]:
+    """The six products a week must have, as a build over all weeks wrote them."""
+    weekly_contracts.build(spark, contract_rows, root)
+    return {name: tables.read_product(spark, root, name) for name in SIX_PRODUCTS}
+
+
 def _six_products(d: Data) -> dict[str, DataFrame]:
-    """The weeks of six products as a build makes them."""
-    return {
-        "contract_summary": d.summary,
-        "contract_evolution_1s": summary.contract_evolution(d.quotes),
-        # Kept for the later period only, so the earlier weeks are incomplete.
-        "contract_late_rows": d.quotes.where(F.col("data_source_period") == "late"),
-        "sensitivity_bins": summary.sensitivity_bins(d.moves),
-        "threshold_heatmap": summary.threshold_heatmap(d.moves),
-        "contract_decision_times": d.decisions,
-    }
+    return six_products(d.spark, adapters.contract_1s(d.spark, d.sf_dir), d.scratch("complete-weeks"))
 
 
 @query("p13_complete_weeks")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from strikepath import roles
+from strikepath.catalog import queries
 from strikepath.operators import summary
 from strikepath.plans import trade_enrichment, views, weekly_contracts, weekly_markets
 from strikepath.sources import adapters, tables
@@ -101,3 +102,16 @@ def test_views_fall_back_without_buckets_and_prices(spark, sf_dir):
     markers = views.decision_markers(features, summary.decision_times(features))
     gaps = markers.where(F.col("decision_marker") > F.col("close_marker"))
     assert markers.where("decision_marker IS NOT NULL").count() > 0 and gaps.count() == 0
+
+
+def test_complete_weeks_are_asked_of_written_products(spark, sf_dir, tmp_path):
+    rows = adapters.contract_1s(spark, sf_dir).withColumn("week", F.date_format(F.date_trunc("week", "second"), "yyyy-MM-dd")).localCheckpoint()
+    weeks = sorted(r.week for r in rows.select("week").distinct().collect())
+    got = queries.QUERIES["p13_complete_weeks"](spark, sf_dir).collect()
+    assert sorted(r.week_id for r in got) == weeks
+    # One row a week has no change over five rows, so the week's bins and heat map are not written.
+    short = rows.where(F.col("week") == weeks[0]).limit(1).unionByName(rows.where(F.col("week") == weeks[1])).drop("week")
+    six = queries.six_products(spark, short, str(tmp_path))
+    assert "contract_plot_sample" in six and len(six) == 6
+    assert sorted(r.week_id for r in six["contract_plot_sample"].select("week_id").distinct().collect()) == weeks[:2]
+    assert [r.week_id for r in queries.metrics.complete_weeks(six, "weeks").collect()] == weeks[1:2]
