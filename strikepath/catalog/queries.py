@@ -252,11 +252,12 @@ def _(d):
     strict = enrich.attach_trades_strict(d.quotes, bars.trade_bars_by_symbol(d.trades))
     # A panel row without a trade is no count of trades.
     traded = strict.where(F.col("has_futures_trade_1s"))
+    # Windows first; the panel products only stand in for a week that has none.
     sources = [
-        ("contract_plot_sample", by_second, "second", "underlying_trade_count"),
-        ("contract_evolution_1s", traded, "second", "futures_trade_count_1s"),
         ("futures_label_window_behavior", behavior, "window_start", "trade_count_sum"),
         ("futures_15m_windows", named, "window_start", "trade_count_sum"),
+        ("contract_evolution_1s", traded, "second", "futures_trade_count_1s"),
+        ("contract_plot_sample", by_second, "second", "underlying_trade_count"),
     ]
     return tables.first_source_per_week(sources).groupBy("week_id", "source").agg(
         agg.rows().alias("n_rows"), agg.sum_or_zero("trade_count").alias("trade_count")
