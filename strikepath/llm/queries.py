@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikepath.llm import bpe, licenses, line_dedup, near_dup, packing, preference, quality, secret_scan, spotsigs, urls
+from strikepath.llm import bpe, lexical, licenses, line_dedup, near_dup, packing, preference, quality, secret_scan, spotsigs, urls
 from strikepath.llm.common import read, scratch
 
 
@@ -92,6 +92,11 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item's 20 highest-scoring documents."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("item_digest")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_licenses": op2_licenses,
@@ -103,9 +108,27 @@ QUERIES = {
     "op8_preferences": op8_preferences,
     "op9_spotsigs": op9_spotsigs,
     "op10_near_dup": op10_near_dup,
+    "op12_lexical": op12_lexical,
 }
 
 ORACLE_SQL = {
+    "op12_lexical": r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+  UNION ALL
+  SELECT 'i', item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM benchmark),
+p AS (SELECT side, id, term, count(*) AS tf FROM w GROUP BY ALL),
+n AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM p WHERE side = 'd' GROUP BY id),
+t AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+m AS (SELECT id, 100 - 25 + (25 * n * docs) // terms AS m FROM n, t),
+v AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, t WHERE side = 'd' GROUP BY term),
+s AS (SELECT i.id AS item_id, d.id AS doc_id, CAST(sum(i.tf * v.weight * ((1000000000 * d.tf) // (1000 * d.tf + 12 * m.m))) AS BIGINT) AS score
+      FROM p i JOIN v USING (term) JOIN p d ON d.term = i.term AND d.side = 'd' JOIN m ON m.id = d.id WHERE i.side = 'i' GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+""",
     "op10_near_dup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

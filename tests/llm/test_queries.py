@@ -12,11 +12,11 @@ from test_near_dup import brute as components
 from test_packing import check
 from test_secret_scan import brute as secrets_of
 
-TABLES = ("documents", "conversations", "pages", "labels")
+TABLES = ("documents", "conversations", "pages", "labels", "benchmark")
 
 
-def test_all_ten_and_the_pipeline_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+def test_all_operators_and_the_pipeline_are_registered():
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in (*range(1, 11), 12)]
     assert {"pipeline", *QUERIES} <= set(entry.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_repeats", "near_duplicates", "secrets", "packed"]
 
