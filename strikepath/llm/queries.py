@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikepath.llm import bpe, lexical, licenses, line_dedup, near_dup, packing, preference, quality, secret_scan, spotsigs, urls
+from strikepath.llm import bpe, lexical, licenses, line_dedup, near_dup, packing, preference, quality, repair, secret_scan, spotsigs, urls
 from strikepath.llm.common import read, scratch
 
 
@@ -97,6 +97,11 @@ def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("item_digest")
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return repair.repair(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_licenses": op2_licenses,
@@ -109,6 +114,7 @@ QUERIES = {
     "op9_spotsigs": op9_spotsigs,
     "op10_near_dup": op10_near_dup,
     "op12_lexical": op12_lexical,
+    "op13_repair": op13_repair,
 }
 
 ORACLE_SQL = {
