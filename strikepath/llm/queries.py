@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikepath.llm import bpe, lexical, licenses, line_dedup, near_dup, packing, preference, quality, repair, secret_scan, spotsigs, urls
+from strikepath.llm import bpe, lexical, licenses, line_dedup, near_dup, packing, preference, quality, repair, repeats, secret_scan, spotsigs, urls
 from strikepath.llm.common import read, scratch
 
 
@@ -92,6 +92,18 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps of its bytes when strings of earlier documents go."""
+    out = repeats.removed(read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["first"]).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item's 20 highest-scoring documents."""
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("item_digest")
@@ -113,6 +125,7 @@ QUERIES = {
     "op8_preferences": op8_preferences,
     "op9_spotsigs": op9_spotsigs,
     "op10_near_dup": op10_near_dup,
+    "op11_repeats": op11_repeats,
     "op12_lexical": op12_lexical,
     "op13_repair": op13_repair,
 }

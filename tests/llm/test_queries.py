@@ -16,7 +16,7 @@ TABLES = ("documents", "conversations", "pages", "labels", "benchmark")
 
 
 def test_all_operators_and_the_pipeline_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in (*range(1, 11), 12, 13)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {"pipeline", *QUERIES} <= set(entry.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_repeats", "near_duplicates", "secrets", "packed"]
 
