@@ -171,16 +171,16 @@ VIEWS: dict[str, str] = {
         FROM feat GROUP BY week_id, ticker""",
     "bins": """
         SELECT week_id, time_to_close_bucket, moneyness_bucket, count(*) AS n_rows,
-               CAST(sum(CAST(abs_yes_price_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
-               CAST(sum(CAST(yes_price_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(yes_price_change_5s) AS mean_yes_price_change_5s,
-               CAST(sum(CAST(underlying_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_change_5s) AS mean_underlying_change_5s,
-               CAST(sum(CAST(abs_underlying_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(abs_underlying_change_5s) AS mean_abs_underlying_change_5s,
+               CAST(sum(CAST(CAST(abs_yes_price_change_5s AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
+               CAST(sum(CAST(CAST(yes_price_change_5s AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(yes_price_change_5s) AS mean_yes_price_change_5s,
+               CAST(sum(CAST(CAST(underlying_change_5s AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(underlying_change_5s) AS mean_underlying_change_5s,
+               CAST(sum(CAST(CAST(abs_underlying_change_5s AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(abs_underlying_change_5s) AS mean_abs_underlying_change_5s,
                count(*) FILTER (has_trade_this_second) AS trade_seconds
         FROM feat WHERE yes_price_change_5s IS NOT NULL AND underlying_change_5s IS NOT NULL GROUP BY 1, 2, 3""",
     "heat": """
         SELECT week_id, time_to_close_bucket, moneyness_bucket, count(*) AS n_rows,
-               CAST(sum(CAST(abs_yes_price_change_5s AS DECIMAL(28,8))) AS DOUBLE) / count(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
-               CAST(sum(CAST(kalshi_yes_price AS DECIMAL(28,8))) AS DOUBLE) / count(kalshi_yes_price) AS mean_yes_price_cents, CAST(sum(CAST(abs_z_bps AS DECIMAL(28,8))) AS DOUBLE) / count(abs_z_bps) AS mean_abs_z_bps
+               CAST(sum(CAST(CAST(abs_yes_price_change_5s AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(abs_yes_price_change_5s) AS mean_abs_yes_price_change_5s,
+               CAST(sum(CAST(CAST(kalshi_yes_price AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(kalshi_yes_price) AS mean_yes_price_cents, CAST(sum(CAST(CAST(abs_z_bps AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(abs_z_bps) AS mean_abs_z_bps
         FROM feat WHERE abs_yes_price_change_5s IS NOT NULL GROUP BY 1, 2, 3""",
     "sec_trades": """
         SELECT date_trunc('second', ts_event) AS second, arg_max(price, ts_event) AS underlying_trade_price,
@@ -214,8 +214,8 @@ VIEWS: dict[str, str] = {
     "both_moved": """
         SELECT * FROM moved WHERE yes_price_change_1s IS NOT NULL AND yes_price_change_5s IS NOT NULL""",
     "per_sec": """
-        SELECT week_id, second, CAST(sum(CAST((best_bid + best_ask) / 2 AS DECIMAL(28,8))) AS DOUBLE) / count((best_bid + best_ask) / 2) AS underlying, CAST(sum(CAST(spread AS DECIMAL(28,8))) AS DOUBLE) / count(spread) AS spread,
-               CAST(sum(CAST(spread_bps AS DECIMAL(28,8))) AS DOUBLE) / count(spread_bps) AS spread_bps, CAST(sum(CAST(best_ask - best_bid AS DECIMAL(28,8))) AS DOUBLE) / count(best_ask - best_bid) AS quote_spread,
+        SELECT week_id, second, CAST(sum(CAST(CAST((best_bid + best_ask) / 2 AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count((best_bid + best_ask) / 2) AS underlying, CAST(sum(CAST(CAST(spread AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(spread) AS spread,
+               CAST(sum(CAST(CAST(spread_bps AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(spread_bps) AS spread_bps, CAST(sum(CAST(CAST(best_ask - best_bid AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(best_ask - best_bid) AS quote_spread,
                sum(trade_count) AS trade_count, sum(trade_size) AS trade_size
         FROM feat GROUP BY 1, 2""",
     "returns": """
@@ -261,7 +261,9 @@ VIEWS: dict[str, str] = {
                  - CAST(floor(min(y.minutes_before_close_at_decision) * 60000000 + 0.5e0) AS BIGINT)) AS decision_marker
         FROM feat f LEFT JOIN yes_dec y ON f.ticker = y.ticker GROUP BY 1, 2""",
     "six": """
-        SELECT week_id FROM feat GROUP BY week_id HAVING bool_or(data_source_period = 'late')""",
+        SELECT week_id FROM feat GROUP BY week_id
+        HAVING week_id IS NOT NULL AND bool_or(abs_yes_price_change_5s IS NOT NULL)
+           AND bool_or(yes_price_change_5s IS NOT NULL AND underlying_change_5s IS NOT NULL)""",
 }
 
 CONTRACT_METRIC_NAMES = (
@@ -409,9 +411,9 @@ EVENT = (
     "mean_abs_z_bps:d trade_seconds:i"
 )
 EVENT_SQL = """
-    count(*) AS n_rows, CAST(sum(CAST(underlying_diff AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_diff) AS mean_underlying_diff,
-    CAST(sum(CAST(underlying_bps_from_open AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_bps_from_open) AS mean_underlying_bps_from_open, CAST(sum(CAST(kalshi_yes_price AS DECIMAL(28,8))) AS DOUBLE) / count(kalshi_yes_price) AS mean_yes_price_cents,
-    CAST(sum(CAST(kalshi_no_price AS DECIMAL(28,8))) AS DOUBLE) / count(kalshi_no_price) AS mean_no_price_cents, CAST(sum(CAST(abs_z_bps AS DECIMAL(28,8))) AS DOUBLE) / count(abs_z_bps) AS mean_abs_z_bps,
+    count(*) AS n_rows, CAST(sum(CAST(CAST(underlying_diff AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(underlying_diff) AS mean_underlying_diff,
+    CAST(sum(CAST(CAST(underlying_bps_from_open AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(underlying_bps_from_open) AS mean_underlying_bps_from_open, CAST(sum(CAST(CAST(kalshi_yes_price AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(kalshi_yes_price) AS mean_yes_price_cents,
+    CAST(sum(CAST(CAST(kalshi_no_price AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(kalshi_no_price) AS mean_no_price_cents, CAST(sum(CAST(CAST(abs_z_bps AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(abs_z_bps) AS mean_abs_z_bps,
     count(*) FILTER (has_trade_this_second) AS trade_seconds FROM feat"""
 DAILY = "SELECT CAST(window_start AS DATE) AS date, sum(trade_count_sum) AS trade_count_sum FROM lead_bars GROUP BY 1"
 INDEX = """
@@ -473,14 +475,15 @@ def _sources() -> None:
             "week_id source n_rows:i trade_count:i",
             """
             WITH found AS (
-                SELECT week_id, 'contract_plot_sample' AS source, 0 AS p, underlying_trade_count AS c FROM bysec
-                WHERE second IS NOT NULL AND underlying_trade_count IS NOT NULL
-                UNION ALL SELECT week_id, 'contract_evolution_1s', 1, futures_trade_count_1s FROM strict
+                SELECT strftime(week_start, '%Y-%m-%d') AS week_id, 'futures_label_window_behavior' AS source, 0 AS p,
+                       trade_count_sum AS c
+                FROM behavior WHERE window_start IS NOT NULL AND trade_count_sum IS NOT NULL
+                UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), 'futures_15m_windows', 1, trade_count_sum FROM bars
+                WHERE window_start IS NOT NULL AND trade_count_sum IS NOT NULL
+                UNION ALL SELECT week_id, 'contract_evolution_1s', 2, futures_trade_count_1s FROM strict
                 WHERE second IS NOT NULL AND has_futures_trade_1s
-                UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), 'futures_label_window_behavior', 2, trade_count_sum
-                FROM behavior WHERE trade_count_sum IS NOT NULL
-                UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), 'futures_15m_windows', 3, trade_count_sum FROM bars
-                WHERE trade_count_sum IS NOT NULL)
+                UNION ALL SELECT week_id, 'contract_plot_sample', 3, underlying_trade_count FROM bysec
+                WHERE second IS NOT NULL AND underlying_trade_count IS NOT NULL)
             SELECT week_id, source, count(*) AS n_rows, sum(c) AS trade_count FROM found
             WHERE (week_id, p) IN (SELECT week_id, min(p) FROM found GROUP BY 1) GROUP BY 1, 2""",
         ),
@@ -612,7 +615,7 @@ def _aggregates() -> None:
     register(
         "a08_boolean_sums",
         pick("week_id trade_seconds:i decision_rows:i after_decision_rows:i", """SELECT week_id,
-             sum(CAST(has_trade_this_second AS INT)) AS trade_seconds, sum(CAST(decision_found AS INT)) AS decision_rows,
+             sum(CAST(CAST(has_trade_this_second AS INT)) AS trade_seconds, sum(CAST(decision_found AS INT)) AS decision_rows,
              sum(CAST(is_after_decision AS INT)) AS after_decision_rows FROM feat GROUP BY 1"""),
     )
     register(
@@ -700,7 +703,7 @@ def _aggregates() -> None:
     register(
         "a26_underlying_per_second",
         pick("week_id second:t underlying_value:d",
-             "SELECT week_id, second, CAST(sum(CAST(underlying_value AS DECIMAL(28,8))) AS DOUBLE) / count(underlying_value) AS underlying_value FROM feat GROUP BY 1, 2"),
+             "SELECT week_id, second, CAST(sum(CAST(underlying_value AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(underlying_value) AS underlying_value FROM feat GROUP BY 1, 2"),
     )
     register(
         "a27_category_counts",
@@ -1007,7 +1010,7 @@ def _views() -> None:
         "v04_underlying_path_fallback",
         pick("week_id second:t value:d symbol", """
              WITH has AS (SELECT DISTINCT week_id FROM feat WHERE data_source_period = 'early')
-             SELECT week_id, second, CAST(sum(CAST(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END AS DECIMAL(28,8))) AS DOUBLE) / count(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END) AS value,
+             SELECT week_id, second, CAST(sum(CAST(CAST(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(CASE WHEN data_source_period = 'early' THEN (best_bid + best_ask) / 2 END) AS value,
                     CAST(NULL AS VARCHAR) AS symbol
              FROM feat WHERE week_id IN (SELECT week_id FROM has) GROUP BY 1, 2
              UNION ALL SELECT strftime(week_start, '%Y-%m-%d'), window_start, futures_close, symbol FROM lead_bars

@@ -229,7 +229,6 @@ def _(d):
         root,
         "contract_evolution_1s",
         lambda df: enrich.attach_trades_by_second(df, found),
-        d.scratch("rewrite-staging"),
     )
     return tables.read_product(d.spark, root, "contract_evolution_1s").select(
         "week_id", "ticker", "observed_at", "underlying_trade_price", "has_underlying_trade_price"
@@ -353,29 +352,9 @@ def _(d):
     return big.select(*CONTRACT, "observed_at", "underlying_value", "p95")
 
 
-SIX_PRODUCTS = (
-    "contract_summary",
-    "contract_evolution_1s",
-    "contract_plot_sample",
-    "sensitivity_bins",
-    "threshold_heatmap",
-    "contract_decision_times",
-)
-
-
-def six_products(spark: SparkSession, contract_rows: DataFrame, root: str) -> dict[str, DataFrame]:
-    """The six products a week must have, as a build over all weeks wrote them."""
-    weekly_contracts.build(spark, contract_rows, root)
-    return {name: tables.read_product(spark, root, name) for name in SIX_PRODUCTS}
-
-
-def _six_products(d: Data) -> dict[str, DataFrame]:
-    return six_products(d.spark, adapters.contract_1s(d.spark, d.sf_dir), d.scratch("complete-weeks"))
-
-
 @query("p13_complete_weeks")
 def _(d):
-    return metrics.complete_weeks(_six_products(d), "data/app/weeks").select("week_id", "week_path")
+    return weekly_contracts.weeks_to_be_complete(d.moves, "data/app/weeks").select("week_id", "week_path")
 
 
 # --- joins ---------------------------------------------------------------------
@@ -1294,7 +1273,7 @@ def _(d):
 
 @query("d07_complete_week_index")
 def _(d):
-    return metrics.complete_weeks(_six_products(d), "data/app/weeks")
+    return weekly_contracts.weeks_to_be_complete(d.moves, "data/app/weeks")
 
 
 @query("d08_known_trade_prices")

@@ -11,13 +11,20 @@ def sum_or_zero(column: str | Column) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
+# Groups whose largest magnitude lies between these are summed as decimals with 18 places.
+LEAST_EXACT, MOST_EXACT = 1e-6, 1e18
+
+
 def exact_mean(column: str | Column) -> Column:
     """Mean from an exact decimal sum and one division, so the order of rows cannot show.
 
-    Values count to eight decimals; what is no finite number counts as missing.
+    A group whose values are all tiny, or that holds one beyond 1e18, an infinity or NaN, or
+    whose sum needs more than 38 digits, has the plain floating-point mean instead: no value is left out.
     """
-    value = (F.col(column) if isinstance(column, str) else column).try_cast("decimal(28,8)")
-    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+    value = F.col(column) if isinstance(column, str) else column
+    exact = F.try_sum(value.try_cast("decimal(38,18)")).cast("double")
+    fits = F.max(F.abs(value)).between(LEAST_EXACT, MOST_EXACT) & exact.isNotNull()
+    return F.when(fits, F.try_divide(exact, F.count(value))).otherwise(F.avg(value))
 
 
 def distinct_with_null(column: str) -> Column:

@@ -70,12 +70,15 @@ def named_week(df: DataFrame, sep: str = " to ") -> DataFrame:
 
 
 def week_index(markets: DataFrame, labels: DataFrame, bars: DataFrame, sep: str = " to ") -> DataFrame:
-    """One row per week known to any of the three tables."""
-    joined = (
-        market_index(markets)
-        .join(label_index(labels), "week_start", "full")
-        .join(bar_index(bars), "week_start", "full")
-    )
+    """One row per week known to any of the three tables.
+
+    Each table comes as one row per week, so they meet in one grouping in place of a
+    chain of full outer joins; what a table lacks stays NULL.
+    """
+    parts = [market_index(markets), label_index(labels), bar_index(bars)]
+    columns = [c for part in parts for c in part.columns if c != "week_start"]
+    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    joined = combined.groupBy("week_start").agg(*[F.max(c).alias(c) for c in columns])
     return named_week(joined, sep)
 
 
@@ -185,8 +188,13 @@ def complete_weeks(products: dict[str, DataFrame], root: str, sep: str = " - ")
     ``products`` maps a product name to any frame with a ``week_id``.
     """
     present = [df.select("week_id", F.lit(name).alias("product")).distinct() for name, df in products.items()]
-    held = reduce(lambda a, b: a.unionByName(b), present).groupBy("week_id").agg(rows().alias("n"))
-    return held.where((F.col("n") == len(products)) & F.col("week_id").isNotNull()).select(
+    return named_complete(reduce(lambda a, b: a.unionByName(b), present), len(products), root, sep)
+
+
+def named_complete(held: DataFrame, n_products: int, root: str, sep: str = " - ") -> DataFrame:
+    """Weeks with ``n_products`` rows of (week_id, product), with label and path."""
+    weeks = held.groupBy("week_id").agg(rows().alias("n"))
+    return weeks.where((F.col("n") == n_products) & F.col("week_id").isNotNull()).select(
         "week_id",
         clock.week_label_from_id("week_id", sep).alias("week_label"),
         F.col("week_id").alias("week_start"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strikepath.operators import bars, enrich
-from strikepath.session import scratch_path
 from strikepath.sources.tables import read_product, rewrite_product
 
 PRODUCTS = ("contract_evolution_1s", "contract_plot_sample")
@@ -26,15 +25,13 @@ def build(spark: SparkSession, trades: DataFrame, root: str, strict: bool = Fals
         found, price = bars.trade_bars(trades), "underlying_trade_price"
         attach = by_second
     for product in PRODUCTS:
-        rewrite_product(
-            spark, root, product, lambda panel: attach(panel, found), scratch_path(spark, product), ORDER
-        )
+        rewrite_product(spark, root, product, lambda panel: attach(panel, found), ORDER)
     return enrich.match_rate(read_product(spark, root, PRODUCTS[0]), price, "week_id")
 
 
 def alias_build(spark: SparkSession, root: str) -> DataFrame:
     """Copy strict trade columns to the by-second names; return known prices per week."""
     for product in PRODUCTS:
-        rewrite_product(spark, root, product, enrich.alias_strict_trades, scratch_path(spark, product), ORDER)
+        rewrite_product(spark, root, product, enrich.alias_strict_trades, ORDER)
     datasets = {p: read_product(spark, root, p) for p in PRODUCTS}
     return enrich.known_values(datasets, "underlying_trade_price")

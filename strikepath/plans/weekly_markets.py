@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strikepath.functions import clock
 from strikepath.operators import bars, match, metrics
-from strikepath.sources.tables import product_path, write_csv, write_product
+from strikepath.sources.tables import product_path, read_product, write_csv, write_product
 
 
 def _weekly(df: DataFrame) -> DataFrame:
@@ -26,7 +25,7 @@ def build(
 
     def put(name: str, df: DataFrame, *order: str) -> DataFrame:
         written[name] = write_product(_weekly(df), root, name, order)
-        return spark.read.parquet(written[name]).withColumn("week_id", F.col("week_id").cast("string"))
+        return read_product(spark, root, name)
 
     leading = put("futures_15m_windows", bars.keep_dominant(bars.ohlc_bars(micro)), "window_start", "symbol")
     listed = put("kalshi_markets", match.clean_markets(markets), "close_time", "ticker")

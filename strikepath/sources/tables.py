@@ -1,19 +1,19 @@
 """Weekly product tables: read, write, rewrite, combine and discover.
 
-A product is one folder partitioned by ``week_id``; a job writes all weeks at once.
+A product is one folder of versions partitioned by ``week_id``, and its manifest says
+which version of a week counts (``sources/manifest.py``); a job writes all weeks at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-WEEK = "week_id"
-MISSING_PATH = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+from strikepath.sources import manifest
+from strikepath.sources.manifest import WEEK
 
 
 def scan(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
@@ -26,39 +26,63 @@ def product_path(root: str, product: str) -> str:
     return f"{root.rstrip('/')}/{product}"
 
 
-def write_product(df: DataFrame, root: str, product: str, sort_by: Sequence[str] = ()) -> str:
-    """Write one product, replacing only the weeks that ``df`` holds.
+def write_product(
+    df: DataFrame,
+    root: str,
+    product: str,
+    sort_by: Sequence[str] = (),
+    time: str | None = None,
+    sources: Mapping[str | None, str] | None = None,
+    gone: Iterable[str] = (),
+) -> str:
+    """Write a new version of one product, replacing only the weeks that ``df`` holds.
 
     The rebalance hint brings a week's rows together but splits them again at the
     advisory partition size, so there are few files and no task gets a whole
-    large week.
+    large week. The manifest switches to the version once its files are complete
+    and hold as many rows as the job counted; what no week uses any longer is
+    removed after that. ``time``, ``sources`` and ``gone`` go to the manifest.
     """
-    path = product_path(root, product)
+    spark = df.sparkSession
+    version = manifest.next_version(spark, root, product)
+    path = manifest.version_path(root, product, version)
+    counted = Observation(f"{product}-{version}")
     ordered = df.hint("rebalance", F.col(WEEK)).sortWithinPartitions(WEEK, *sort_by)
-    (
-        ordered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(WEEK)
-        .parquet(path)
-    )
-    return path
+    # Files of a run that died may lie there.
+    ordered.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(WEEK).parquet(path)
+    n_rows = counted.get["n"]
+    found = manifest.measured(spark, path, time) if n_rows else None
+    manifest.commit(spark, root, product, version, found, n_rows, sources, gone)
+    manifest.remove_unlisted(spark, root, product)
+    return product_path(root, product)
+
+
+def drop_weeks(spark: SparkSession, root: str, product: str, weeks: Iterable[str]) -> None:
+    """Weeks that a product no longer holds."""
+    version = manifest.next_version(spark, root, product)
+    manifest.commit(spark, root, product, version, None, gone=weeks)
+    manifest.remove_unlisted(spark, root, product)
 
 
 def read_product(
     spark: SparkSession, root: str, product: str, contract: T.StructType | None = None, week: str | None = None
 ) -> DataFrame:
-    """One product, optionally one week of it (the filter prunes partitions).
+    """One product as its manifest has it now, optionally one week of it (the filter prunes partitions).
 
     A product that was never written is an empty frame of its declared schema.
     """
-    try:
-        df = spark.read.option("basePath", product_path(root, product)).schema(contract).parquet(
-            product_path(root, product)
-        ) if contract else spark.read.parquet(product_path(root, product))
-    except AnalysisException as error:
-        if contract is None or error.getCondition() not in MISSING_PATH:
-            raise
+    held = manifest.held(spark, root, product)
+    if held:
+        read = spark.read.option("basePath", product_path(root, product))
+        # Weeks written at different times may have different columns.
+        read = read.schema(contract) if contract else read.option("mergeSchema", len(set(held.values())) > 1)
+        df = read.parquet(*[manifest.week_path(root, product, v, w) for w, v in held.items()]).drop("version")
+    elif contract is not None:
         df = spark.createDataFrame([], contract)
+    else:
+        raise FileNotFoundError(f"{product_path(root, product)} was never written")
     # Partition folders are named by date; keep the id as text.
     df = df.withColumn(WEEK, F.col(WEEK).cast("string"))
     return df.where(F.col(WEEK) == week) if week is not None else df
@@ -79,15 +103,19 @@ def read_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFram
 
 
 def rewrite_product(
-    spark: SparkSession, root: str, product: str, change, staging: str, sort_by: Sequence[str] = ()
+    spark: SparkSession,
+    root: str,
+    product: str,
+    change: Callable[[DataFrame], DataFrame],
+    sort_by: Sequence[str] = (),
 ) -> str:
     """Replace a product by ``change(product)``.
 
-    Spark cannot overwrite what it is reading, so the new version is written to
-    ``staging`` (shared storage) first and then over the weeks it holds.
+    The new version lies beside the one that is read until the manifest switches,
+    so a run that ends early changes nothing.
     """
-    change(read_product(spark, root, product)).write.mode("overwrite").parquet(staging)
-    return write_product(spark.read.parquet(staging), root, product, sort_by)
+    before = read_product(spark, root, product)
+    return write_product(change(before), root, product, sort_by)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -1,10 +1,12 @@
 """Whole builds on the small test tables: files, invariants and rewrites."""
 
+import duckdb
 from pyspark.sql import functions as F
 
 from strikepath import roles
 from strikepath.catalog import queries
-from strikepath.operators import summary
+from strikepath.catalog.oracle import VIEWS
+from strikepath.operators import metrics, panel, summary
 from strikepath.plans import trade_enrichment, views, weekly_contracts, weekly_markets
 from strikepath.sources import adapters, tables
 
@@ -15,11 +17,11 @@ def count_by_week(df):
 
 def test_contract_build_and_enrichment(spark, sf_dir, tmp_path):
     root = str(tmp_path)
-    panel = adapters.contract_1s(spark, sf_dir)
-    written = weekly_contracts.build(spark, panel, root, cap=50)
+    rows = adapters.contract_1s(spark, sf_dir)
+    written = weekly_contracts.build(spark, rows, root, cap=50)
     assert {"contract_summary", "contract_plot_sample", "week_index_contract_behavior"} <= set(written)
     evolution = tables.read_product(spark, root, "contract_evolution_1s")
-    assert evolution.count() == panel.count()
+    assert evolution.count() == rows.count()
     weeks = count_by_week(evolution)
     sample = count_by_week(tables.read_product(spark, root, "contract_plot_sample"))
     assert sample == {w: min(n, 50) for w, n in weeks.items()}
@@ -93,28 +95,38 @@ def test_first_source_is_taken_per_week(spark):
 
 
 def test_views_fall_back_without_buckets_and_prices(spark, sf_dir):
-    panel = adapters.contract_quotes(spark, sf_dir)
-    from strikepath.operators.panel import panel_features
-
-    moves = views.contract_moves(panel_features(panel))
+    moves = views.contract_moves(panel.panel_features(adapters.contract_quotes(spark, sf_dir)))
     assert "bin" in views.move_boxes(moves.drop("time_to_close_bucket")).columns
-    features = panel_features(adapters.contract_1s(spark, sf_dir))
+    features = panel.panel_features(adapters.contract_1s(spark, sf_dir))
     markers = views.decision_markers(features, summary.decision_times(features))
     gaps = markers.where(F.col("decision_marker") > F.col("close_marker"))
     assert markers.where("decision_marker IS NOT NULL").count() > 0 and gaps.count() == 0
 
 
-def test_complete_weeks_are_asked_of_written_products(spark, sf_dir, tmp_path):
-    rows = adapters.contract_1s(spark, sf_dir).withColumn("week", F.date_format(F.date_trunc("week", "second"), "yyyy-MM-dd")).localCheckpoint()
+def test_complete_weeks_of_a_folder_and_of_its_source(spark, sf_dir, tmp_path):
+    """What the manifest of a build says, what the source promises, and the SQL agree, with a week that is incomplete."""
+    rows = adapters.contract_1s(spark, sf_dir).withColumn("week", F.date_format(F.date_trunc("week", "second"), "yyyy-MM-dd")).checkpoint()
     weeks = sorted(r.week for r in rows.select("week").distinct().collect())
     got = queries.QUERIES["p13_complete_weeks"](spark, sf_dir).collect()
     assert sorted(r.week_id for r in got) == weeks
-    # One row a week has no change over five rows, so the week's bins and heat map are not written.
-    short = rows.where(F.col("week") == weeks[0]).limit(1).unionByName(rows.where(F.col("week") == weeks[1])).drop("week")
-    six = queries.six_products(spark, short, str(tmp_path))
-    assert "contract_plot_sample" in six and len(six) == 6
-    assert sorted(r.week_id for r in six["contract_plot_sample"].select("week_id").distinct().collect()) == weeks[:2]
-    assert [r.week_id for r in queries.metrics.complete_weeks(six, "weeks").collect()] == weeks[1:2]
+    # One row a week has no change over five rows, so the week's bins and heat map hold nothing.
+    short = rows.where(F.col("week") == weeks[0]).limit(1).unionByName(rows.where(F.col("week") == weeks[1])).drop("week").checkpoint()
+    root = str(tmp_path)
+    weekly_contracts.build(spark, short, root)
+    sample = tables.read_product(spark, root, "contract_plot_sample")
+    assert sorted(r.week_id for r in sample.select("week_id").distinct().collect()) == weeks[:2]
+    read = weekly_contracts.complete_weeks(spark, root, "weeks")
+    promised = weekly_contracts.weeks_to_be_complete(panel.panel_features(short), "weeks")
+    assert read.collect() == promised.collect() and [r.week_id for r in read.collect()] == weeks[1:2]
+    six = {n: tables.read_product(spark, root, n) for n in weekly_contracts.SIX_PRODUCTS if n != "sensitivity_bins"}
+    assert sorted(r.week_id for r in metrics.complete_weeks({**six, "sensitivity_bins": six["contract_summary"].where("week_id > '2'")}, "w").collect()) == weeks[1:2]
+    feat = sample.select("week_id", "abs_yes_price_change_5s", "yes_price_change_5s", "underlying_change_5s").toPandas()
+    found = duckdb.connect()
+    found.register("feat", feat)
+    assert found.execute(VIEWS["six"]).fetchall() == [(weeks[1],)]
+    # The manifest alone answers: its plan scans nothing else.
+    scanned = read._jdf.queryExecution().optimizedPlan().collectLeaves().toString()
+    assert "mean_abs" not in scanned and read.inputFiles() and all("/_manifest/" in f for f in read.inputFiles())
 
 
 def test_windows_come_before_panel_products(spark, sf_dir, monkeypatch):
