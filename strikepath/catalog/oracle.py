@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from strikepath.catalog.present import SPARSE_COUNTS
+from strikepath.roles import EVOLUTION_COLUMNS
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -435,6 +436,25 @@ BAD_QUOTES = """
 VALID = "coalesce(best_bid > 0 AND best_ask > 0 AND best_ask >= best_bid, false)"
 LABEL_TEXT = "strftime({0}, '%b %d, %Y') || '{1}' || strftime({0} + INTERVAL 6 DAY, '%b %d, %Y')"
 
+BINS = (
+    "week_id time_to_close_bucket moneyness_bucket n_rows:i mean_abs_yes_price_change_5s:d mean_yes_price_change_5s:d "
+    "mean_underlying_change_5s:d mean_abs_underlying_change_5s:d trade_seconds:i"
+)
+HEAT = (
+    "week_id time_to_close_bucket moneyness_bucket n_rows:i mean_abs_yes_price_change_5s:d mean_yes_price_cents:d "
+    "mean_abs_z_bps:d"
+)
+CONTRACT_INDEX = (
+    "week_start:t start_time:t end_time:t n_rows:i n_contracts:i trade_seconds:i decision_rows:i n_source_periods:i "
+    "week_id week_label"
+)
+CONTRACT_INDEX_SQL = f"""
+    SELECT week_start, min(second) AS start_time, max(second) AS end_time, count(*) AS n_rows,
+           count(DISTINCT ticker) AS n_contracts, count(*) FILTER (has_trade_this_second) AS trade_seconds,
+           count(*) FILTER (decision_found) AS decision_rows,
+           count(DISTINCT data_source_period) AS n_source_periods, any_value(week_id) AS week_id,
+           {LABEL_TEXT.format("week_start", " to ")} AS week_label FROM feat GROUP BY week_start"""
+
 
 def _sources() -> None:
     register("s01_scan_projection", pick("event_id:i ts:t value:d", "events"))
@@ -634,29 +654,11 @@ def _aggregates() -> None:
         pick("week_start:t n_futures_15m_rows:i n_large_move_rows_15m:i", """SELECT week_start,
              count(*) AS n_futures_15m_rows, sum(large_move_rows) AS n_large_move_rows_15m FROM lead_bars GROUP BY 1"""),
     )
-    register(
-        "a12_contract_week_index",
-        pick("week_start:t start_time:t end_time:t n_rows:i n_contracts:i trade_seconds:i decision_rows:i "
-             "n_source_periods:i week_id week_label", f"""
-             SELECT week_start, min(second) AS start_time, max(second) AS end_time, count(*) AS n_rows,
-                    count(DISTINCT ticker) AS n_contracts, count(*) FILTER (has_trade_this_second) AS trade_seconds,
-                    count(*) FILTER (decision_found) AS decision_rows,
-                    count(DISTINCT data_source_period) AS n_source_periods, any_value(week_id) AS week_id,
-                    {LABEL_TEXT.format("week_start", " to ")} AS week_label FROM feat GROUP BY week_start"""),
-    )
+    register("a12_contract_week_index", pick(CONTRACT_INDEX, CONTRACT_INDEX_SQL))
     register("a13_contract_summary", pick(SUMMARY, "csum"))
     register("a14_decision_times", pick(DECISION, "dec"))
-    register(
-        "a15_sensitivity_bins",
-        pick("week_id time_to_close_bucket moneyness_bucket n_rows:i mean_abs_yes_price_change_5s:d "
-             "mean_yes_price_change_5s:d mean_underlying_change_5s:d mean_abs_underlying_change_5s:d trade_seconds:i",
-             "bins"),
-    )
-    register(
-        "a16_threshold_heatmap",
-        pick("week_id time_to_close_bucket moneyness_bucket n_rows:i mean_abs_yes_price_change_5s:d "
-             "mean_yes_price_cents:d mean_abs_z_bps:d", "heat"),
-    )
+    register("a15_sensitivity_bins", pick(BINS, "bins"))
+    register("a16_threshold_heatmap", pick(HEAT, "heat"))
     register(
         "a17_event_window_response",
         pick(f"week_id relative_second:i time_to_close_bucket moneyness_bucket {EVENT}",
@@ -1212,57 +1214,93 @@ def _profiles() -> None:
     )
 
 
+def content(product: str, columns: str, source: str) -> str:
+    """Per week the rows, the columns and a digest over all values, as ``present.content`` has them."""
+    parts = sorted(p.partition(":") for p in columns.split() if p != "week_id")
+    texts = []
+    for name, _, kind in parts:
+        value = {
+            "d": f"CAST({snapped(f'CAST({name} AS DOUBLE)')} AS DECIMAL(38,6))",
+            "i": f"CAST({name} AS BIGINT)",
+            "t": f"epoch_us(CAST({name} AS TIMESTAMP))",
+        }.get(kind, name)
+        texts.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
+    row = "md5(" + " || '|' || ".join(texts) + ")"
+    names = ",".join(name for name, _, _ in parts)
+    return (
+        f"SELECT week_id, '{product}' AS product, count(*) AS n_rows, '{names}' AS columns, "
+        f"CAST(sum(CAST('0x' || substr({row}, 1, 15) AS BIGINT)) AS VARCHAR) AS digest FROM {source} GROUP BY week_id"
+    )
+
+
+FEATURES = (
+    PANEL + " observed_at:t week_start:t yes_price_change_1s:d yes_price_change_5s:d underlying_change_1s:d "
+    "underlying_change_5s:d moneyness_bucket time_to_close_bucket uncertainty_bucket yes_price_cents:d no_price_cents:d "
+    "abs_yes_price_change_5s:d abs_underlying_change_5s:d"
+)
+WEEKLY = "(SELECT *, strftime(week_start, '%Y-%m-%d') AS week_id FROM {}) x"
+CONTENT = "product week_id n_rows:i columns digest"
+
+
 def _builds() -> None:
-    counted = "SELECT '{}' AS product, week_id, count(*) AS n_rows FROM {} GROUP BY week_id"
+    kinds = {c.partition(":")[0]: c for c in FEATURES.split()}
+    evolution = " ".join(kinds[c] for c in EVOLUTION_COLUMNS)
     register(
         "e01_weekly_contract_build",
-        pick("product week_id n_rows:i", " UNION ALL ".join([
-            counted.format("contract_summary", "csum"),
-            counted.format("contract_decision_times", "dec"),
-            counted.format("sensitivity_bins", "bins"),
-            counted.format("threshold_heatmap", "heat"),
-            counted.format("contract_event_window_response",
-                           "(SELECT DISTINCT week_id, relative_second, time_to_close_bucket, moneyness_bucket FROM feat) x"),
-            counted.format("contract_plot_sample", "feat"),
-            counted.format("contract_evolution_1s", "feat"),
-            "SELECT 'contract_behavior_summary_metrics', week_id, 7 FROM feat GROUP BY week_id",
+        pick(CONTENT, " UNION ALL ".join([
+            content("contract_summary", SUMMARY, "csum"),
+            content("contract_decision_times", DECISION, "dec"),
+            content("sensitivity_bins", BINS, "bins"),
+            content("threshold_heatmap", HEAT, "heat"),
+            content("contract_event_window_response", f"relative_second:i time_to_close_bucket moneyness_bucket {EVENT}",
+                    f"(SELECT week_id, relative_second, time_to_close_bucket, moneyness_bucket, {EVENT_SQL} GROUP BY 1, 2, 3, 4) x"),
+            content("contract_plot_sample", FEATURES, "feat"),
+            content("contract_evolution_1s", evolution, "feat"),
+            content("contract_behavior_summary_metrics", "metric value:d", f"({contract_long('uncertain_20_80_rows')}) x"),
+            content("contract_week_index", CONTRACT_INDEX, f"({CONTRACT_INDEX_SQL}) x"),
         ])),
     )
-    weekly = "(SELECT *, strftime(week_start, '%Y-%m-%d') AS week_id FROM {}) x"
     register(
         "e02_weekly_market_build",
-        pick("product week_id n_rows:i", " UNION ALL ".join([
-            counted.format("kalshi_markets", weekly.format("mk")),
-            counted.format("labels_15m", weekly.format("lab")),
-            counted.format("futures_15m_windows", weekly.format("lead_bars")),
-            counted.format("futures_label_window_behavior", weekly.format("behavior")),
-            counted.format("kalshi_threshold_matches", weekly.format("tm")),
-            counted.format("summary_metrics", "market_long"),
+        pick(CONTENT, " UNION ALL ".join([
+            content("kalshi_markets", MARKET, WEEKLY.format("mk")),
+            content("labels_15m", LABEL, WEEKLY.format("lab")),
+            content("futures_15m_windows", f"window_start:t week_start:t {BAR_REST}", WEEKLY.format("lead_bars")),
+            content("futures_label_window_behavior", f"{LABEL} {BAR_REST} window_direction futures_direction",
+                    WEEKLY.format("behavior")),
+            content("kalshi_threshold_matches", f"{MARKET} window_start:t {BAR_REST} distance_to_threshold:d "
+                    "abs_distance_to_threshold:d distance_to_threshold_bps:d threshold_band", WEEKLY.format("tm")),
+            content("summary_metrics", "metric value:d", "market_long"),
         ])),
     )
-    register(
-        "e03_trade_enrichment",
-        pick("week_id n_rows:i matched_rows:i matched_pct:d", """SELECT week_id, count(*) AS n_rows,
-             count(underlying_trade_price) AS matched_rows, count(underlying_trade_price) * 100e0 / count(*) AS matched_pct
-             FROM bysec GROUP BY 1"""),
+    base = "ticker second:t observed_at:t selected_futures_symbol"
+    by_second = (
+        f"{base} underlying_trade_price:d underlying_trade_count:i underlying_trade_size:d underlying_trade_symbol "
+        "has_underlying_trade_price"
     )
-    register(
-        "e03_strict_enrichment",
-        pick("week_id n_rows:i matched_rows:i matched_pct:d", """SELECT week_id, count(*) AS n_rows,
-             count(futures_last_trade_price_1s) AS matched_rows,
-             count(futures_last_trade_price_1s) * 100e0 / count(*) AS matched_pct FROM strict GROUP BY 1"""),
+    strict = f"{base} futures_last_trade_price_1s:d futures_trade_count_1s:i futures_trade_size_1s:d has_futures_trade_1s"
+    alias = f"{strict} underlying_trade_price:d underlying_trade_count:i underlying_trade_size:d"
+    aliased = (
+        "(SELECT *, futures_last_trade_price_1s AS underlying_trade_price, futures_trade_count_1s AS underlying_trade_count, "
+        "futures_trade_size_1s AS underlying_trade_size FROM strict) x"
     )
+
+    def both(columns: str, source: str) -> str:
+        return " UNION ALL ".join(content(p, columns, source) for p in ("contract_evolution_1s", "contract_plot_sample"))
+
+    def rated(columns: str, source: str, price: str) -> str:
+        return f"""SELECT * FROM ({both(columns, source)}) c LEFT JOIN (
+            SELECT week_id, count({price}) AS matched_rows, count({price}) * 100e0 / count(*) AS matched_pct
+            FROM {source} GROUP BY 1) r USING (week_id)"""
+
+    rates = f"{CONTENT} matched_rows:i matched_pct:d"
+    register("e03_trade_enrichment", pick(rates, rated(by_second, "bysec", "underlying_trade_price")))
+    register("e03_by_second_after_strict", pick(rates, rated(by_second, "bysec", "underlying_trade_price")))
+    register("e03_strict_enrichment", pick(rates, rated(strict, "strict", "futures_last_trade_price_1s")))
     register(
         "e03_alias_enrichment",
-        pick("dataset week_id non_null:i", """
-             SELECT 'contract_evolution_1s' AS dataset, week_id, count(futures_last_trade_price_1s) AS non_null FROM strict GROUP BY 2
-             UNION ALL SELECT 'contract_plot_sample', week_id, count(futures_last_trade_price_1s) FROM strict GROUP BY 2"""),
-    )
-    register(
-        "e03_by_second_after_strict",
-        pick("week_id n_rows:i matched_rows:i matched_pct:d strict_columns:i", """SELECT week_id, count(*) AS n_rows,
-             count(underlying_trade_price) AS matched_rows, count(underlying_trade_price) * 100e0 / count(*) AS matched_pct,
-             0 AS strict_columns FROM bysec GROUP BY 1"""),
+        pick(f"{CONTENT} non_null:i", f"""SELECT * FROM ({both(alias, aliased)}) c LEFT JOIN (
+             SELECT week_id, count(futures_last_trade_price_1s) AS non_null FROM strict GROUP BY 1) r USING (week_id)"""),
     )
 
 

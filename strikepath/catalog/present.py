@@ -29,3 +29,25 @@ def _cell(field: T.StructField):
     elif isinstance(field.dataType, T.TimestampType):
         column = column.cast("timestamp_ntz")
     return column.alias(field.name)
+
+
+def _text(field: T.StructField):
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        column = snap(column).cast("decimal(38,6)")
+    elif isinstance(field.dataType, T.TimestampType):
+        column = F.unix_micros(column)
+    return F.coalesce(column.cast("string"), F.lit("~"))
+
+
+def content(df: DataFrame, product: str) -> DataFrame:
+    """Per week of a product its rows, its columns and a digest over all values of all rows, whatever their order."""
+    fields = sorted((f for f in df.schema if f.name != "week_id"), key=lambda f: f.name)
+    row = F.md5(F.concat_ws("|", *[_text(f) for f in fields]))
+    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.groupBy("week_id").agg(
+        F.lit(product).alias("product"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(",".join(f.name for f in fields)).alias("columns"),
+        F.sum(number).cast("string").alias("digest"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strikepath import roles
-from strikepath.catalog.present import present
+from strikepath.catalog.present import content, present
 from strikepath.functions import aggregates as agg
 from strikepath.functions import buckets, clock, prices
 from strikepath.operators import (
@@ -1289,36 +1289,22 @@ def _(d):
 # --- whole builds -------------------------------------------------------------------------------------
 
 
-def _rows_per_week(d: Data, root: str, names: list[str]) -> DataFrame:
-    return tables.union_all(
-        [
-            tables.read_product(d.spark, root, name)
-            .groupBy("week_id")
-            .agg(agg.rows().alias("n_rows"))
-            .select(F.lit(name).alias("product"), "*")
-            for name in names
-        ]
-    )
+def _contents(d: Data, root: str, written: dict[str, str]) -> DataFrame:
+    names = sorted(name for name, path in written.items() if not path.endswith(".csv"))
+    return tables.union_all([content(tables.read_product(d.spark, root, name), name) for name in names])
 
 
 @query("e01_weekly_contract_build")
 def _(d):
     root = d.scratch("contract-build")
-    written = weekly_contracts.build(d.spark, adapters.contract_1s(d.spark, d.sf_dir), root)
-    return _rows_per_week(d, root, sorted(n for n, path in written.items() if not path.endswith(".csv")))
+    return _contents(d, root, weekly_contracts.build(d.spark, adapters.contract_1s(d.spark, d.sf_dir), root))
 
 
 @query("e02_weekly_market_build")
 def _(d):
     root = d.scratch("market-build")
-    written = weekly_markets.build(
-        d.spark,
-        d.micro,
-        adapters.markets(d.spark, d.sf_dir),
-        adapters.labels(d.spark, d.sf_dir),
-        root,
-    )
-    return _rows_per_week(d, root, sorted(n for n, path in written.items() if not path.endswith(".csv")))
+    markets, labels = adapters.markets(d.spark, d.sf_dir), adapters.labels(d.spark, d.sf_dir)
+    return _contents(d, root, weekly_markets.build(d.spark, d.micro, markets, labels, root))
 
 
 def _enriched_root(d: Data) -> str:
@@ -1330,28 +1316,35 @@ def _enriched_root(d: Data) -> str:
     return root
 
 
+def _enriched(d: Data, root: str, rate: DataFrame) -> DataFrame:
+    """Match rate per week beside the content of both products."""
+    found = _contents(d, root, dict.fromkeys(trade_enrichment.PRODUCTS, ""))
+    return found.join(rate, "week_id", "left")
+
+
 @query("e03_trade_enrichment")
 def _(d):
-    return trade_enrichment.build(d.spark, d.trades, _enriched_root(d))
+    root = _enriched_root(d)
+    return _enriched(d, root, trade_enrichment.build(d.spark, d.trades, root).drop("n_rows"))
 
 
 @query("e03_strict_enrichment")
 def _(d):
-    return trade_enrichment.build(d.spark, d.trades, _enriched_root(d), strict=True)
+    root = _enriched_root(d)
+    return _enriched(d, root, trade_enrichment.build(d.spark, d.trades, root, strict=True).drop("n_rows"))
 
 
 @query("e03_alias_enrichment")
 def _(d):
     root = _enriched_root(d)
     trade_enrichment.build(d.spark, d.trades, root, strict=True)
-    return trade_enrichment.alias_build(d.spark, root)
+    known = trade_enrichment.alias_build(d.spark, root).withColumnRenamed("dataset", "product")
+    return _contents(d, root, dict.fromkeys(trade_enrichment.PRODUCTS, "")).join(known, ["product", "week_id"], "left")
 
 
 @query("e03_by_second_after_strict")
 def _(d):
-    """A by-second run over strict results: rows per week, and how many columns of the strict run are left."""
+    """A by-second run over strict results: its content has no column of the strict run left."""
     root = _enriched_root(d)
     trade_enrichment.build(d.spark, d.trades, root, strict=True)
-    rate = trade_enrichment.build(d.spark, d.trades, root)
-    left = tables.read_product(d.spark, root, trade_enrichment.PRODUCTS[0])
-    return rate.withColumn("strict_columns", F.lit(len(set(enrich.STRICT_COLUMNS) & set(left.columns))))
+    return _enriched(d, root, trade_enrichment.build(d.spark, d.trades, root).drop("n_rows"))
