@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_transfers(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Jobs run inside hand rows to Python workers, and take them back, in pieces of about ``size``: for wide rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, chars: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of bounded size, so that long texts never meet in memory."""
     for batch in batches:

@@ -41,19 +41,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strikepath.llm.common import pick, stored
+from strikepath.llm.common import pick, small_transfers, stored
 from strikepath.llm.suffixes import suffix_order
 
 WINDOW = 50
 ANCHOR = 20
+#: Of a window's other bytes, so many at least lie side by side on one side of its anchor.
+SIDE = (WINDOW - ANCHOR) // 2
 #: Bytes of a batch, and of a part of a longer text.
-BATCH = 1 << 20
+BATCH = 1 << 19
 #: Bytes of text per bucket of anchors.
-BUCKET = 16 << 20
-#: Different strings of one anchor that are ordered in one block.
-LARGEST = 512
+BUCKET = 8 << 20
+#: Different strings of one anchor that are ordered in one block, some 2 MB of them.
+LARGEST = 32_768
 #: Bytes of blocks that are ordered together.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 LAST = (1 << 63) - 1
 #: Odd, so that its powers have inverses modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -75,7 +77,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Strings:
-    """The strings of some texts: which text, where in it, how many windows beyond the first, and hashes of anchor and string."""
+    """The strings of some texts: which text, where in it, how many windows beyond the first, hashes of anchor and string, and where its anchor is."""
 
     def __init__(self, texts: list[bytes]):
         parts = []
@@ -83,7 +85,7 @@ class Strings:
             # Parts of a long text overlap so that each window lies in one of them.
             for at in range(0, max(0, len(data) - WINDOW + 1), BATCH):
                 parts.append((k, at, data[at : at + BATCH + WINDOW - 1]))
-        found = [np.empty((5, 0), np.uint64)]
+        found = [np.empty((6, 0), np.uint64)]
         while parts:
             size, n = 0, 0
             while n < len(parts) and (not n or size + len(parts[n][2]) <= 2 * BATCH):
@@ -92,7 +94,7 @@ class Strings:
             parts = parts[n:]
         columns = np.concatenate(found, axis=1)
         self.text, self.start, self.more = (columns[k].astype(np.int64) for k in range(3))
-        self.anchor, self.key = columns[3].astype(np.uint32), columns[4]
+        self.anchor, self.key, self.offset = columns[3].astype(np.uint32), columns[4], columns[5].astype(np.int64)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """The strings in order of anchor and key, and where each different one begins in that order."""
@@ -131,7 +133,7 @@ def _strings(parts: list[tuple[int, int, bytes]]) -> np.ndarray:
     key = _mixed((sums[last + WINDOW] - sums[start]) * inverse[start] + more.astype(np.uint64))
     numbers = np.array([p[0] for p in parts], np.uint64), (np.array([p[1] for p in parts]) - (ends - sizes)).astype(np.int64)
     name = _mixed(anchors[at[start]] ^ np.uint64(BASE)) >> np.uint64(32)
-    return np.stack([numbers[0][part[start]], (start + numbers[1][part[start]]).astype(np.uint64), more.astype(np.uint64), name, key])
+    return np.stack([numbers[0][part[start]], (start + numbers[1][part[start]]).astype(np.uint64), more.astype(np.uint64), name, key, (at[start] - start).astype(np.uint64)])
 
 
 def _in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +174,17 @@ def _buckets(strings: Strings, order: np.ndarray, first: np.ndarray, buckets: in
     return [(int(bucket[x[0]]), x) for x in np.split(by, cuts[1:])] if len(by) else []
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers from their least on, equal bytes of all of them together: near numbers then shrink well."""
+    least = values.min()
+    return least.tobytes() + (values - least).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    least = np.frombuffer(data, np.int64, 1)
+    return np.frombuffer(data, np.uint8, offset=8).reshape(8, -1).T.copy().view(np.int64).ravel() + least
+
+
 _ASKED = "batch bigint, bucket int, anchors binary, keys binary, holders binary, several binary"
 _ANSWER = "batch bigint, bucket int, numbers binary, holders binary, tasks binary"
 
@@ -187,7 +200,7 @@ def _asking(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             holders = np.minimum.reduceat(places, first)
             several = (np.maximum.reduceat(places, first) > holders).astype(np.uint8)
             out = [
-                (row["batch"], b, strings.anchor[order[first[x]]].tobytes(), strings.key[order[first[x]]].tobytes(), holders[x].tobytes(), several[x].tobytes())
+                (row["batch"], b, strings.anchor[order[first[x]]].tobytes(), strings.key[order[first[x]]].tobytes(), _planes(holders[x]), several[x].tobytes())
                 for b, x in _buckets(strings, order, first, buckets)
             ]
             kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
@@ -201,7 +214,8 @@ def _verdicts(asked: pa.Table, largest: int) -> pa.Table:
     def column(name: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(asked.column(name).to_pylist()), kind)
 
-    anchor, key, holder, several = column("anchors", np.uint32), column("keys", np.uint64), column("holders", np.int64), column("several", np.uint8)
+    anchor, key, several = column("anchors", np.uint32), column("keys", np.uint64), column("several", np.uint8)
+    holder = np.concatenate([_from_planes(x) for x in asked.column("holders").to_pylist()])
     sizes = np.array([len(x) // 4 for x in asked.column("anchors").to_pylist()])
     order = np.lexsort((key, anchor))
     a, k = anchor[order], key[order]
@@ -227,16 +241,16 @@ def _verdicts(asked: pa.Table, largest: int) -> pa.Table:
     for batch, bucket, size in zip(asked.column("batch").to_pylist(), asked.column("bucket").to_pylist(), sizes, strict=True):
         told = np.flatnonzero(answer[at : at + size])
         if len(told):
-            for c, x in zip(out, (batch, bucket, told.astype(np.uint32).tobytes(), owner[at + told].tobytes(), answer[at + told].tobytes()), strict=True):
+            for c, x in zip(out, (batch, bucket, told.astype(np.uint32).tobytes(), _planes(owner[at + told]), answer[at + told].tobytes()), strict=True):
                 out[c].append(x)
         at += size
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.table({c: pa.array(x, t) for (c, x), t in zip(out.items(), kinds, strict=True)})
 
 
-_FOUND = "batch bigint, doc int, ranges array<struct<first:bigint,end:bigint>>, anchor bigint, holder bigint, task int, starts array<bigint>, data binary"
+_FOUND = "batch bigint, doc int, ranges array<struct<first:bigint,end:bigint>>, anchor bigint, holder bigint, task int, starts array<bigint>, offset int, data binary"
 _RANGES = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-_FOUND_KINDS = (pa.int64(), pa.int32(), _RANGES, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+_FOUND_KINDS = (pa.int64(), pa.int32(), _RANGES, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary())
 
 
 def _merged(first: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
@@ -257,7 +271,7 @@ def _answering(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             task, owner = np.zeros(len(first), np.uint8), np.zeros(len(first), np.int64)
             for x in row["answers"]:
                 numbers = by_bucket[x["bucket"]][np.frombuffer(x["numbers"], np.uint32)]
-                task[numbers], owner[numbers] = np.frombuffer(x["tasks"], np.uint8), np.frombuffer(x["holders"], np.int64)
+                task[numbers], owner[numbers] = np.frombuffer(x["tasks"], np.uint8), _from_planes(x["holders"])
             counts = np.diff(first, append=len(order))
             task, owner = np.repeat(task, counts), np.repeat(owner, counts)
             places = _places(row["ids"])[strings.text[order]]
@@ -268,21 +282,37 @@ def _answering(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             for a, b in zip(bounds, bounds[1:]):
                 x = gone[a:b]
                 ranges = _merged(strings.start[x], strings.start[x] + strings.more[x] + WINDOW)
-                out.append((row["batch"], int(strings.text[x[0]]), [{"first": f, "end": e} for f, e in ranges], None, None, CUT, None, None))
+                out.append((row["batch"], int(strings.text[x[0]]), [{"first": f, "end": e} for f, e in ranges], None, None, CUT, None, None, None))
             sent = np.flatnonzero((task & (BLOCK | WINDOWS) > 0) & (places == owner))
             bounds = np.flatnonzero(np.diff(np.searchsorted(first, sent, side="right") * len(places) + strings.text[order[sent]], prepend=-1, append=-1))
             for a, b in zip(bounds, bounds[1:]):
                 x = order[sent[a:b]]
                 at, doc = int(strings.start[x[0]]), int(strings.text[x[0]])
                 data = row["texts"][doc][at : at + int(strings.more[x[0]]) + WINDOW]
-                out.append((row["batch"], doc, None, int(strings.anchor[x[0]]), int(owner[sent[a]]), int(task[sent[a]]) & (BLOCK | WINDOWS), strings.start[x].tolist(), data))
+                out.append((row["batch"], doc, None, int(strings.anchor[x[0]]), int(owner[sent[a]]), int(task[sent[a]]) & (BLOCK | WINDOWS), strings.start[x].tolist(), int(strings.offset[x[0]]), data))
             if out:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), _FOUND_KINDS)]
-                yield pa.RecordBatch.from_arrays(columns, names=["batch", "doc", "ranges", "anchor", "holder", "task", "starts", "data"])
+                yield pa.RecordBatch.from_arrays(columns, names=["batch", "doc", "ranges", "anchor", "holder", "task", "starts", "offset", "data"])
 
     return run
 
 
+def _comparable(rows: list[dict]) -> list[dict]:
+    """Strings of one block that may share a window: equal windows agree in their anchor and SIDE bytes on one side of it."""
+    held: dict[tuple[bool, bytes], tuple[int, int]] = {}
+    sides = []
+    for r in rows:
+        p, data, holder = r["offset"], r["data"], r["holder"]
+        own = [(True, data[p : p + ANCHOR + SIDE])] if p + ANCHOR + SIDE <= len(data) else []
+        if p >= SIDE:
+            own.append((False, data[p - SIDE : p + ANCHOR]))
+        for side in own:
+            low, high = held.get(side, (holder, holder))
+            held[side] = min(low, holder), max(high, holder)
+        sides.append(own)
+    return [r for r, own in zip(rows, sides, strict=True) if any(held[x][0] < held[x][1] for x in own)]
+
+
 def least_holders(blocks: list[list[bytes]], holders: list[list[int]]) -> list[np.ndarray]:
     """For every string, in the order given, the smallest holder of each of its windows among the strings of its block."""
     flat = [s for b in blocks for s in b]
@@ -318,7 +348,6 @@ def _lost(row: dict, least: np.ndarray) -> tuple[int, int, list[dict[str, int]]]
 
 def _ordering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def ready(groups: list[list[dict]]) -> pa.RecordBatch | None:
-        # A string that only one row of its block has is still compared with the others of the block.
         least = least_holders([[r["data"] for r in g] for g in groups], [[r["holder"] for r in g] for g in groups])
         out = [x for row, own in zip((r for g in groups for r in g), least, strict=True) if (x := _lost(row, own))]
         kinds = (pa.int64(), pa.int32(), _RANGES)
@@ -327,8 +356,10 @@ def _ordering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = (r for batch in batches for r in batch.to_pylist())
     groups, size = [], 0
     for _, group in groupby(rows, key=lambda r: r["anchor"]):
-        groups.append(list(group))
-        size += sum(len(r["data"]) for r in groups[-1])
+        if not (own := _comparable(list(group))):
+            continue
+        groups.append(own)
+        size += sum(len(r["data"]) for r in own)
         if size >= TOGETHER:
             if (found := ready(groups)) is not None:
                 yield found
@@ -368,14 +399,15 @@ def removed(documents: DataFrame) -> DataFrame:
     total = batches.select(F.sum(F.expr("aggregate(texts, 0L, (n, x) -> n + length(x))")).alias("n")).first()["n"] or 0
     buckets = max(1, -(-total // BUCKET))
 
-    asked = batches.mapInArrow(_asking(buckets), _ASKED)
     largest = LARGEST
-    answers = stored(asked.groupBy("bucket").applyInArrow(lambda t: _verdicts(t, largest), _ANSWER), "repeats-answers")
-    by_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "numbers", "holders", "tasks")).alias("answers"))
-    found = stored(batches.join(by_batch, "batch").select("batch", "ids", "texts", "answers").mapInArrow(_answering(buckets), _FOUND), "repeats-found")
+    with small_transfers(documents.sparkSession):
+        asked = batches.mapInArrow(_asking(buckets), _ASKED)
+        answers = stored(asked.groupBy("bucket").applyInArrow(lambda t: _verdicts(t, largest), _ANSWER), "repeats-answers")
+        by_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "numbers", "holders", "tasks")).alias("answers"))
+        found = stored(batches.join(by_batch, "batch").select("batch", "ids", "texts", "answers").mapInArrow(_answering(buckets), _FOUND), "repeats-found")
 
     whole = found.where(F.col("task") == CUT).select("batch", "doc", "ranges")
-    sent = found.where(F.col("task") == BLOCK).select("batch", "doc", "anchor", "holder", "starts", "data")
+    sent = found.where(F.col("task") == BLOCK).select("batch", "doc", "anchor", "holder", "starts", "offset", "data")
     blocks = sent.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_ordering, "batch bigint, doc int, ranges array<struct<first:bigint,end:bigint>>")
 
     single = found.where(F.col("task") == WINDOWS).select("batch", "doc", "holder", "starts", "data", F.explode(F.expr(f"sequence(0, length(data) - {WINDOW})")).alias("k"))

@@ -73,7 +73,7 @@ def corpus(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("largest", [1, 4, 512])
+@pytest.mark.parametrize("largest", [1, 4, 32_768])
 def test_equals_brute_force(spark, monkeypatch, largest):
     """Small batches, buckets and blocks; with ``largest`` 1 every block is cut into windows."""
     monkeypatch.setattr(repeats, "LARGEST", largest)
