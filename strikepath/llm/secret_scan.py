@@ -30,7 +30,9 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]{0,20000}-----END [A-Z ]{0,40}PRIVATE KEY-----)?")
+_BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY(?: BLOCK)?)-----")
+# A line of a key that lost its end: a header, base64, or nothing.
+_KEY_LINE = re.compile(r"[\x20\t]*(?:[A-Za-z][A-Za-z-]*:[^\n]*|[A-Za-z0-9+/]{16,}={0,2}|=[A-Za-z0-9+/]{4}|[A-Za-z0-9+/]{1,15}={1,2})?[\x20\t\r]*(?:\n|\Z)")
 _ISSUED = re.compile(r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{30,})")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 
@@ -44,12 +46,42 @@ def _assign(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
 
 
+def _private_key(text: str) -> list[tuple[int, int]]:
+    """From a BEGIN line to the next END line of the same label, however far; what lies between is not looked at.
+
+    A key without an end, or with another BEGIN before it, ends with the last line
+    that looks like a part of one.
+    """
+    begins = [(m.start(), m.end(), m.group(1)) for m in _BEGIN.finditer(text)]
+    ends: dict[str, int] = {}
+    out = []
+    for k, (start, body, label) in enumerate(begins):
+        if out and start < out[-1][1]:
+            continue
+        mark = f"-----END {label}-----"
+        # A search that came back empty, or from beyond this place, is not made again.
+        if ends.get(label, 0) >= 0 and ends.get(label, 0) <= body:
+            ends[label] = text.find(mark, body)
+        at = ends[label]
+        if at >= 0 and (k + 1 == len(begins) or at < begins[k + 1][0]):
+            out.append((start, at + len(mark)))
+            continue
+        last = end = body
+        line = _KEY_LINE.match(text, body)
+        while line and line.end() > end:
+            end = line.end()
+            last = end if line.group().strip() else last
+            line = _KEY_LINE.match(text, end)
+        out.append((start, body + len(text[body:last].rstrip())))
+    return out
+
+
 #: Kinds in the order in which equal starts are listed, each with its version and finder.
 RULES: dict[str, tuple[int, Callable[[str], Iterable[tuple[int, int]]]]] = {
     "assign": (1, _assign),
     "access": (1, _spans(_ACCESS)),
     "hex": (1, _spans(_HEX)),
-    "private_key": (1, _spans(_PEM)),
+    "private_key": (2, _private_key),
     "issued": (1, _spans(_ISSUED)),
     "jwt": (1, _spans(_JWT)),
 }

@@ -1,5 +1,8 @@
 import hashlib
+import random
 import re
+import string
+import time
 
 from conftest_llm import clashing, documents, ODD
 from strikepath.llm import secret_scan
@@ -60,6 +63,35 @@ def test_redaction_merges_overlaps_and_keeps_the_rest(spark):
     assert (out[2]["text"], out[2]["n_chars"], out[3]["text"]) == ("clean", 5, None)
 
 
+def pem(label, body, head=""):
+    return f"-----BEGIN {label}-----\n{head}{body}\n-----END {label}-----"
+
+
+def test_private_keys_of_any_length_and_form(spark):
+    rng = random.Random(4)
+    body = "\n".join("".join(rng.choices(string.ascii_letters + string.digits + "+/", k=64)) for _ in range(470))
+    keys = [
+        pem("RSA PRIVATE KEY", body),
+        pem("EC PRIVATE KEY", body[:300], "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"),
+        pem("PGP PRIVATE KEY BLOCK", body[:640] + "\n=aB3d", "Version: x 1.0 (y)\n\n"),
+        pem("PRIVATE KEY", "short"),
+    ]
+    assert len(keys[0]) > 30_000
+    rows = [(i, f"before {k} after") for i, k in enumerate(keys)] + [(9, f"a {keys[3]} b {keys[1]}\n{keys[0]} c")]
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redact(documents(spark, rows), scratch(spark, "ledger")).collect()}
+    assert all(out[i] == "before <secret> after" for i in range(4)) and out[9] == "a <secret> b <secret>\n<secret> c"
+    # Without an end: what looks like the key goes, the text behind it stays.
+    cut = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + body[:194]
+    spans = lambda t: [t[a:b] for k, a, b in secret_scan.find(t) if k == "private_key"]
+    assert spans(f"x {cut}\nand so on it goes") == [cut]
+    assert spans(f"{cut}\n{keys[3]}") == [cut, keys[3]]
+    assert spans("-----BEGIN RSA PRIVATE KEY----- and more") == ["-----BEGIN RSA PRIVATE KEY-----"]
+    # Many beginnings take no longer than their number asks for.
+    many = "-----BEGIN RSA PRIVATE KEY-----\nword here\n" * 50_000
+    began = time.time()
+    assert len(spans(many)) == 50_000 and time.time() - began < 20
+
+
 def test_odd_rows(spark):
     out = scanned(clashing(spark, ODD), scratch(spark, "ledger")).collect()
     assert len(out) == len(ODD) and all(r["spans"] == [] for r in out)
