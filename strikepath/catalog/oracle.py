@@ -635,7 +635,7 @@ def _aggregates() -> None:
     register(
         "a08_boolean_sums",
         pick("week_id trade_seconds:i decision_rows:i after_decision_rows:i", """SELECT week_id,
-             sum(CAST(CAST(has_trade_this_second AS INT)) AS trade_seconds, sum(CAST(decision_found AS INT)) AS decision_rows,
+             sum(CAST(has_trade_this_second AS INT)) AS trade_seconds, sum(CAST(decision_found AS INT)) AS decision_rows,
              sum(CAST(is_after_decision AS INT)) AS after_decision_rows FROM feat GROUP BY 1"""),
     )
     register(
@@ -705,7 +705,7 @@ def _aggregates() -> None:
     register(
         "a26_underlying_per_second",
         pick("week_id second:t underlying_value:d",
-             "SELECT week_id, second, CAST(sum(CAST(underlying_value AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(underlying_value) AS underlying_value FROM feat GROUP BY 1, 2"),
+             "SELECT week_id, second, CAST(sum(CAST(CAST(underlying_value AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) / count(underlying_value) AS underlying_value FROM feat GROUP BY 1, 2"),
     )
     register(
         "a27_category_counts",
@@ -816,9 +816,11 @@ def _orders() -> None:
     register("o06_head_rows", pick("window_start:t symbol futures_close:d", "lead_bars",
                                    "ORDER BY lead_bars.window_start, symbol LIMIT 300"))
     register("o07_option_list", pick("option = ticker", "SELECT DISTINCT ticker FROM feat"))
-    counts = "SELECT week_id, least(count(*), {}) AS n_rows FROM feat GROUP BY 1"
-    register("o08_capped_sample", pick("week_id n_rows:i", counts.format(150000)))
-    register("o08_capped_sample_small", pick("week_id n_rows:i", counts.format(500)))
+    drawn = """(SELECT *, row_number() OVER (PARTITION BY week_id ORDER BY
+                CAST('0x' || substr(md5('42|' || coalesce(ticker, '') || '|' || epoch_us(observed_at)), 1, 15) AS BIGINT),
+                ticker, observed_at) AS nth FROM feat) x"""
+    for name, cap in (("o08_capped_sample", 150_000), ("o08_capped_sample_small", 500)):
+        register(name, pick("week_id ticker observed_at:t kalshi_yes_price:d", f"SELECT * FROM {drawn} WHERE nth <= {cap}"))
     register("u01_union_all", pick("ticker observed_at:t data_source_period", "feat"))
     register("u02_distinct_on_key", pick("week_id ticker inferred_winner outcome_yes:i data_source_period", "dec"))
     register("u03_distinct_values", pick("vol_regime", "micro", "WHERE vol_regime IS NOT NULL", distinct=True))

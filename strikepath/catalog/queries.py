@@ -112,7 +112,7 @@ class Data:
     def features(self) -> DataFrame:
         return panel.panel_features(
             adapters.contract_1s(self.spark, self.sf_dir),
-            sized_by=adapters.contract_quotes(self.spark, self.sf_dir),
+            sampled_from=adapters.contract_quotes(self.spark, self.sf_dir),
         )
 
     @cached_property
@@ -590,7 +590,7 @@ def _(d):
 
 @query("a28_describe")
 def _(d):
-    return stats.describe(d.quotes, WEEK, "underlying_value", per_week=True)
+    return stats.describe(d.quotes, WEEK, "underlying_value", ["observed_at"])
 
 
 @query("a28_describe_order_price")
@@ -600,7 +600,7 @@ def _(d):
 
 @query("a29_quantiles")
 def _(d):
-    return stats.exact_quantiles(d.quotes, WEEK, "abs_z_bps", {"p95": 0.95, "p99": 0.99}, per_week=True)
+    return stats.exact_quantiles(d.quotes, WEEK, "abs_z_bps", {"p95": 0.95, "p99": 0.99}, ["observed_at"])
 
 
 @query("a29_contract_p95")
@@ -764,12 +764,12 @@ def _(d):
 
 @query("o08_capped_sample")
 def _(d):
-    return sample.capped_sample(d.moves, cap=150_000, sized_by=d.quotes).groupBy("week_id").agg(agg.rows().alias("n_rows"))
+    return sample.capped_sample(d.quotes, cap=150_000).select(*CONTRACT, "observed_at", "kalshi_yes_price")
 
 
 @query("o08_capped_sample_small")
 def _(d):
-    return sample.capped_sample(d.moves, cap=500, sized_by=d.quotes).groupBy("week_id").agg(agg.rows().alias("n_rows"))
+    return sample.capped_sample(d.quotes, cap=500).select(*CONTRACT, "observed_at", "kalshi_yes_price")
 
 
 # --- set operations -------------------------------------------------------------------

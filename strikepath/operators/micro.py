@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from strikepath.functions.aggregates import exact_mean, sum_or_zero
 from strikepath.functions.prices import log_return_bps
-from strikepath.operators.lookback import HOT_ROWS, with_lookback
+from strikepath.operators.lookback import with_lookback
 
 MEAN_COLUMNS = ("spread", "spread_bps", "quote_spread")
 SUM_COLUMNS = ("trade_count", "trade_size", "trade_volume")
 VOL_ROWS = 60
 VOL_MIN_RETURNS = 20
+# Seconds of a week that one task works on; a week has 604,800.
+VOL_SLOT_ROWS = 100_000
 
 
 def per_second(panel: DataFrame, underlying: str = "underlying_series") -> DataFrame:
@@ -38,16 +39,14 @@ def local_volatility(df: DataFrame, window: WindowSpec) -> DataFrame:
     )
 
 
-def with_local_volatility(micro: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """Add change, return and local volatility along each week's seconds.
+def with_local_volatility(
+    micro: DataFrame, slot_rows: int = VOL_SLOT_ROWS, sampled_from: DataFrame | None = None
+) -> DataFrame:
+    """Add change, return and local volatility along each week's seconds, which are cut into ranges.
 
-    The frame has one row per second, so a week has at most 604,800 rows however
-    large the panel is, and one task sorts that with ease. Pass ``hot_rows`` to
-    cut weeks into slots all the same.
+    ``sampled_from`` is the panel that the frame was grouped from, or any frame with its weeks and seconds.
     """
-    if hot_rows is None or hot_rows >= HOT_ROWS:
-        return local_volatility(micro, W.partitionBy("week_id").orderBy("second"))
-    return with_lookback(micro, ("week_id",), "second", VOL_ROWS, local_volatility, hot_rows)
+    return with_lookback(micro, ("week_id",), "second", VOL_ROWS, local_volatility, slot_rows, sampled_from)
 
 
 def spread_column(df: DataFrame) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from strikepath.functions import buckets, clock
-from strikepath.operators.lookback import HOT_ROWS, with_lookback
+from strikepath.operators.lookback import SLOT_ROWS, with_lookback
 
 CONTRACT = ("week_start", "ticker")
 LAGS = (1, 5)
@@ -33,12 +33,14 @@ def _changes(df: DataFrame, window: WindowSpec) -> DataFrame:
     return df.withColumns(moves)
 
 
-def with_changes(panel: DataFrame, hot_rows: int = HOT_ROWS, sized_by: DataFrame | None = None) -> DataFrame:
+def with_changes(panel: DataFrame, slot_rows: int = SLOT_ROWS, sampled_from: DataFrame | None = None) -> DataFrame:
     """1- and 5-row changes of the YES price and the underlying, per contract.
 
-    All four share one window, so one exchange and one sort.
+    All four share one window, so one exchange and one sort. Rows of one moment are
+    in order of the two values.
     """
-    return with_lookback(panel, CONTRACT, order_column(panel), max(LAGS), _changes, hot_rows, sized_by)
+    order = (order_column(panel), "kalshi_yes_price", "underlying_value")
+    return with_lookback(panel, CONTRACT, order, max(LAGS), _changes, slot_rows, sampled_from)
 
 
 def with_buckets(panel: DataFrame, price_unit: str = "dollars") -> DataFrame:
@@ -61,12 +63,12 @@ def with_buckets(panel: DataFrame, price_unit: str = "dollars") -> DataFrame:
 def panel_features(
     panel: DataFrame,
     price_unit: str = "dollars",
-    hot_rows: int = HOT_ROWS,
-    sized_by: DataFrame | None = None,
+    slot_rows: int = SLOT_ROWS,
+    sampled_from: DataFrame | None = None,
 ) -> DataFrame:
     """The full feature table from which every weekly contract product is made."""
-    sizes = None if sized_by is None else with_week(sized_by)
-    return with_buckets(with_changes(with_week(panel), hot_rows, sizes), price_unit).withColumns(
+    cheaper = None if sampled_from is None else with_week(sampled_from)
+    return with_buckets(with_changes(with_week(panel), slot_rows, cheaper), price_unit).withColumns(
         {
             "week_id": clock.week_id("week_start"),
             "yes_price_cents": F.col("kalshi_yes_price"),

@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from strikepath.functions.aggregates import rows
 from strikepath.operators.panel import order_column
 
-GRAIN = 1 << 40
+#: Draws are whole numbers of 15 hexadecimal digits.
+DIGITS = 15
 
 
 def capped_sample(
@@ -19,16 +20,17 @@ def capped_sample(
 ) -> DataFrame:
     """Of each week as many rows as it has, at most ``cap``; the caller always chooses it.
 
-    Rows are picked by a seeded hash of their key, so a rerun or a lost executor
-    gives the same sample. Hash values a little above the needed share are kept
+    Rows are picked by a seeded digest of their key, so a rerun, a lost executor or
+    another engine gives the same sample. Hash values a little above the needed share are kept
     first, which leaves about ``cap`` rows per week to rank, never the week.
     ``sized_by`` is a cheaper frame with the same rows per week to count.
     """
     at = order_column(features)
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("ticker"), F.col(at)), F.lit(GRAIN))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce("ticker", F.lit("")), F.unix_micros(at).cast("string")))
+    draw = F.conv(F.substring(key, 1, DIGITS), 16, 10).cast("bigint")
     sizes = (features if sized_by is None else sized_by).groupBy("week_id").agg(rows().alias("_n"))
     # Eight deviations of the drawn count above the cap.
-    limit = sizes.select("week_id", (F.lit(float(GRAIN)) * (cap + 8 * math.isqrt(cap) + 8) / F.col("_n")).alias("_limit"))
+    limit = sizes.select("week_id", (F.lit(float(16**DIGITS)) * (cap + 8 * math.isqrt(cap) + 8) / F.col("_n")).alias("_limit"))
     rank = F.row_number().over(W.partitionBy("week_id").orderBy("_draw", "ticker", at))
     return (
         # One limit per week, so the broadcast is bounded by the calendar.

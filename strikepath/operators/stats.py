@@ -1,16 +1,23 @@
-"""Generic statistics: quantiles, descriptions, histograms, box figures, counts, pivots."""
+"""Generic statistics: quantiles, descriptions, histograms, box figures, counts, pivots.
+
+Order statistics go by rank. A group's values are dealt out by ranges of the value,
+whose cuts come from a sample (``operators/lookback.py``); each range counts its
+rows, a running sum of those counts over the ranges says how many rows lie below
+each, and so every row knows its place in its group from its place in its range.
+That takes one exchange of the rows, however large a group is, and the figures
+of a group come back to its rows by range, which needs no further one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from strikepath.functions.aggregates import rows
-
-SKETCH_ACCURACY = 10_000
+from strikepath.functions.aggregates import exact_mean, rows
+from strikepath.operators.lookback import SLOT_ROWS, join_cuts, range_cuts, range_of
 
 
 def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], per_week: bool) -> DataFrame:
@@ -22,95 +29,103 @@ def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], per_week: bool
     return df.join(F.broadcast(small) if per_week else small, list(keys))
 
 
+class _Ranked:
+    """Rows of groups dealt out by ranges of a value; a NULL key is a key."""
+
+    def __init__(
+        self, df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str], slot_rows: int, with_null: bool = False
+    ):
+        # One column that is never NULL, so that joins match it as it is.
+        key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+        held = df.withColumns({"_key": key, "_v": F.col(value).cast("double")})
+        known = held.where(F.col("_v").isNotNull())
+        order = ["_v", *tie]
+        ranged = join_cuts(held if with_null else known, range_cuts(known, ["_key"], order, slot_rows), ["_key"], "left")
+        # Rows without a value lie below all ranges and count in none.
+        below = -1 - F.pmod(F.xxhash64(*tie), F.lit(64)) if tie else F.lit(-1)
+        self.keys = list(keys)
+        self.rows = (
+            ranged.withColumn("_range", F.when(F.col("_v").isNull(), below).otherwise(range_of(order)))
+            .drop("_cuts")
+            .repartition("_key", "_range")
+        )
+
+    def _ranges(self) -> DataFrame:
+        return self.rows.groupBy("_key", "_range").agg(F.count("_v").alias("_size"))
+
+    def placed(self, figures: DataFrame | None = None) -> DataFrame:
+        """The rows with ``_n``, the values in their group, ``_rank``, their place among them from 0, and group figures."""
+        group = W.partitionBy("_key")
+        below = F.sum("_size").over(group.orderBy("_range")) - F.col("_size")
+        offsets = self._ranges().select("_key", "_range", below.alias("_below"), F.sum("_size").over(group).alias("_n"))
+        if figures is not None:
+            offsets = offsets.join(figures, "_key")
+        place = F.row_number().over(W.partitionBy("_key", "_range").orderBy("_v"))
+        ranked = self.rows.withColumn("_place", place).join(offsets, ["_key", "_range"])
+        return ranked.withColumn("_rank", F.col("_below") + F.col("_place") - 1)
+
+    def quantiles(self, probabilities: dict[str, float], *measures: Column, figures: DataFrame | None = None) -> DataFrame:
+        """(_key, n, the named quantiles, the measures), one row per group."""
+        sides = {}
+        for name, p in probabilities.items():
+            place = (F.col("_n") - 1) * F.lit(float(p))
+            for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+                sides[f"_{name}_{side}"] = F.max(F.when(F.col("_rank") == rank, F.col("_v")))
+        picked = [m.alias(name) for name, m in sides.items()]
+        found = self.placed(figures).groupBy("_key").agg(F.max("_n").alias("n"), *picked, *measures)
+
+        def between(name: str, p: float) -> Column:
+            place, low, high = (F.col("n") - 1) * F.lit(float(p)), F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+            return (low + (place - F.floor(place)) * (high - low)).alias(name)
+
+        others = [c for c in found.columns if c not in sides and c not in ("_key", "n")]
+        return found.select("_key", "n", *[between(name, p) for name, p in probabilities.items()], *others)
+
+    def back(self, figures: DataFrame) -> DataFrame:
+        """The rows with their group's figures, which are spread over its ranges first."""
+        spread = self._ranges().select("_key", "_range").join(figures, "_key")
+        return self.rows.join(spread, ["_key", "_range"])
+
+    def named(self, figures: DataFrame, *columns: str) -> DataFrame:
+        return figures.select(*[F.col(f"_key.`{k}`").alias(k) for k in self.keys], *columns)
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probabilities: dict[str, float],
-    per_week: bool = False,
-    accuracy: int = SKETCH_ACCURACY,
+    tie: Sequence[str] = (),
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group, of any group size.
 
-    The built-in exact percentile keeps a group's distinct values in one task.
-    Here a mergeable sketch first gives, for every quantile, a bracket certain to
-    hold it (twice the sketch's rank error on both sides; a group too small for
-    that takes its whole range, which is then a bounded number of values). The
-    rows below the bracket are only counted, and just the values inside it,
-    about 4/``accuracy`` of the group, are ranked. Output: the keys, ``n`` and
-    one column per name in ``probabilities``.
+    Output: the keys, ``n`` and one column per name in ``probabilities``. Equal
+    values are cut apart only by ``tie``, further columns that differ between them.
     """
-    names = list(probabilities)
-    margin = 2.0 / accuracy
-    edges = [p for q in probabilities.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
-    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    sketch = values.groupBy(*keys).agg(
-        rows().alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", edges, accuracy).alias("_b"),
-    )
-    brackets = []
-    for i, q in enumerate(probabilities.values()):
-        whole = F.col("_n") * margin < 4
-        low = F.when(whole | F.lit(q <= margin), F.col("_min")).otherwise(F.col("_b")[2 * i])
-        high = F.when(whole | F.lit(q >= 1 - margin), F.col("_max")).otherwise(F.col("_b")[2 * i + 1])
-        brackets.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                ((F.col("_n") - 1) * F.lit(float(q))).alias("pos"),
-                low.alias("low"),
-                high.alias("high"),
-            )
-        )
-    bounds = sketch.select(*keys, "_n", F.array(*brackets).alias("_q"))
-    # Below a bracket only the number of rows matters, so those rows share one NULL value.
-    hits = F.transform(
-        F.filter("_q", lambda b: F.col("_v") <= b["high"]),
-        lambda b: F.struct(
-            b["i"].alias("i"),
-            b["pos"].alias("pos"),
-            F.when(F.col("_v") >= b["low"], F.col("_v")).alias("v"),
-        ),
-    )
-    counted = (
-        _attach(values, bounds, keys, per_week)
-        .select(*keys, "_n", F.explode(hits).alias("h"))
-        .groupBy(*keys, "_n", "h.i", "h.pos", "h.v")
-        .agg(rows().alias("c"))
-    )
-    upto = F.sum("c").over(W.partitionBy(*keys, "_n", "i", "pos").orderBy(F.asc_nulls_first("v")))
-    at = counted.withColumn("upto", upto).groupBy(*keys, "_n", "i", "pos").agg(
-        F.min(F.when(F.col("upto") > F.floor("pos"), F.col("v"))).alias("lo"),
-        F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("v"))).alias("hi"),
-        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)).alias("below"),
-    )
-    between = F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo"))
-    held = (F.col("below") <= F.floor("pos")) & F.col("hi").isNotNull()
-    return (
-        # A bracket that missed its rank must stop the job, never give a near value.
-        at.withColumn("x", F.when(held, between).otherwise(F.raise_error(F.lit("quantile outside its bracket"))))
-        .groupBy(*keys, F.col("_n").alias("n"))
-        .agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(name) for i, name in enumerate(names)])
-    )
+    ranked = _Ranked(df.select(*keys, value, *tie), keys, value, tie, slot_rows)
+    return ranked.named(ranked.quantiles(probabilities), "n", *probabilities)
 
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def describe(df: DataFrame, keys: Sequence[str], value: str, per_week: bool = False) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per group."""
-    plain = df.groupBy(*keys).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    quartiles = exact_quantiles(df, keys, value, QUARTILES, per_week).drop("n")
-    return plain.join(quartiles, list(keys), "left").select(
-        *keys, "count", "mean", "std", "min", *QUARTILES, "max"
-    )
+def describe(
+    df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = (), slot_rows: int = SLOT_ROWS
+) -> DataFrame:
+    """Count, mean, sample deviation, minimum, quartiles and maximum per group.
+
+    Mean and deviation are exact sums where those fit (``exact_mean``), so the
+    order of rows cannot show; squares are taken about the mean.
+    """
+    ranked = _Ranked(df.select(*keys, value, *tie), keys, value, tie, slot_rows, with_null=True)
+    means = ranked.rows.groupBy("_key").agg(exact_mean("_v").alias("_mean"))
+    square = F.pow(F.col("_v") - F.col("_mean"), F.lit(2))
+    measures = (F.min("_v").alias("min"), F.max("_v").alias("max"), F.max("_mean").alias("mean"), exact_mean(square).alias("_spread"))
+    found = ranked.quantiles(QUARTILES, *measures, figures=means)
+    deviation = F.when(F.col("n") > 1, F.sqrt(F.col("_spread") * F.col("n") / (F.col("n") - 1)))
+    found = found.withColumns({"count": F.col("n"), "std": deviation})
+    return ranked.named(found, "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def histogram(
@@ -144,42 +159,54 @@ def histogram(
     )
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str, per_week: bool = False) -> DataFrame:
+def box_stats(
+    df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = (), slot_rows: int = SLOT_ROWS
+) -> DataFrame:
     """Quartiles, whisker ends (last values within 1.5 IQR) and outlier count per group."""
-    quartiles = exact_quantiles(df, keys, value, QUARTILES, per_week)
+    ranked = _Ranked(df.select(*keys, value, *tie), keys, value, tie, slot_rows)
     reach = (F.col("q75") - F.col("q25")) * 1.5
-    low, high = F.col("q25") - reach, F.col("q75") + reach
-    v = F.col(value)
-    return (
-        _attach(df.where(v.isNotNull()), quartiles, keys, per_week)
-        .groupBy(*keys, "n", *QUARTILES)
+    low, high, v = F.col("q25") - reach, F.col("q75") + reach, F.col("_v")
+    boxes = (
+        ranked.back(ranked.quantiles(QUARTILES))
+        .groupBy("_key", "n", *QUARTILES)
         .agg(
             F.min(F.when(v >= low, v)).alias("whisker_low"),
             F.max(F.when(v <= high, v)).alias("whisker_high"),
             F.count_if((v < low) | (v > high)).alias("n_outliers"),
         )
     )
+    return ranked.named(boxes, "n", *QUARTILES, "whisker_low", "whisker_high", "n_outliers")
 
 
 def at_or_above_quantile(
-    df: DataFrame, keys: Sequence[str], value: str, probability: float, name: str = "threshold", per_week: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probability: float,
+    name: str = "threshold",
+    tie: Sequence[str] = (),
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """Rows at or above their group's quantile, with that quantile."""
-    limit = exact_quantiles(df, keys, value, {name: probability}, per_week).drop("n")
-    return _attach(df, limit, keys, per_week).where(F.col(value) >= F.col(name))
+    ranked = _Ranked(df, keys, value, tie, slot_rows)
+    limits = ranked.quantiles({name: probability}).select("_key", name)
+    return ranked.back(limits).where(F.col("_v") >= F.col(name)).select(*df.columns, name)
 
 
 def category_counts(df: DataFrame, keys: Sequence[str], category: str, unknown: str = "Unknown") -> DataFrame:
     """Rows per category, NULL under a label of its own; most frequent first within each group, equal counts by label."""
+    return _counted(df, keys, category, unknown).orderBy(*keys, F.desc("count"), category)
+
+
+def _counted(df: DataFrame, keys: Sequence[str], category: str, unknown: str) -> DataFrame:
     label = F.coalesce(F.col(category), F.lit(unknown)).alias(category)
-    counted = df.groupBy(*keys, label).agg(rows().alias("count"))
-    return counted.orderBy(*keys, F.desc("count"), category)
+    return df.groupBy(*keys, label).agg(rows().alias("count"))
 
 
 def category_shares(df: DataFrame, keys: Sequence[str], category: str) -> DataFrame:
     """Category counts with their part of the group."""
     whole = F.sum("count").over(W.partitionBy(*keys))
-    shares = category_counts(df, keys, category).withColumn("share", F.col("count") / whole)
+    shares = _counted(df, keys, category, "Unknown").withColumn("share", F.col("count") / whole)
     return shares.orderBy(*keys, F.desc("count"), category)
 
 

@@ -212,7 +212,7 @@ def micro_frame(panel: DataFrame) -> DataFrame:
     On a sample the 60 rows of the volatility window would not be neighbours.
     """
     series = display.with_underlying_series(display.with_underlying_columns(panel))
-    return micro.with_local_volatility(micro.per_second(series))
+    return micro.with_local_volatility(micro.per_second(series), sampled_from=panel)
 
 
 def micro_series(frame: DataFrame) -> DataFrame:
@@ -234,7 +234,7 @@ def decision_shares(decisions: DataFrame) -> DataFrame:
 
 
 def decision_statistics(decisions: DataFrame) -> DataFrame:
-    return stats.describe(_decided(decisions), [WEEK], "minutes_before_close_at_decision", per_week=True)
+    return stats.describe(_decided(decisions), [WEEK], "minutes_before_close_at_decision", ["ticker"])
 
 
 # Output columns in their given order.
@@ -309,7 +309,7 @@ def filtered_move_pairs(panel: DataFrame, **chosen: str) -> DataFrame:
         return df.withColumn("selected_underlying_change_5s", move)
 
     return (
-        with_lookback(shown, CONTRACT, order_column(panel), 5, moved, sized_by=kept)
+        with_lookback(shown, CONTRACT, (order_column(panel), "underlying_series"), 5, moved, sampled_from=series)
         .na.drop(subset=["selected_underlying_change_5s", "yes_price_change_5s_display"])
         .select(
             *CONTRACT, "second", "selected_underlying_change_5s", "yes_price_change_5s_display",

@@ -1,4 +1,4 @@
-"""Groups cut into slots must give what one window over the whole group gives."""
+"""Groups cut into ranges must give what one window over the whole group gives."""
 
 import random
 from datetime import datetime, timedelta
@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import Window as W
 
 from strikepath.operators import micro, panel
-from strikepath.operators.lookback import large_groups, with_lookback
+from strikepath.operators import lookback
+from strikepath.operators.lookback import range_cuts, with_lookback
 
 START = datetime(2024, 1, 1)
 
@@ -35,7 +36,7 @@ def test_cut_groups_equal_whole_groups(make, gaps):
     # "hot" holds most rows; the others have 1, 5 and 6.
     df = make(path_rows({"hot": 400, "one": 1, "five": 5, "six": 6}, gaps), SCHEMA)
     plain = panel._changes(df, W.partitionBy("week_start", "ticker").orderBy("second")).toPandas()
-    cut = panel.with_changes(df, hot_rows=40).toPandas()
+    cut = panel.with_changes(df, slot_rows=40).toPandas()
     key = ["ticker", "second"]
     plain, cut = plain.sort_values(key, ignore_index=True), cut.sort_values(key, ignore_index=True)
     assert len(cut) == len(df.collect())
@@ -44,11 +45,46 @@ def test_cut_groups_equal_whole_groups(make, gaps):
     assert cut[cut.ticker == "six"]["underlying_change_5s"].notna().sum() == 1
 
 
-def test_only_large_groups_are_cut(make):
-    df = make(path_rows({"hot": 400, "five": 5}, (1,)), SCHEMA)
-    hot = large_groups(df, ("week_start", "ticker"), "second", 40).collect()
-    assert [r.ticker for r in hot] == ["hot"]
-    assert 0 < hot[0]["_slot_us"] <= 40 * 1_000_000
+def ranges(df, order, slot_rows):
+    """Rows of each range of every group."""
+    cuts = range_cuts(df, ("week_start", "ticker"), order, slot_rows)
+    dealt = lookback.join_cuts(df, cuts, ("week_start", "ticker"), "left").withColumn("range", lookback.range_of(order))
+    return {(r.ticker, r.range): r["count"] for r in dealt.groupBy("ticker", "range").count().collect()}
+
+
+def test_ranges_follow_the_rows(make):
+    df = make(path_rows({"hot": 4000, "five": 5}, (1, 1, 1, 9000)), SCHEMA)
+    found = ranges(df, ["second"], 400)
+    assert found["five", 0] == 5 and sum(found.values()) == 4005
+    sizes = [n for (ticker, _), n in found.items() if ticker == "hot"]
+    assert 6 <= len(sizes) <= 15 and max(sizes) < 1000
+
+
+def test_a_burst_is_cut_evenly_and_equal_times_give_one_answer(spark):
+    """100,000 rows in a tenth of a second, most of them at one moment, beside one quiet hour."""
+    df = spark.range(100_000).selectExpr(
+        "timestamp'2024-01-01' AS week_start", "'hot' AS ticker",
+        "timestamp_micros(1704070000000000 + CASE WHEN id < 70000 THEN 50 ELSE id END) AS second",
+        "id % 9973 / 100d AS kalshi_yes_price", "cast(id AS double) AS underlying_value",
+    ).unionAll(spark.range(100).selectExpr("timestamp'2024-01-01'", "'hot'", "timestamp_seconds(1704060000 + 36 * id)", "0d", "0d"))
+    sizes = list(ranges(df, ["second", "kalshi_yes_price", "underlying_value"], 5_000).values())
+    assert sum(sizes) == 100_100 and 12 <= len(sizes) <= 30 and max(sizes) < 3 * 5_000
+    digest = lambda d: d.selectExpr("count(*)", "sum(cast(xxhash64(*) AS decimal(20)))").first()
+    cut = [digest(panel.with_changes(df.repartition(n), slot_rows=rows)) for n, rows in ((3, 5_000), (7, 5_000), (5, 2_000_000))]
+    assert cut[0] == cut[1] == cut[2] and cut[0][0] == 100_100
+
+
+def test_cuts_have_a_bound(make, monkeypatch):
+    monkeypatch.setattr(lookback, "MAX_CUTS", 5)
+    df = make(path_rows({"hot": 4000, "warm": 800}, (1,)), SCHEMA)
+    found = ranges(df, ["second"], 40)
+    assert len(found) <= 5 + 2 and sum(found.values()) == 4800
+    whole = panel._changes(df, W.partitionBy("week_start", "ticker").orderBy("second")).toPandas()
+    cut = panel.with_changes(df, slot_rows=40).toPandas()
+    key = ["ticker", "second"]
+    pd.testing.assert_frame_equal(
+        cut.sort_values(key, ignore_index=True)[whole.columns], whole.sort_values(key, ignore_index=True)
+    )
 
 
 def test_second_branch_vanishes_without_large_groups(make):
@@ -68,14 +104,14 @@ def test_rolling_deviation_matches_pandas(make, size):
     df = make(rows, "week_id string, second timestamp, underlying double")
     series = pd.Series(price)
     expected = (np.log(series / series.shift(1)) * 10_000).rolling(60, min_periods=20).std()
-    for cut in (None, 50):
-        got = micro.with_local_volatility(df, hot_rows=cut).toPandas().sort_values("second")["local_vol_60s_bps"]
+    for cut in (100_000, 50):
+        got = micro.with_local_volatility(df, slot_rows=cut).toPandas().sort_values("second")["local_vol_60s_bps"]
         np.testing.assert_allclose(got.to_numpy(float), expected.to_numpy(), rtol=1e-9, atol=1e-9)
 
 
-@pytest.mark.parametrize("hot_rows", [1000, 20])
-def test_lookback_keeps_null_keys(make, hot_rows):
+@pytest.mark.parametrize("slot_rows", [1000, 20])
+def test_lookback_keeps_null_keys(make, slot_rows):
     rows = [(START, None, START + timedelta(seconds=i), 0.1 * i, 1.0) for i in range(80)]
     df = make(rows, SCHEMA)
-    got = with_lookback(df, ("week_start", "ticker"), "second", 5, panel._changes, hot_rows).toPandas()
+    got = with_lookback(df, ("week_start", "ticker"), "second", 5, panel._changes, slot_rows).toPandas()
     assert len(got) == 80 and got["yes_price_change_5s"].notna().sum() == 75

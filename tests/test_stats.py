@@ -4,32 +4,75 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from strikepath.functions.aggregates import exact_mean
 from strikepath.operators import daily, sample, stats
 
 QS = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 0.99, "f": 1.0}
 
 
-@pytest.mark.parametrize("per_week", [True, False])
-@pytest.mark.parametrize("accuracy", [10_000, 50])
-def test_quantiles_are_exact(spark, per_week, accuracy):
-    """A low accuracy makes the groups too large for the whole-range bracket."""
+def groups_of_values():
     rng = np.random.default_rng(3)
-    groups = {
+    return {
         "one": [4.0],
         "two": [1.0, 2.0],
         "three": [1.0, 2.0, 3.0],
         "ties": [5.0] * 900 + [6.0] * 100,
         "skewed": list(np.exp(rng.normal(0, 4, size=3000))),
         "wide": list(rng.normal(size=3000)),
+        None: list(rng.normal(size=50)),
     }
-    pdf = pd.DataFrame([(g, v) for g, vs in groups.items() for v in vs], columns=["g", "v"])
-    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([("one", None)], "g string, v double"))
-    got = stats.exact_quantiles(df.repartition(4), ["g"], "v", QS, per_week, accuracy).toPandas().set_index("g")
-    assert set(got.index) == set(groups)
+
+
+def values_of(spark, groups):
+    pdf = pd.DataFrame([(g, v, i) for g, vs in groups.items() for i, v in enumerate(vs)], columns=["g", "v", "i"])
+    extra = spark.createDataFrame([("one", None, -1), ("none", None, 0)], "g string, v double, i long")
+    return spark.createDataFrame(pdf, "g string, v double, i long").unionByName(extra).repartition(4)
+
+
+@pytest.mark.parametrize("slot_rows", [2_000_000, 200, 20])
+def test_quantiles_are_exact(spark, slot_rows):
+    """Few rows a range make the groups lie in many, equal values among them."""
+    groups = groups_of_values()
+    df = values_of(spark, groups)
+    got = {r.g: r for r in stats.exact_quantiles(df, ["g"], "v", QS, ["i"], slot_rows).collect()}
+    assert set(got) == set(groups)
     for name, values in groups.items():
         expected = np.quantile(values, list(QS.values()))
-        np.testing.assert_allclose(got.loc[name, list(QS)].to_numpy(float), expected, rtol=1e-12)
-        assert got.loc[name, "n"] == len(values)
+        np.testing.assert_allclose([got[name][q] for q in QS], expected, rtol=1e-12)
+        assert got[name].n == len(values)
+
+
+@pytest.mark.parametrize("slot_rows", [2_000_000, 100])
+def test_figures_of_groups_in_ranges(spark, slot_rows):
+    groups = groups_of_values()
+    df = values_of(spark, groups)
+    described = {r.g: r for r in stats.describe(df, ["g"], "v", ["i"], slot_rows).collect()}
+    assert described["none"]["count"] == 0 and described["none"]["mean"] is None
+    boxes = {r.g: r for r in stats.box_stats(df, ["g"], "v", ["i"], slot_rows).collect()}
+    above = stats.at_or_above_quantile(df, ["g"], "v", 0.9, "p", ["i"], slot_rows).collect()
+    assert "none" not in boxes and set(described) - {"none"} == set(boxes) == set(groups)
+    for name, values in groups.items():
+        v = pd.Series(values)
+        d, b = described[name], boxes[name]
+        expected = v.describe()
+        np.testing.assert_allclose([np.nan if d[c] is None else d[c] for c in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")], expected.to_numpy(), rtol=1e-9)
+        low, high = expected["25%"] - 1.5 * (expected["75%"] - expected["25%"]), expected["75%"] + 1.5 * (expected["75%"] - expected["25%"])
+        assert (b.whisker_low, b.whisker_high, b.n_outliers) == (v[v >= low].min(), v[v <= high].max(), ((v < low) | (v > high)).sum())
+        assert sorted(r.v for r in above if r.g == name) == sorted(v[v >= np.quantile(values, 0.9)])
+
+
+def test_a_group_without_keys_and_one_exchange_of_the_rows(spark, tmp_path):
+    spark.range(5000).selectExpr("id % 3 AS g", "id AS i", "cast(id * 7 % 5000 AS double) AS v", "'payload' AS text").write.parquet(str(tmp_path / "v"))
+    df = spark.read.parquet(str(tmp_path / "v"))
+    row = stats.exact_quantiles(df, [], "v", {"p": 0.25}, ["i"], 300).first()
+    assert (row.n, row.p) == (5000, 1249.75)
+    big = stats.at_or_above_quantile(df, ["g"], "v", 0.5, "p", ["i"], 300)
+    assert big.count() == 2501 or big.count() == 2502
+    big.collect()
+    plan = big._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Rows with their text are dealt out once; what joins them again is per range.
+    dealt = [x for x in plan.split("\n") if "REPARTITION_BY_COL" in x and "Exchange hash" in x and "Reused" not in x]
+    assert len(dealt) <= 2 and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
 def test_p95_of_three(make):
@@ -44,6 +87,25 @@ def test_describe_matches_pandas(spark):
     np.testing.assert_allclose(got.to_numpy(float), expected.to_numpy(float))
 
 
+def test_means_leave_no_value_out(make):
+    cases = {
+        "large": ([1.0, 1e21], 5e20), "small": ([4e-9, 4e-9], 4e-9), "tiny": ([3e-300, 1e-300], 2e-300), "cents": ([0.1, 0.2, 0.3], 0.2),
+        "far": ([1e17, 1.0, -1e17], 1 / 3), "endless": ([1.0, float("inf")], float("inf")), "none": ([None], None), "zero": ([0.0, 0.0], 0.0),
+        "both": ([float("inf"), float("-inf")], float("nan")), "nan": ([1.0, float("nan")], float("nan")), "gap": ([1.0, None], 1.0),
+    }
+    rows = [(g, v) for g, (vs, _) in cases.items() for v in vs]
+    for parts in (1, 2, 5):
+        got = {r.g: r.m for r in make(rows, "g string, v double").repartition(parts).groupBy("g").agg(exact_mean("v").alias("m")).collect()}
+        for g, (_, expected) in cases.items():
+            assert got[g] == expected or got[g] is not None and (abs(got[g] - expected) <= 1e-12 * abs(expected) or got[g] != got[g] and expected != expected), g
+
+
+def test_means_do_not_depend_on_partitions(spark):
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "sin(id) * pow(10, id % 7) AS v")
+    got = {tuple(map(tuple, df.repartition(n).groupBy("g").agg(exact_mean("v").alias("m")).orderBy("g").collect())) for n in range(1, 11)}
+    assert len(got) == 1
+
+
 def test_histogram_edges(make):
     df = make([("g", float(v)) for v in (0, 1, 9.99, 10, 10)] + [("flat", 3.0), ("flat", 3.0)], "g string, v double")
     got = {(r["g"], r["bin"]): r["count"] for r in stats.histogram(df, ["g"], "v", 10).collect()}
