@@ -1195,6 +1195,27 @@ def _profiles() -> None:
         pick("selected_futures_symbol second:t n_rows:i", """SELECT selected_futures_symbol, second, count(*) AS n_rows
              FROM panel GROUP BY 1, 2 HAVING count(*) > 1"""),
     )
+    bounds = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_known, min({c}) AS min, max({c}) AS max FROM lineitem"""
+        for c in ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    )
+    register("d01_file_statistics", pick("column n_rows:i n_known:i min:d max:d", bounds))
+    pair = """SELECT '{0}' AS contract_column, '{1}' AS time_column, count(*) AS n_rows,
+        count(*) FILTER ({0} IS NOT NULL AND {1} IS NOT NULL) AS n_known,
+        count(*) FILTER ({0} IS NOT NULL AND {1} IS NOT NULL)
+          - count(DISTINCT ({0}, {1})) FILTER ({0} IS NOT NULL AND {1} IS NOT NULL) AS extra FROM {2}"""
+    for name, table, contracts, times in (
+        ("d05_candidate_keys", "panel", ("ticker", "selected_futures_symbol", "futures_symbol"),
+         ("second", "contract_open_time", "contract_close_time", "observed_at", "week_start")),
+        ("d05_candidate_keys_lines", "lineitem", ("l_orderkey", "l_partkey", "l_suppkey"), ("l_linenumber", "l_shipdate")),
+    ):
+        found = " UNION ALL ".join(pair.format(c, t, table) for c in contracts for t in times)
+        register(name, pick(
+            "contract_column time_column n_rows:i n_null:i duplicates:i verdict",
+            f"""SELECT *, n_rows - n_known AS n_null, CASE WHEN near THEN extra END AS duplicates,
+                CASE WHEN near AND extra = 0 AND n_known = n_rows THEN 'key' WHEN near AND n_known > 0 THEN 'nearly' ELSE 'no' END AS verdict
+                FROM (SELECT *, extra <= n_known * 0.09999999999999998e0 AS near FROM ({found}) p)""",
+        ))
     coverage = """SELECT '{0}.parquet' AS file, count(*) AS n_rows, min({1}) AS first_time, max({1}) AS last_time,
         count(DISTINCT {2}) AS n_symbols FROM {0}"""
     for name, args in (

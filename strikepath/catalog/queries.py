@@ -1233,7 +1233,14 @@ def _(d):
 
 @query("d01_row_count")
 def _(d):
-    return profile.row_count(d.load("events"))
+    return profile.row_count(tables.scan_footers(d.spark, d.file("events")))
+
+
+@query("d01_file_statistics")
+def _(d):
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    found = profile.file_statistics(tables.scan_footers(d.spark, d.file("lineitem")), columns)
+    return found.withColumns({c: F.col(c).cast("double") for c in ("min", "max")})
 
 
 @query("d02_time_ranges")
@@ -1261,6 +1268,16 @@ def _(d):
     return profile.duplicate_keys(d.quotes, "selected_futures_symbol", "second")
 
 
+@query("d05_candidate_keys")
+def _(d):
+    return profile.candidate_keys(d.quotes, profile.id_columns(d.quotes))
+
+
+@query("d05_candidate_keys_lines")
+def _(d):
+    return profile.candidate_keys(d.load("lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"], ["l_linenumber", "l_shipdate"])
+
+
 @query("d06_file_coverage")
 def _(d):
     return profile.file_coverage(tables.with_file(d.load("events")), "ts", "event_type")

@@ -22,6 +22,22 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def scan_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A scan whose counts and extremes, asked without a filter, come from Parquet footers.
+
+    Only the second version of the file source pushes aggregates down; it is chosen
+    for this one read, and plain scans stay with the first.
+    """
+    name = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(name)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set(name, ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+
+
 def product_path(root: str, product: str) -> str:
     return f"{root.rstrip('/')}/{product}"
 

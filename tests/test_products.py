@@ -7,7 +7,8 @@ import golden
 from conftest import rows_of
 from strikepath import roles
 from strikepath.functions import clock
-from strikepath.operators import bars, daily, display, enrich, filters, match, metrics, panel, profile, summary
+from strikepath.operators import bars, daily, display, enrich, filters, match, metrics, panel, profile, skew, summary
+from strikepath.sources import tables
 
 
 def ts(text):
@@ -324,3 +325,68 @@ def test_equal_times_give_one_answer_for_any_partitioning(make):
         every = bars.trade_bars(ticks.repartition(n, "price")).orderBy("second").collect()
         found.add((tuple(r["futures_last_trade_price_1s"] for r in by_symbol), tuple(r["underlying_trade_price"] for r in every)))
     assert found == {((4.0, 4.0), (4.0, 4.0))}
+
+
+def test_candidate_keys_are_found(spark, make):
+    base = spark.range(4000)
+    df = base.selectExpr(
+        "concat('T', id div 10) AS ticker", "concat('M', id % 5) AS market_ticker", "id AS payload",
+        "timestamp_seconds(id % 10) AS second", "timestamp_seconds(if(id % 100 = 0, 0, id)) AS observed_time",
+        "if(id < 3990, timestamp_seconds(id), NULL) AS close_time", "timestamp_seconds(id div 100) AS date_hour",
+    )
+    got = {(r.contract_column, r.time_column): (r.n_rows, r.n_null, r.duplicates, r.verdict) for r in profile.candidate_keys(df).collect()}
+    assert len(got) == 8
+    assert got["ticker", "second"] == (4000, 0, 0, "key")
+    assert got["ticker", "close_time"] == (4000, 10, 0, "nearly")
+    # The 40 rows at moment 0 belong to 40 tickers, but to one market.
+    assert got["ticker", "observed_time"] == (4000, 0, 0, "key")
+    assert got["market_ticker", "observed_time"] == (4000, 0, 39, "nearly")
+    assert got["market_ticker", "second"] == (4000, 0, None, "no") and got["ticker", "date_hour"][3] == "no"
+    empty = make([], "ticker string, second timestamp")
+    assert [tuple(r)[2:] for r in profile.candidate_keys(empty).collect()] == [(0, 0, None, "no")]
+    with pytest.raises(ValueError):
+        profile.candidate_keys(df.select("payload"))
+    found = profile.candidate_keys(df)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # The sketches are read twice and made once; no pair has a pass of its own.
+    assert "Expand" not in plan and plan.count("Range (0, 4000") - plan.count("ReusedExchange") <= 2
+
+
+def test_statistics_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "if(id % 4 = 0, NULL, id / 8) AS price", "cast(id AS string) AS text", "timestamp_seconds(id) AS at").repartition(3).write.parquet(path)
+    footers = tables.scan_footers(spark, path)
+    got = profile.file_statistics(footers)
+    assert {r["column"]: tuple(r)[1:] for r in got.collect()} == {"id": (1000, 1000, "0", "999"), "price": (1000, 750, "0.125", "124.875")}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(id), MIN(id)" in plan.replace("`", "")
+    assert profile.row_count(footers).first().n_rows == 1000
+    with pytest.raises(ValueError, match="text, at"):
+        profile.file_statistics(footers, ["id", "text", "at"])
+    # Later scans are plain ones again.
+    assert "PushedAggregation" not in spark.read.parquet(path).agg(F.min("id"))._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_key_with_half_of_all_rows_is_dealt_out(spark, how):
+    left = spark.range(20_000).selectExpr("if(id % 2 = 0, 7, id % 997) AS k", "if(id % 50 = 0, NULL, 'x') AS s", "id")
+    right = spark.range(0, 900, 2).selectExpr("id AS rk", "'x' AS rs", "id * 3 AS found").unionAll(spark.sql("SELECT 7L, 'x', seq FROM (SELECT explode(sequence(100L, 102L)) AS seq)"))
+    joined = skew.frequent_join(left, right, {"k": "rk", "s": "rs"}, ["id"], how, part_rows=500)
+    plain = left.join(right, (left.k == right.rk) & (left.s == right.rs), how).select("k", "s", "id", "found")
+    assert joined.columns == ["k", "s", "id", "found"]
+    assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
+    hot = skew.frequent_keys(left, ["k"], ["id"], 500).collect()
+    assert [r.k for r in hot] == [7] and 15 <= hot[0]["_salts"] <= 30
+    # Dealt by key and salt, no part holds much more than its share.
+    salts = hot[0]["_salts"]
+    parts = left.where("k = 7").groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(salts))).count().collect()
+    assert len(parts) == salts and max(r["count"] for r in parts) < 2 * 10_000 / salts
+    with pytest.raises(ValueError):
+        skew.frequent_join(left, right, {"k": "rk"}, ["id"], "full")
+
+
+def test_few_frequent_keys_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_KEYS", 3)
+    df = spark.range(10_000).selectExpr("id % 100 AS k", "id")
+    assert skew.frequent_keys(df, ["k"], ["id"], 16).count() <= 3
