@@ -1205,14 +1205,14 @@ def _profiles() -> None:
         count(*) FILTER ({0} IS NOT NULL AND {1} IS NOT NULL)
           - count(DISTINCT ({0}, {1})) FILTER ({0} IS NOT NULL AND {1} IS NOT NULL) AS extra FROM {2}"""
     for name, table, contracts, times in (
-        ("d05_candidate_keys", "panel", ("ticker", "selected_futures_symbol", "futures_symbol"),
+        ("d05_candidate_keys", "feat", ("ticker", "selected_futures_symbol", "futures_symbol"),
          ("second", "contract_open_time", "contract_close_time", "observed_at", "week_start")),
         ("d05_candidate_keys_lines", "lineitem", ("l_orderkey", "l_partkey", "l_suppkey"), ("l_linenumber", "l_shipdate")),
     ):
         found = " UNION ALL ".join(pair.format(c, t, table) for c in contracts for t in times)
         register(name, pick(
-            "contract_column time_column n_rows:i n_null:i duplicates:i verdict",
-            f"""SELECT *, n_rows - n_known AS n_null, CASE WHEN near THEN extra END AS duplicates,
+            "contract_column time_column n_rows:i n_null:i duplicates verdict",
+            f"""SELECT *, n_rows - n_known AS n_null, CASE WHEN near THEN CAST(extra AS DOUBLE) END AS duplicates,
                 CASE WHEN near AND extra = 0 AND n_known = n_rows THEN 'key' WHEN near AND n_known > 0 THEN 'nearly' ELSE 'no' END AS verdict
                 FROM (SELECT *, extra <= n_known * 0.09999999999999998e0 AS near FROM ({found}) p)""",
         ))

@@ -1268,14 +1268,20 @@ def _(d):
     return profile.duplicate_keys(d.quotes, "selected_futures_symbol", "second")
 
 
+def _sparse_count(df: DataFrame, column: str) -> DataFrame:
+    """A count that is NULL on some rows, as a double."""
+    return df.withColumn(column, F.col(column).cast("double"))
+
+
 @query("d05_candidate_keys")
 def _(d):
-    return profile.candidate_keys(d.quotes, profile.id_columns(d.quotes))
+    return _sparse_count(profile.candidate_keys(d.quotes, profile.id_columns(d.quotes)), "duplicates")
 
 
 @query("d05_candidate_keys_lines")
 def _(d):
-    return profile.candidate_keys(d.load("lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"], ["l_linenumber", "l_shipdate"])
+    found = profile.candidate_keys(d.load("lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"], ["l_linenumber", "l_shipdate"])
+    return _sparse_count(found, "duplicates")
 
 
 @query("d06_file_coverage")

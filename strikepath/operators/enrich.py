@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strikepath.functions.aggregates import rows
 from strikepath.functions.prices import share_pct
+from strikepath.operators.skew import frequent_join
 
 # Column names.
 STRICT_COLUMNS = (
@@ -32,38 +33,35 @@ def symbol_column(df: DataFrame) -> str:
     raise ValueError("no futures symbol column")
 
 
+def _telling_apart(panel: DataFrame) -> list[str]:
+    """Columns that differ between the rows of one second."""
+    return [c for c in ("ticker", "observed_at", "second") if c in panel.columns]
+
+
 def attach_trades_strict(panel: DataFrame, bars: DataFrame) -> DataFrame:
     """Left join on (symbol, second); earlier results are dropped, so it can run again.
 
-    ``bars`` has one row per key, so the panel cannot fan out.
+    ``bars`` has one row per key, so the panel cannot fan out. It comes grouped by
+    that key, so rows of a busy second are dealt out here (``operators/skew.py``).
     """
     left = panel.drop(*STRICT_COLUMNS)
-    right = bars.select(
-        F.col("symbol").alias("_symbol"),
-        F.col("second").alias("_second"),
-        *[c for c in STRICT_COLUMNS if c != "has_futures_trade_1s"],
-    )
-    match = (left[symbol_column(left)] == F.col("_symbol")) & (left["second"] == F.col("_second"))
-    return (
-        left.join(right, match, "left")
-        .drop("_symbol", "_second")
-        .withColumns(
-            {
-                "futures_trade_count_1s": F.coalesce("futures_trade_count_1s", F.lit(0)),
-                "futures_trade_size_1s": F.coalesce("futures_trade_size_1s", F.lit(0.0)),
-                "has_futures_trade_1s": F.col("futures_last_trade_price_1s").isNotNull(),
-            }
-        )
+    right = bars.select("symbol", "second", *[c for c in STRICT_COLUMNS if c != "has_futures_trade_1s"])
+    on = {symbol_column(left): "symbol", "second": "second"}
+    return frequent_join(left, right, on, _telling_apart(left)).withColumns(
+        {
+            "futures_trade_count_1s": F.coalesce("futures_trade_count_1s", F.lit(0)),
+            "futures_trade_size_1s": F.coalesce("futures_trade_size_1s", F.lit(0.0)),
+            "has_futures_trade_1s": F.col("futures_last_trade_price_1s").isNotNull(),
+        }
     )
 
 
 def attach_trades_by_second(panel: DataFrame, bars: DataFrame, replace_strict: bool = False) -> DataFrame:
     """Left join on the second alone, whatever the symbol."""
     stale = BY_SECOND_COLUMNS + (STRICT_COLUMNS if replace_strict else ())
-    return (
-        panel.drop(*stale)
-        .join(bars, "second", "left")
-        .withColumn("has_underlying_trade_price", F.col("underlying_trade_price").isNotNull())
+    left = panel.drop(*stale)
+    return frequent_join(left, bars, {"second": "second"}, _telling_apart(left)).withColumn(
+        "has_underlying_trade_price", F.col("underlying_trade_price").isNotNull()
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strikepath.functions import buckets, clock, prices
+from strikepath.operators.skew import frequent_join
 
 NEAR_DOLLARS = 100
 
@@ -55,20 +56,18 @@ def threshold_matches(markets: DataFrame, leading_bars: DataFrame, week_of: str
     lies in the old one. ``week_of="window"`` looks the bar up by its own week;
     ``week_of="close"`` uses the filing week, so such a market finds none.
 
-    Many markets share a close, so the lookup key is skewed on the market side;
-    the bar side is unique per key, and adaptive execution may split or
-    broadcast it by measured size.
+    Many markets share a close, so the lookup key is skewed on the market side and
+    is dealt out there; the bar side is unique per key.
     """
     keyed = markets.withColumn(
         "window_start", clock.floor_to(F.col("close_time") - F.expr("INTERVAL 15 MINUTES"))
     )
-    bars = leading_bars.withColumnsRenamed({"week_start": "_week", "window_start": "_window"})
     week = clock.week_start("window_start") if week_of == "window" else F.col("week_start")
     distance = F.col("futures_close") - F.col("floor_strike")
+    on = {"window_start": "window_start", "_key": "week_start"}
     return (
-        keyed.withColumn("_key", week)
-        .join(bars, (F.col("window_start") == F.col("_window")) & (F.col("_key") == F.col("_week")), "left")
-        .drop("_key", "_week", "_window")
+        frequent_join(keyed.withColumn("_key", week), leading_bars, on, ["ticker"])
+        .drop("_key")
         .withColumns(
             {
                 "distance_to_threshold": distance,
