@@ -1206,7 +1206,7 @@ def _profiles() -> None:
           - count(DISTINCT ({0}, {1})) FILTER ({0} IS NOT NULL AND {1} IS NOT NULL) AS extra FROM {2}"""
     for name, table, contracts, times in (
         ("d05_candidate_keys", "feat", ("ticker", "selected_futures_symbol", "futures_symbol"),
-         ("second", "contract_open_time", "contract_close_time", "observed_at", "week_start")),
+         ("second", "contract_open_time", "contract_close_time")),
         ("d05_candidate_keys_lines", "lineitem", ("l_orderkey", "l_partkey", "l_suppkey"), ("l_linenumber", "l_shipdate")),
     ):
         found = " UNION ALL ".join(pair.format(c, t, table) for c in contracts for t in times)

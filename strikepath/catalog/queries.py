@@ -53,16 +53,6 @@ class Data:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written to the shared folder and read back.
-
-        Views read built products, often several times; this keeps the window
-        stage from being worked out again for each read.
-        """
-        path = self.scratch(name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     @cached_property
     def micro(self) -> DataFrame:
         return adapters.micro_1s(self.spark, self.sf_dir)
@@ -125,20 +115,7 @@ class Data:
 
     @cached_property
     def contract_moves(self) -> DataFrame:
-        return views.contract_moves(self.moves)
-
-    @cached_property
-    def stored_moves(self) -> DataFrame:
-        columns = [*CONTRACT, "observed_at", *views.LARGEST_MOVES]
-        return self.stored(self.contract_moves.select(*columns), "contract-moves")
-
-    @cached_property
-    def stored_decisions(self) -> DataFrame:
-        return self.stored(self.decisions, "contract-decision-times")
-
-    @cached_property
-    def stored_summary(self) -> DataFrame:
-        return self.stored(self.summary, "contract-summary")
+        return views.contract_moves(self.moves, self.quotes)
 
     @cached_property
     def micro_frame(self) -> DataFrame:
@@ -660,12 +637,12 @@ def _(d):
 
 @query("w03_sampled_lag")
 def _(d):
-    return views.filtered_move_pairs(d.moves, time_to_close="10-15m")
+    return views.filtered_move_pairs(d.moves, d.quotes, time_to_close="10-15m")
 
 
 @query("w03_lag_all_rows")
 def _(d):
-    return views.filtered_move_pairs(d.moves)
+    return views.filtered_move_pairs(d.moves, d.quotes)
 
 
 @query("w04_contract_path_moves")
@@ -1072,7 +1049,7 @@ def _(d):
 
 @query("v02_yes_change_histogram")
 def _(d):
-    return views.yes_change_histogram(d.stored_summary)
+    return views.yes_change_histogram(d.summary)
 
 
 @query("v03_outcomes")
@@ -1096,7 +1073,7 @@ def _(d):
 
 @query("v05_decision_histogram")
 def _(d):
-    return views.decision_histogram(d.stored_decisions)
+    return views.decision_histogram(d.decisions)
 
 
 @query("v06_contract_metadata")
@@ -1106,17 +1083,17 @@ def _(d):
 
 @query("v07_move_histogram")
 def _(d):
-    return views.move_histogram(d.stored_moves)
+    return views.move_histogram(d.contract_moves)
 
 
 @query("v08_move_boxes")
 def _(d):
-    return views.move_boxes(d.stored_moves)
+    return views.move_boxes(d.contract_moves)
 
 
 @query("v09_largest_moves")
 def _(d):
-    return views.largest_moves(d.stored_moves, 25)
+    return views.largest_moves(d.contract_moves, 25)
 
 
 @query("v10_combined_path")
@@ -1151,7 +1128,7 @@ def _(d):
 
 @query("v16_decision_statistics")
 def _(d):
-    return views.decision_statistics(d.stored_decisions)
+    return views.decision_statistics(d.decisions)
 
 
 @query("v17_decision_table")
@@ -1161,7 +1138,7 @@ def _(d):
 
 @query("v18_heatmap_matrix")
 def _(d):
-    return views.heatmap_matrix(d.stored(summary.threshold_heatmap(d.moves), "threshold-heatmap"))
+    return views.heatmap_matrix(summary.threshold_heatmap(d.moves))
 
 
 @query("v19_distance_histogram")
@@ -1176,12 +1153,12 @@ def _(d):
 
 @query("v20_distance_vs_response")
 def _(d):
-    return views.distance_vs_response(d.moves, source="late")
+    return views.distance_vs_response(d.moves, d.quotes, source="late")
 
 
 @query("v20_distance_vs_response_all")
 def _(d):
-    return views.distance_vs_response(d.moves)
+    return views.distance_vs_response(d.moves, d.quotes)
 
 
 @query("v21_move_pairs")
@@ -1191,7 +1168,7 @@ def _(d):
 
 @query("v22_sensitivity_curve")
 def _(d):
-    return views.sensitivity_curve(d.stored(summary.sensitivity_bins(d.moves), "sensitivity-bins"))
+    return views.sensitivity_curve(summary.sensitivity_bins(d.moves))
 
 
 @query("v23_preview_summary")

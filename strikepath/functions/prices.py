@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,22 +83,30 @@ def share_pct(part: Column, whole: Column) -> Column:
 DOLLAR_CEILING = 1.5
 
 
-def looks_like_dollars(column: str | Column, ceiling: float = DOLLAR_CEILING) -> Column:
-    """Aggregate: is the 99th percentile of ``|x|`` at or below ``ceiling``?
-
-    The interpolated percentile is compared with the ceiling through four
-    counters (rows, rows at or below it, the nearest value on either side), so
-    the answer is exact without keeping the group's values.
-    """
+def dollar_counters(column: str | Column, ceiling: float = DOLLAR_CEILING) -> dict[str, Column]:
+    """Aggregates that tell where the 99th percentile of ``|x|`` lies: rows, rows at or below the ceiling, nearest values."""
     size = F.abs(_col(column).try_cast("double"))
-    count = F.count(size)
-    below = F.count_if(size <= ceiling)
-    nearest_below = F.max(F.when(size <= ceiling, size))
-    nearest_above = F.min(F.when(size > ceiling, size))
+    return {
+        "n": F.count(size),
+        "below": F.count_if(size <= ceiling),
+        "under": F.max(F.when(size <= ceiling, size)),
+        "over": F.min(F.when(size > ceiling, size)),
+    }
+
+
+def merged_counters(column: Callable[[str], Column]) -> dict[str, Column]:
+    """The counters of a whole from those of its parts; ``column`` names the column of a counter."""
+    merge = {"n": F.sum, "below": F.sum, "under": F.max, "over": F.min}
+    return {name: f(column(name)) for name, f in merge.items()}
+
+
+def dollars_by_counters(counters: dict[str, Column], ceiling: float = DOLLAR_CEILING) -> Column:
+    """Is the interpolated 99th percentile at or below the ceiling? Exact, without the group's values."""
+    count, below = counters["n"], counters["below"]
     position = (count - 1) * F.lit(0.99)
     rank = F.floor(position)
     weight = position - rank
-    between = nearest_below + weight * (nearest_above - nearest_below)
+    between = counters["under"] + weight * (counters["over"] - counters["under"])
     return (
         F.when(count == 0, False)
         .when(below >= rank + 2, True)
@@ -104,3 +114,8 @@ def looks_like_dollars(column: str | Column, ceiling: float = DOLLAR_CEILING) ->
         .when(weight == 0, True)
         .otherwise(F.coalesce(between <= ceiling, F.lit(True)))
     )
+
+
+def looks_like_dollars(column: str | Column, ceiling: float = DOLLAR_CEILING) -> Column:
+    """Aggregate: is the 99th percentile of ``|x|`` at or below ``ceiling``?"""
+    return dollars_by_counters(dollar_counters(column, ceiling), ceiling)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strikepath.functions.clock import parse_number
-from strikepath.functions.prices import looks_like_dollars, quote_mid, quote_spread, snap
+from strikepath.functions.prices import dollar_counters, dollars_by_counters, looks_like_dollars, merged_counters, quote_mid, quote_spread, snap
 
 # Column names.
 PRICE_COLUMNS = (
@@ -82,10 +82,7 @@ def price_multiplier(df: DataFrame, any_column: bool = False) -> DataFrame:
     ``any_column=True`` lets a change column decide too, as the original did; a
     table in cents whose moves are all small is then scaled by mistake.
     """
-    price = _present(df, PRICE_COLUMNS)
-    change = _present(df, CHANGE_COLUMNS)
-    # A table with changes only has nothing else to go by.
-    columns = price + change if any_column or not price else price
+    columns = unit_columns(df, any_column)
     dollars = reduce(lambda a, b: a | b, [F.col(c) for c in columns])
     return unit_facts(df, columns).select("week_id", F.when(dollars, 100.0).otherwise(1.0).alias("multiplier"))
 
@@ -96,13 +93,53 @@ def with_display_prices(df: DataFrame, any_column: bool = False, decide_on: Data
     ``decide_on`` may be a cheaper frame with the same prices.
     """
     facts = price_multiplier(df if decide_on is None else decide_on, any_column)
-    # A millionth of a cent is far below any price step; rounding there drops
-    # the noise of binary differences, so equal moves compare as equal.
-    shown = {
-        f"{c}_display": snap(parse_number(c) * F.col("multiplier"))
-        for c in _present(df, PRICE_COLUMNS + CHANGE_COLUMNS)
-    }
-    return per_week(df, facts).withColumns(shown).drop("multiplier")
+    return in_cents(per_week(df, facts)).drop("multiplier")
+
+
+def in_cents(df: DataFrame) -> DataFrame:
+    """Add ``<column>_display`` for each price and change column by the row's ``multiplier``.
+
+    A millionth of a cent is far below any price step; rounding there drops the
+    noise of binary differences, so equal moves compare as equal.
+    """
+    names = _present(df, PRICE_COLUMNS + CHANGE_COLUMNS)
+    return df.withColumns({f"{c}_display": snap(parse_number(c) * F.col("multiplier")) for c in names})
+
+
+def path_facts(df: DataFrame, at: str) -> DataFrame:
+    """Per contract: its unit's multiplier, its week's underlying series, the first value of that, and its close.
+
+    One grouped pass; what a week decides is merged from its contracts.
+    """
+    names = [n for n, _ in UNDERLYING_CANDIDATES if n in df.columns]
+    units = unit_columns(df)
+    first = lambda value: F.min_by(value, F.when(value.isNotNull(), F.col(at)))
+    parts = {f"_n_{n}": F.count(parse_number(n)) for n in names}
+    parts |= {f"_s_{n}": first(parse_number(n)) for n in names}
+    parts |= {f"_{c}_{k}": v for c in units for k, v in dollar_counters(c).items()}
+    parts["close_marker"] = first(F.col("contract_close_time"))
+    contracts = df.groupBy("week_id", "ticker").agg(*[v.alias(k) for k, v in parts.items()])
+    dollars = [dollars_by_counters(merged_counters(lambda k, c=c: F.col(f"_{c}_{k}"))) for c in units]
+    weeks = contracts.groupBy("week_id").agg(
+        *[F.sum(f"_n_{n}").alias(f"_n_{n}") for n in names],
+        F.when(reduce(lambda a, b: a | b, dollars, F.lit(False)), 100.0).otherwise(1.0).alias("multiplier"),
+    )
+    weeks = weeks.select("week_id", "multiplier", _first_filled(names).alias("underlying_source_column"))
+    start = F.coalesce(*[F.when(F.col("underlying_source_column") == n, F.col(f"_s_{n}")) for n in names], F.lit(None).cast("double"))
+    return per_week(contracts, weeks).select(
+        "week_id", "ticker", "multiplier", "underlying_source_column", start.alias("start_underlying"), "close_marker"
+    )
+
+
+def chosen_series(df: DataFrame) -> Column:
+    """The value of the row's ``underlying_source_column``."""
+    return _value_of(F.col("underlying_source_column"), [n for n, _ in UNDERLYING_CANDIDATES if n in df.columns])
+
+
+def unit_columns(df: DataFrame, any_column: bool = False) -> list[str]:
+    """The columns that decide a table's unit: prices, or changes where it has no price."""
+    price, change = _present(df, PRICE_COLUMNS), _present(df, CHANGE_COLUMNS)
+    return price + change if any_column or not price else price
 
 
 def _first_filled(names: Sequence[str], count: str = "_n_{}") -> Column:

@@ -6,6 +6,10 @@ rows, a running sum of those counts over the ranges says how many rows lie below
 each, and so every row knows its place in its group from its place in its range.
 That takes one exchange of the rows, however large a group is, and the figures
 of a group come back to its rows by range, which needs no further one.
+
+Where the data bounds a group (a contract has one row a second in its week) the
+caller passes ``slot_rows=None``: then a group is ranked whole by plain windows,
+which costs no sample and reads the rows once.
 """
 
 from __future__ import annotations
@@ -33,17 +37,20 @@ class _Ranked:
     """Rows of groups dealt out by ranges of a value; a NULL key is a key."""
 
     def __init__(
-        self, df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str], slot_rows: int, with_null: bool = False
+        self, df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str], slot_rows: int | None, with_null: bool = False
     ):
         # One column that is never NULL, so that joins match it as it is.
         key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
         held = df.withColumns({"_key": key, "_v": F.col(value).cast("double")})
         known = held.where(F.col("_v").isNotNull())
+        self.keys, self.whole = list(keys), slot_rows is None
+        if self.whole:
+            self.rows = held if with_null else known
+            return
         order = ["_v", *tie]
         ranged = join_cuts(held if with_null else known, range_cuts(known, ["_key"], order, slot_rows), ["_key"], "left")
         # Rows without a value lie below all ranges and count in none.
         below = -1 - F.pmod(F.xxhash64(*tie), F.lit(64)) if tie else F.lit(-1)
-        self.keys = list(keys)
         self.rows = (
             ranged.withColumn("_range", F.when(F.col("_v").isNull(), below).otherwise(range_of(order)))
             .drop("_cuts")
@@ -51,11 +58,18 @@ class _Ranked:
         )
 
     def _ranges(self) -> DataFrame:
-        return self.rows.groupBy("_key", "_range").agg(F.count("_v").alias("_size"))
+        """(_key, _range, _size): counted along the same order as the places, so that both read one exchange."""
+        part = W.partitionBy("_key", "_range")
+        counted = self.rows.withColumns({"_place": F.row_number().over(part.orderBy("_v")), "_size": F.count("_v").over(part)})
+        return counted.where(F.col("_place") == 1).select("_key", "_range", "_size")
 
     def placed(self, figures: DataFrame | None = None) -> DataFrame:
         """The rows with ``_n``, the values in their group, ``_rank``, their place among them from 0, and group figures."""
         group = W.partitionBy("_key")
+        if self.whole:
+            place = F.row_number().over(group.orderBy(F.asc_nulls_last("_v")))
+            ranked = self.rows.withColumns({"_n": F.count("_v").over(group), "_rank": place - 1})
+            return ranked if figures is None else ranked.join(figures, "_key")
         below = F.sum("_size").over(group.orderBy("_range")) - F.col("_size")
         offsets = self._ranges().select("_key", "_range", below.alias("_below"), F.sum("_size").over(group).alias("_n"))
         if figures is not None:
@@ -64,22 +78,36 @@ class _Ranked:
         ranked = self.rows.withColumn("_place", place).join(offsets, ["_key", "_range"])
         return ranked.withColumn("_rank", F.col("_below") + F.col("_place") - 1)
 
-    def quantiles(self, probabilities: dict[str, float], *measures: Column, figures: DataFrame | None = None) -> DataFrame:
-        """(_key, n, the named quantiles, the measures), one row per group."""
+    @staticmethod
+    def _sides(probabilities: dict[str, float]) -> dict[str, Column]:
+        """Aggregates: the values at the two ranks around each quantile."""
         sides = {}
         for name, p in probabilities.items():
             place = (F.col("_n") - 1) * F.lit(float(p))
             for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
                 sides[f"_{name}_{side}"] = F.max(F.when(F.col("_rank") == rank, F.col("_v")))
-        picked = [m.alias(name) for name, m in sides.items()]
-        found = self.placed(figures).groupBy("_key").agg(F.max("_n").alias("n"), *picked, *measures)
+        return sides
 
-        def between(name: str, p: float) -> Column:
-            place, low, high = (F.col("n") - 1) * F.lit(float(p)), F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-            return (low + (place - F.floor(place)) * (high - low)).alias(name)
+    @staticmethod
+    def _between(name: str, p: float, n: str) -> Column:
+        place, low, high = (F.col(n) - 1) * F.lit(float(p)), F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        return (low + (place - F.floor(place)) * (high - low)).alias(name)
 
+    def quantiles(self, probabilities: dict[str, float], *measures: Column, figures: DataFrame | None = None) -> DataFrame:
+        """(_key, n, the named quantiles, the measures), one row per group."""
+        sides = self._sides(probabilities)
+        picked = [m.alias(name) for name, m in sides.items()]
+        found = self.placed(figures).groupBy("_key").agg(F.max("_n").alias("n"), *picked, *measures)
         others = [c for c in found.columns if c not in sides and c not in ("_key", "n")]
-        return found.select("_key", "n", *[between(name, p) for name, p in probabilities.items()], *others)
+        return found.select("_key", "n", *[self._between(name, p, "n") for name, p in probabilities.items()], *others)
+
+    def with_quantiles(self, probabilities: dict[str, float]) -> DataFrame:
+        """The rows with their group's ``n`` and named quantiles."""
+        if not self.whole:
+            return self.back(self.quantiles(probabilities))
+        group = W.partitionBy("_key")
+        ranked = self.placed().withColumns({name: m.over(group) for name, m in self._sides(probabilities).items()})
+        return ranked.select(*self.rows.columns, F.col("_n").alias("n"), *[self._between(name, p, "_n") for name, p in probabilities.items()])
 
     def back(self, figures: DataFrame) -> DataFrame:
         """The rows with their group's figures, which are spread over its ranges first."""
@@ -96,7 +124,7 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     tie: Sequence[str] = (),
-    slot_rows: int = SLOT_ROWS,
+    slot_rows: int | None = SLOT_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group, of any group size.
 
@@ -111,7 +139,7 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def describe(
-    df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = (), slot_rows: int = SLOT_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = (), slot_rows: int | None = SLOT_ROWS
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per group.
 
@@ -135,18 +163,26 @@ def histogram(
     bins: int,
     split: str | None = None,
     per_week: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
-    """Equal-width bins between a group's extremes; the top edge belongs to the last bin."""
+    """Equal-width bins between a group's extremes; the top edge belongs to the last bin.
+
+    ``whole`` is for groups that the data bounds: their extremes come from a window, and the rows are read once.
+    """
     extra = [split] if split else []
     data = df.select(*keys, *extra, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    range_ = data.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ends = {"_lo": F.min("_v"), "_hi": F.max("_v")}
+    if whole:
+        group = W.partitionBy(*keys)
+        ranged = data.withColumns({name: end.over(group) for name, end in ends.items()})
+    else:
+        ranged = _attach(data, data.groupBy(*keys).agg(*[end.alias(name) for name, end in ends.items()]), keys, per_week)
     width = F.col("_hi") - F.col("_lo")
     slot = F.floor(F.try_divide(F.col("_v") - F.col("_lo"), width) * bins)
     # One value only: everything is in bin 0.
     bin_ = F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1))
     return (
-        _attach(data, range_, keys, per_week)
-        .groupBy(*keys, *extra, bin_.alias("bin"), "_lo", "_hi")
+        ranged.groupBy(*keys, *extra, bin_.alias("bin"), "_lo", "_hi")
         .agg(rows().alias("count"))
         .select(
             *keys,
@@ -160,14 +196,14 @@ def histogram(
 
 
 def box_stats(
-    df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = (), slot_rows: int = SLOT_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = (), slot_rows: int | None = SLOT_ROWS
 ) -> DataFrame:
     """Quartiles, whisker ends (last values within 1.5 IQR) and outlier count per group."""
     ranked = _Ranked(df.select(*keys, value, *tie), keys, value, tie, slot_rows)
     reach = (F.col("q75") - F.col("q25")) * 1.5
     low, high, v = F.col("q25") - reach, F.col("q75") + reach, F.col("_v")
     boxes = (
-        ranked.back(ranked.quantiles(QUARTILES))
+        ranked.with_quantiles(QUARTILES)
         .groupBy("_key", "n", *QUARTILES)
         .agg(
             F.min(F.when(v >= low, v)).alias("whisker_low"),
@@ -185,12 +221,11 @@ def at_or_above_quantile(
     probability: float,
     name: str = "threshold",
     tie: Sequence[str] = (),
-    slot_rows: int = SLOT_ROWS,
+    slot_rows: int | None = SLOT_ROWS,
 ) -> DataFrame:
     """Rows at or above their group's quantile, with that quantile."""
     ranked = _Ranked(df, keys, value, tie, slot_rows)
-    limits = ranked.quantiles({name: probability}).select("_key", name)
-    return ranked.back(limits).where(F.col("_v") >= F.col(name)).select(*df.columns, name)
+    return ranked.with_quantiles({name: probability}).where(F.col("_v") >= F.col(name)).select(*df.columns, name)
 
 
 def category_counts(df: DataFrame, keys: Sequence[str], category: str, unknown: str = "Unknown") -> DataFrame:

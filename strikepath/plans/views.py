@@ -16,6 +16,7 @@ from strikepath.operators import display, filters, micro, profile, stats
 from strikepath.operators.lookback import with_lookback
 from strikepath.operators.metrics import metric
 from strikepath.operators.panel import order_column
+from strikepath.operators.skew import own_exchange
 from strikepath.roles import keep_existing
 from pyspark.sql import Window as W
 
@@ -104,27 +105,34 @@ def contract_metadata(evolution: DataFrame) -> DataFrame:
     return keep_existing(firsts, WEEK, *METADATA)
 
 
-def contract_moves(features: DataFrame) -> DataFrame:
+def _prices(panel: DataFrame, cheaper: DataFrame | None) -> DataFrame:
+    """What decides the unit of a week: its prices, from a frame that costs less than ``panel`` where there is one."""
+    return keep_existing(panel if cheaper is None else cheaper, WEEK, "yes_price_cents", "no_price_cents")
+
+
+def contract_moves(features: DataFrame, quotes: DataFrame | None = None) -> DataFrame:
     """1- and 5-row YES moves in cents of every contract; rows that have both.
 
-    Taken over the whole path and not over a sample of it.
+    Taken over the whole path and not over a sample of it. ``quotes`` holds the
+    same prices without the moves.
     """
-    prices = keep_existing(features, WEEK, "yes_price_cents", "no_price_cents")
-    shown = display.with_display_prices(features, decide_on=prices)
+    shown = display.with_display_prices(features, decide_on=_prices(features, quotes))
     return shown.where(F.col("yes_price_change_1s").isNotNull() & F.col("yes_price_change_5s").isNotNull()).withColumn(
         "abs_yes_price_change_5s_display", F.abs("yes_price_change_5s_display")
     )
 
 
 def move_histogram(moves: DataFrame, bins: int = 60) -> DataFrame:
-    return stats.histogram(moves, CONTRACT, "yes_price_change_5s_display", bins)
+    return stats.histogram(moves, CONTRACT, "yes_price_change_5s_display", bins, whole=True)
 
 
 def move_boxes(moves: DataFrame, bins: int = 60) -> DataFrame:
     """Box figures by time bucket; without buckets, a histogram of the absolute move."""
     if "time_to_close_bucket" not in moves.columns:
-        return stats.histogram(moves, CONTRACT, "abs_yes_price_change_5s_display", bins)
-    return stats.box_stats(moves, (*CONTRACT, "time_to_close_bucket"), "abs_yes_price_change_5s_display")
+        return stats.histogram(moves, CONTRACT, "abs_yes_price_change_5s_display", bins, whole=True)
+    return stats.box_stats(
+        moves, (*CONTRACT, "time_to_close_bucket"), "abs_yes_price_change_5s_display", slot_rows=None
+    )
 
 
 # Output columns in their given order.
@@ -144,7 +152,7 @@ LARGEST_MOVES = (
 def largest_moves(moves: DataFrame, n: int, probability: float = 0.95) -> DataFrame:
     """Each contract's largest moves at or above its own 95th percentile."""
     big = stats.at_or_above_quantile(
-        moves, CONTRACT, "abs_yes_price_change_5s_display", probability, "p95_move"
+        moves, CONTRACT, "abs_yes_price_change_5s_display", probability, "p95_move", slot_rows=None
     )
     at = order_column(moves)
     top = stats.top_per_group(big, CONTRACT, n, F.desc("abs_yes_price_change_5s_display"), at)
@@ -177,20 +185,23 @@ def decision_zone(df: DataFrame) -> DataFrame:
 
 
 def combined_path(evolution: DataFrame, decisions: DataFrame) -> DataFrame:
-    """YES, NO and underlying per second of every contract, with its markers."""
-    at = order_column(evolution)
-    series = display.with_underlying_series(display.with_underlying_columns(evolution))
-    shown = display.with_display_prices(series, decide_on=evolution)
-    start = series.groupBy(*CONTRACT).agg(
-        F.min_by("underlying_series", F.when(F.col("underlying_series").isNotNull(), F.col(at))).alias("start_underlying")
-    )
-    facts = decision_markers(evolution, decisions).join(start, list(CONTRACT), "left")
-    return decision_zone(shown.join(facts, list(CONTRACT), "left")).select(
+    """YES, NO and underlying per second of every contract, with its markers.
+
+    All that a contract or its week decides comes from one grouped pass over the
+    panel, which its rows then meet once.
+    """
+    base = display.with_underlying_columns(evolution)
+    found = _decided(decisions).select(*CONTRACT, F.col("minutes_before_close_at_decision").alias("lead"))
+    facts = display.path_facts(base, order_column(evolution)).join(found, list(CONTRACT), "left")
+    facts = facts.withColumn("decision_marker", clock.minus_minutes("close_marker", "lead")).drop("lead")
+    known = [c for c in facts.columns if c in base.columns and c not in CONTRACT]
+    shown = display.in_cents(base.drop(*known).join(own_exchange(facts, "ticker"), list(CONTRACT), "left"))
+    return decision_zone(shown).select(
         *CONTRACT,
         "second",
         F.col("yes_price_cents_display").alias("yes"),
         F.col("no_price_cents_display").alias("no"),
-        F.col("underlying_series").alias("underlying"),
+        display.chosen_series(base).alias("underlying"),
         "start_underlying",
         "close_marker",
         "decision_marker",
@@ -274,42 +285,45 @@ def distance_histogram(sample: DataFrame, bins: int = 60, **chosen: str) -> Data
     return stats.histogram(kept, [WEEK], "abs_z_bps", bins, "time_to_close_bucket", per_week=True)
 
 
-def distance_vs_response(sample: DataFrame, **chosen: str) -> DataFrame:
+def distance_vs_response(sample: DataFrame, quotes: DataFrame | None = None, **chosen: str) -> DataFrame:
     """Distance and absolute 5-row response of every sampled row that has both."""
-    prices = keep_existing(sample, WEEK, "yes_price_cents", "no_price_cents")
-    shown = display.with_display_prices(filters.apply_filters(sample, **chosen), decide_on=prices)
+    shown = display.with_display_prices(filters.apply_filters(sample, **chosen), decide_on=_prices(sample, quotes))
     return shown.na.drop(subset=["abs_z_bps", "abs_yes_price_change_5s_display"]).select(
         *CONTRACT, "second", "minutes_to_close", "yes_price_cents_display", "abs_z_bps",
         "abs_yes_price_change_5s_display", "time_to_close_bucket",
     )
 
 
-def move_pairs(sample: DataFrame, **chosen: str) -> DataFrame:
+def move_pairs(sample: DataFrame, quotes: DataFrame | None = None, **chosen: str) -> DataFrame:
     """5-row underlying move against 5-row YES move.
 
     Both moves come from the full panel, computed before sampling and filtering,
     so they span five neighbouring rows.
     """
-    prices = keep_existing(sample, WEEK, "yes_price_cents", "no_price_cents")
-    shown = display.with_display_prices(filters.apply_filters(sample, **chosen), decide_on=prices)
+    shown = display.with_display_prices(filters.apply_filters(sample, **chosen), decide_on=_prices(sample, quotes))
     return shown.na.drop(subset=["underlying_change_5s", "yes_price_change_5s_display"]).select(
         *CONTRACT, "second", "abs_z_bps", "minutes_to_close", "underlying_change_5s",
         "yes_price_change_5s_display", "time_to_close_bucket",
     )
 
 
-def filtered_move_pairs(panel: DataFrame, **chosen: str) -> DataFrame:
-    """The same pairs with the underlying move taken over five of the rows that the filter keeps."""
-    kept = filters.apply_filters(panel, **chosen)
-    series = display.with_underlying_series(display.with_underlying_columns(kept))
-    shown = display.with_display_prices(series, decide_on=keep_existing(kept, WEEK, "yes_price_cents"))
+def filtered_move_pairs(panel: DataFrame, quotes: DataFrame | None = None, **chosen: str) -> DataFrame:
+    """The same pairs with the underlying move taken over five of the rows that the filter keeps.
+
+    ``quotes`` holds the panel's rows without moves: units, series and ranges are decided on it.
+    """
+    cheaper = display.with_underlying_columns(filters.apply_filters(panel if quotes is None else quotes, **chosen))
+    series = display.with_underlying_series(display.with_underlying_columns(filters.apply_filters(panel, **chosen)), cheaper)
+    shown = display.with_display_prices(series, decide_on=keep_existing(cheaper, WEEK, "yes_price_cents"))
 
     def moved(df: DataFrame, window: WindowSpec) -> DataFrame:
         move = F.col("underlying_series") - F.lag("underlying_series", 5).over(window)
         return df.withColumn("selected_underlying_change_5s", move)
 
+    order = (order_column(panel), "underlying_series")
+    sampled = display.with_underlying_series(cheaper)
     return (
-        with_lookback(shown, CONTRACT, (order_column(panel), "underlying_series"), 5, moved, sampled_from=series)
+        with_lookback(shown, CONTRACT, order, 5, moved, sampled_from=sampled)
         .na.drop(subset=["selected_underlying_change_5s", "yes_price_change_5s_display"])
         .select(
             *CONTRACT, "second", "selected_underlying_change_5s", "yes_price_change_5s_display",

@@ -29,7 +29,7 @@ def values_of(spark, groups):
     return spark.createDataFrame(pdf, "g string, v double, i long").unionByName(extra).repartition(4)
 
 
-@pytest.mark.parametrize("slot_rows", [2_000_000, 200, 20])
+@pytest.mark.parametrize("slot_rows", [2_000_000, 200, 20, None])
 def test_quantiles_are_exact(spark, slot_rows):
     """Few rows a range make the groups lie in many, equal values among them."""
     groups = groups_of_values()
@@ -42,7 +42,7 @@ def test_quantiles_are_exact(spark, slot_rows):
         assert got[name].n == len(values)
 
 
-@pytest.mark.parametrize("slot_rows", [2_000_000, 100])
+@pytest.mark.parametrize("slot_rows", [2_000_000, 100, None])
 def test_figures_of_groups_in_ranges(spark, slot_rows):
     groups = groups_of_values()
     df = values_of(spark, groups)
@@ -110,6 +110,7 @@ def test_histogram_edges(make):
     df = make([("g", float(v)) for v in (0, 1, 9.99, 10, 10)] + [("flat", 3.0), ("flat", 3.0)], "g string, v double")
     got = {(r["g"], r["bin"]): r["count"] for r in stats.histogram(df, ["g"], "v", 10).collect()}
     assert got == {("g", 0): 1, ("g", 1): 1, ("g", 9): 3, ("flat", 0): 2}
+    assert rows_of(stats.histogram(df, ["g"], "v", 10, whole=True), "g", "bin") == rows_of(stats.histogram(df, ["g"], "v", 10), "g", "bin")
 
 
 def test_box_whiskers_and_outliers(make):
