@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Place of a row among all rows of its source, file after file.
+SOURCE_ROW = "source_row"
+
 
 def sum_or_zero(column: str | Column) -> Column:
     """Sum that is 0, not NULL, over an all-NULL group."""
@@ -42,14 +48,15 @@ def last_by(column: str | Column, order: str | Column) -> Column:
     return F.max_by(column, order)
 
 
-def tick_order(time: str, value: str) -> Column:
-    """Order by time, then by value, as one fixed-width number, so that aggregates on it stay hash aggregates.
+def tick_order(time: str, value: str, columns: Sequence[str]) -> Column:
+    """Order of ticks: by time, then by their place in the source's files where ``columns`` has it, else by value.
 
-    Values from half a trillion on count as equal to each other in this.
+    Time and place make one fixed-width number, so aggregates on it stay hash
+    aggregates; time and value are a pair, which any two values order rightly.
     """
-    most = F.lit(4.0e11)
-    place = (F.greatest(F.least(F.col(value), most), -most) + 5.0e11).try_cast("decimal(20,8)")
-    return F.unix_micros(time).cast("decimal(17,0)") * F.lit(10**12).cast("decimal(13,0)") + place
+    if SOURCE_ROW not in columns:
+        return F.struct(time, value)
+    return F.unix_micros(time).cast("decimal(17,0)") * F.lit(Decimal(10**19)) + F.col(SOURCE_ROW).cast("decimal(19,0)")
 
 
 def first_known_by(column: str, *order: str) -> Column:

@@ -18,18 +18,21 @@ def ohlc_bars(micro: DataFrame, window_seconds: int = clock.WINDOW_SECONDS) -> D
 
     The regime text rides along as a grouping key of a first pass whose buffers
     are all fixed-width, so the large input goes through hash aggregation; only
-    the few rows per bar that come out are merged on the text. Of ticks at the same
-    moment the lowest price opens and the highest closes, so that no order of
-    tasks can show.
+    the few rows per bar that come out are merged on the text. Ticks of one moment
+    are in the order of their files (``source_row``); without that, the lowest price
+    opens and the highest closes, so that no order of tasks can show.
     """
+    order = tick_order("timestamp", "mid_price", micro.columns)
     ticks = micro.where(F.col("timestamp").isNotNull() & F.col("mid_price").isNotNull()).withColumns(
         {"window_start": clock.floor_to("timestamp", window_seconds), "week_start": clock.week_start("timestamp")}
     )
     parts = ticks.groupBy(*BAR_KEYS, "vol_regime").agg(
         F.min("timestamp").alias("t0"),
         F.max("timestamp").alias("t1"),
-        first_by("mid_price", tick_order("timestamp", "mid_price")).alias("open"),
-        last_by("mid_price", tick_order("timestamp", "mid_price")).alias("close"),
+        F.min(order).alias("o0"),
+        F.max(order).alias("o1"),
+        first_by("mid_price", order).alias("open"),
+        last_by("mid_price", order).alias("close"),
         F.max("mid_price").alias("high"),
         F.min("mid_price").alias("low"),
         F.sum("spread").alias("spread_sum"),
@@ -47,8 +50,8 @@ def ohlc_bars(micro: DataFrame, window_seconds: int = clock.WINDOW_SECONDS) -> D
         .agg(
             F.min("t0").alias("first_timestamp"),
             F.max("t1").alias("last_timestamp"),
-            first_by("open", F.struct("t0", "open")).alias("futures_open"),
-            last_by("close", F.struct("t1", "close")).alias("futures_close"),
+            first_by("open", "o0").alias("futures_open"),
+            last_by("close", "o1").alias("futures_close"),
             F.max("high").alias("futures_high"),
             F.min("low").alias("futures_low"),
             F.try_divide(F.sum("spread_sum"), F.sum("spread_n")).alias("spread_mean"),
@@ -57,7 +60,7 @@ def ohlc_bars(micro: DataFrame, window_seconds: int = clock.WINDOW_SECONDS) -> D
             sum_or_zero("volume").alias("trade_volume_sum"),
             F.try_divide(F.sum("rv_sum"), F.sum("rv_n")).alias("rv_60s_mean"),
             F.sum("large").alias("large_move_rows"),
-            last_known_by("vol_regime", "t1", "vol_regime").alias("vol_regime"),
+            last_known_by("vol_regime", "o1", "vol_regime").alias("vol_regime"),
         )
         .withColumns(
             {
@@ -115,7 +118,7 @@ def trade_bars_by_symbol(trades: DataFrame) -> DataFrame:
         _ticks(trades, "ts_event", "price", "symbol")
         .groupBy("symbol", "second")
         .agg(
-            last_by("price", tick_order("ts_event", "price")).alias("futures_last_trade_price_1s"),
+            last_by("price", tick_order("ts_event", "price", trades.columns)).alias("futures_last_trade_price_1s"),
             rows().alias("futures_trade_count_1s"),
             sum_or_zero("size").alias("futures_trade_size_1s"),
         )
@@ -128,19 +131,20 @@ def trade_bars(trades: DataFrame) -> DataFrame:
 
     The symbol is a key of the first pass for the same reason as in ``ohlc_bars``.
     """
+    order = tick_order("ts_event", "price", trades.columns)
     parts = (
         _ticks(trades, "ts_event", "price")
         .groupBy("second", "symbol")
         .agg(
-            F.max("ts_event").alias("t1"),
-            last_by("price", tick_order("ts_event", "price")).alias("last"),
+            F.max(order).alias("o1"),
+            last_by("price", order).alias("last"),
             rows().alias("n"),
             F.sum("size").alias("volume"),
         )
     )
     return parts.groupBy("second").agg(
-        last_by("last", F.struct("t1", "last")).alias("underlying_trade_price"),
+        last_by("last", "o1").alias("underlying_trade_price"),
         F.sum("n").alias("underlying_trade_count"),
         sum_or_zero("volume").alias("underlying_trade_size"),
-        last_known_by("symbol", "t1", "symbol").alias("underlying_trade_symbol"),
+        last_known_by("symbol", "o1", "symbol").alias("underlying_trade_symbol"),
     )

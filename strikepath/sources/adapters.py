@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strikepath import roles
-from strikepath.functions.aggregates import first_by, last_by, rows
+from strikepath.functions.aggregates import SOURCE_ROW, first_by, last_by, rows, tick_order
 from strikepath.session import use_utc
+from strikepath.sources import tables
 
 WEEK_MICROS = 604_800_000_000
 LIFE_SECONDS = 900
 DECIDED_AT = 95
 PERIOD_SPLIT = "2024-01-15"
+#: Ticks of one moment are in the order of the file.
+SOURCE_PLACE = T.StructField(SOURCE_ROW, T.LongType(), True)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +34,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``."""
-    return load(spark, sf_dir, "events").selectExpr(
+    """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``, and their place in the file."""
+    return tables.with_source_row(load(spark, sf_dir, "events")).selectExpr(
+        "source_row",
         "event_id",
         "ts",
         "user_id",
@@ -57,8 +61,9 @@ def micro_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN k >= 10 THEN k / 100 END AS rv_60s",
         "CASE WHEN k < 10 THEN NULL WHEN k < 40 THEN 'low' WHEN k < 70 THEN 'mid' ELSE 'high' END AS vol_regime",
         "value > 150 AS event_large_move",
+        "source_row",
     )
-    return roles.conform(df, roles.MICRO_1S)
+    return roles.conform(df, T.StructType([*roles.MICRO_1S.fields, SOURCE_PLACE]))
 
 
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +100,8 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("event_type = 'click'")
         .groupBy(F.col("w15").alias("window_start"))
         .agg(
-            first_by("px", "ts").alias("decision_price"),
-            last_by("px", "ts").alias("close_price"),
+            first_by("px", tick_order("ts", "px", (SOURCE_ROW,))).alias("decision_price"),
+            last_by("px", tick_order("ts", "px", (SOURCE_ROW,))).alias("close_price"),
             rows().alias("n"),
         )
         .selectExpr(
@@ -209,6 +214,6 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (
         quotes(spark, sf_dir)
         .where("event_type = 'purchase'")
-        .selectExpr("ts AS ts_event", "px AS price", "1 + k % 5 AS size", "event_type AS symbol")
+        .selectExpr("ts AS ts_event", "px AS price", "1 + k % 5 AS size", "event_type AS symbol", "source_row")
     )
-    return roles.conform(df, roles.TRADES)
+    return roles.conform(df, T.StructType([*roles.TRADES.fields, SOURCE_PLACE]))

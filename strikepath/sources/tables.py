@@ -6,12 +6,14 @@ which version of a week counts (``sources/manifest.py``); a job writes all weeks
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strikepath.functions.aggregates import SOURCE_ROW
 from strikepath.sources import manifest
 from strikepath.sources.manifest import WEEK
 
@@ -194,6 +196,26 @@ def discover_files(
     return files
 
 
+def with_source_row(df: DataFrame) -> DataFrame:
+    """Add ``source_row``: a row's place in its file, files in the order of their paths.
+
+    Sorting by time leaves rows of one moment in this order, whatever tasks read them.
+    """
+    files = sorted(df.inputFiles())
+    place = F.col("_metadata.row_index")
+    if len(files) < 2:
+        return df.withColumn(SOURCE_ROW, place)
+    # One row per file. Its list and its rows may write an empty authority differently (file:/ and file:///).
+    scheme = "^[A-Za-z][A-Za-z0-9+.-]*:/*"
+    names = [(k, re.sub(scheme, "/", f)) for k, f in enumerate(files)]
+    numbers = df.sparkSession.createDataFrame(names, "_file_no long, _file_path string")
+    numbered = df.withColumns({"_path": F.regexp_replace(F.col("_metadata.file_path"), scheme, "/"), "_place": place})
+    joined = numbered.join(F.broadcast(numbers), F.col("_path") == F.col("_file_path"), "left")
+    missing = F.raise_error(F.concat(F.lit("not in the list of files: "), F.col("_path"))).cast("bigint")
+    row = F.coalesce("_file_no", missing) * F.lit(1 << 40) + F.col("_place")
+    return joined.withColumn(SOURCE_ROW, row).drop("_path", "_place", "_file_no", "_file_path")
+
+
 def with_file(df: DataFrame) -> DataFrame:
     """Add the path and name of the file each row came from."""
     path = F.col("_metadata.file_path")

@@ -1,5 +1,6 @@
 from datetime import date, datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -390,3 +391,42 @@ def test_few_frequent_keys_are_listed(spark, monkeypatch):
     monkeypatch.setattr(skew, "MAX_KEYS", 3)
     df = spark.range(10_000).selectExpr("id % 100 AS k", "id")
     assert skew.frequent_keys(df, ["k"], ["id"], 16).count() <= 3
+
+
+def test_ticks_of_one_moment_keep_the_order_of_their_files(spark, tmp_path):
+    """Many equal times over several files, against the engine that numbers file rows itself."""
+    path = str(tmp_path / "ticks")
+    for part in range(4):
+        spark.range(500).selectExpr(
+            "timestamp_micros(1704067200000000 + (id div 50) * 60000000) AS timestamp", "if(id % 3 = 0, 'A', 'B') AS symbol",
+            f"if(id % 97 = 0, 6e11, 100 + (id * {part + 3}) % 41) + {part} * 0.5 AS mid_price", f"concat('r', (id + {part}) % 3) AS vol_regime",
+        ).coalesce(1).write.parquet(f"{path}/part={part}")
+    ticks = tables.with_source_row(spark.read.parquet(path)).withColumns(
+        {c: F.lit(None).cast("double") for c in ("spread", "spread_bps", "rv_60s", "trade_count", "trade_volume")} | {"event_large_move": F.lit(False)}
+    )
+    got = {(r.window_start, r.symbol): (r.futures_open, r.futures_close, r.vol_regime) for r in bars.ohlc_bars(ticks).collect()}
+    again = {(r.window_start, r.symbol): (r.futures_open, r.futures_close, r.vol_regime) for r in bars.ohlc_bars(ticks.repartition(7)).collect()}
+    duck = duckdb.connect()
+    duck.execute("SET TimeZone = 'UTC'")
+    rows = duck.execute(f"""
+        SELECT CAST(time_bucket(INTERVAL 15 MINUTE, CAST(timestamp AS TIMESTAMP)) AS TIMESTAMP), symbol, mid_price, vol_regime
+        FROM read_parquet('{path}/*/*.parquet', filename = true, file_row_number = true) ORDER BY timestamp, filename, file_row_number""").fetchall()
+    expected = {}
+    for window, symbol, price, regime in rows:
+        first = expected.get((window, symbol), (price,))[0]
+        expected[window, symbol] = (first, price, regime)
+    assert got == again == expected and len(got) == 2
+    trades = ticks.selectExpr("timestamp AS ts_event", "mid_price AS price", "1d AS size", "symbol", "source_row")
+    last = {r.second: (r.underlying_trade_price, r.underlying_trade_symbol) for r in bars.trade_bars(trades).collect()}
+    assert last == {r[0]: r[1:] for r in duck.execute(f"""
+        SELECT CAST(timestamp AS TIMESTAMP), last(mid_price ORDER BY filename, file_row_number), last(symbol ORDER BY filename, file_row_number)
+        FROM read_parquet('{path}/*/*.parquet', filename = true, file_row_number = true) GROUP BY 1""").fetchall()}
+    # Aggregates on the order stay hash aggregates.
+    plan = bars.ohlc_bars(ticks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate") <= 2
+
+
+def test_values_of_any_size_order_ticks_without_a_place(make):
+    rows = [("2024-01-01", "A", x) for x in (5e11, 6e11, 1.0)]
+    df = make(rows, "t string, symbol string, price double").selectExpr("cast(t AS timestamp) AS ts_event", "price", "1d AS size", "symbol")
+    assert bars.trade_bars(df).first().underlying_trade_price == 6e11
