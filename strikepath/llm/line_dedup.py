@@ -16,7 +16,7 @@
    words make a stretch. Stretches whose run is held by one document are left
    out; equal stretches are matched whole; of the first of each, windows are
    matched one by one if its run stands in different stretches. No pair of
-   documents is compared, and only words, runs and stretches whose 64-bit hashes all agree match.
+   documents is compared, and only words, runs and stretches whose hashes all agree match, and lines whose 64-bit hashes do.
    A line that loses all its words counts as deleted; of any other the words
    before and after stay. Shorter repeats inside longer lines stay.
 
@@ -33,23 +33,25 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from strikepath.llm.common import DOCUMENT_COLUMNS, pick, slices, stored, texts_of
+from strikepath.llm.common import DOCUMENT_COLUMNS, pick, slices, small_transfers, stored, texts_of
+from strikepath.llm.repeats import ANSWER, BASE, BATCH, BUCKET, CUT, POSITION, Keyed, by_bucket, from_planes, mixed, planes, powers, verdicts
 
 MIN_WORDS = 5
 PASSAGE = 50
 GRAM = 10
-#: Odd, so that its powers have inverses modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
 #: Words whose runs are hashed at once.
-STEP = 100_000
+STEP = 250_000
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_WORD = re.compile(r"[^\x09-\x0D\x20]+")
 LAST = (1 << 63) - 1
 
 
@@ -66,11 +68,11 @@ def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines, words = [], []
         for text in texts_of(batch):
             own = [x.strip() for x in split_lines(text)]
-            lines.append([blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in own])
+            lines.append([xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in own])
             words.append([count_words(x) for x in own])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("at"), batch.column("digest"), pa.array(lines, pa.list_(pa.binary())), pa.array(words, pa.list_(pa.int32()))],
-            names=["at", "digest", "lines", "words"],
+            [batch.column("at"), batch.column("digest"), batch.column("size"), pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))],
+            names=["at", "digest", "size", "lines", "words"],
         )
 
 
@@ -178,87 +180,178 @@ def _runs(ids: np.ndarray, size: int) -> np.ndarray:
         length *= 2
 
 
-def _lowest(values: np.ndarray, width: int) -> np.ndarray:
-    """Where the smallest of every ``width`` values in a row is, the leftmost of equal ones."""
-    at, length = np.arange(len(values)), 1
-    while length < width:
-        step = min(length, width - length)
-        left, right = at[:-step], at[step:]
-        at = np.where(values[left] <= values[right], left, right)
-        length += step
-    return at
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(31))) * np.uint64(BASE)
-    return values ^ (values >> np.uint64(29))
-
-
-@lru_cache(maxsize=2)
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def _ids(words: list[str]) -> np.ndarray:
-    """A hash of every word: its share of the running sum of bytes times powers, brought back to the first power."""
-    data = np.frombuffer(" ".join(words).encode("utf-8", "surrogatepass"), np.uint8)
-    ends = np.append(np.flatnonzero(data == 32), len(data))
-    starts = np.append(0, ends[:-1] + 1)
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of some bytes begins, and its hash."""
+    space = np.concatenate([[True], _SPACE[data], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    # Its share of the running sum of bytes times powers, brought back to the first power.
     size = 1 << max(16, len(data).bit_length())
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, size)[: len(data)], out=sums[1:])
-    return _mixed((sums[ends] - sums[starts]) * _powers(pow(BASE, -1, 1 << 64), size)[starts])
-
-
-def stretches(words: list[str]) -> np.ndarray:
-    """Rows (run, key, start, more): windows start .. start + more share their lowest run; hashes of it and of the whole stretch."""
-    out = [np.empty((4, 0), np.int64)]
-    for at in range(0, len(words) - PASSAGE + 1, STEP):
-        ids = _ids(words[at : at + STEP + PASSAGE - 1])
-        grams, windows = _mixed(_runs(ids, GRAM)), _runs(ids, PASSAGE)
-        low = _lowest(grams, PASSAGE - GRAM + 1)
-        start = np.flatnonzero(np.diff(low, prepend=-1))
-        end = np.append(start[1:], len(low)) - 1
-        more = end - start
-        # The two end windows overlap or touch, so they and their distance tell the whole.
-        key = _mixed(_mixed(windows[start]) * np.uint64(BASE) + windows[end] + more.astype(np.uint64))
-        out.append(np.stack([grams[low[start]].view(np.int64), key.view(np.int64), start + at, more]))
-    return np.concatenate(out, axis=1)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, size)[: len(data)], out=sums[1:])
+    return starts, mixed((sums[ends] - sums[starts]) * powers(pow(BASE, -1, 1 << 64), size)[starts])
+
+
+class Stretches(Keyed):
+    """The stretches of some texts: windows start .. start + more of one text share their lowest run of words."""
+
+    def __init__(self, texts: list[bytes]):
+        found, group, size = [np.empty((5, 0), np.uint64)], [], 0
+        for k, data in enumerate(texts):
+            group.append((k, 0, data))
+            size += len(data)
+            if size >= BATCH:
+                found += self._found(group)
+                group, size = [], 0
+        found += self._found(group)
+        columns = np.concatenate(found, axis=1)
+        self.text, self.start, self.more = (columns[k].astype(np.int64) for k in range(3))
+        self.anchor, self.key = columns[3].astype(np.uint32), columns[4]
+
+    @staticmethod
+    def _found(group: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
+        """Texts worked on together; the words of a text that is longer than a batch are taken in steps."""
+        data = np.frombuffer(b"\n".join(g[2] for g in group), np.uint8)
+        if len(data) < PASSAGE:
+            return []
+        offsets = np.cumsum([0, *(len(g[2]) + 1 for g in group)])
+        begins, ids = [], []
+        for at in range(0, len(data), 4 * BATCH):
+            # A step ends where a word does.
+            begins.append(at if not at or _SPACE[data[at - 1]] else at + int(np.argmax(np.append(_SPACE[data[at:]], True))))
+        parts = [_words(data[a:b]) for a, b in zip(begins, [*begins[1:], len(data)], strict=True)]
+        starts = np.concatenate([p[0] + a for p, a in zip(parts, begins, strict=True)])
+        ids = np.concatenate([p[1] for p in parts])
+        text = np.searchsorted(offsets, starts, side="right") - 1
+        if len(ids) < PASSAGE:
+            return []
+        first = np.searchsorted(text, np.arange(len(group)))
+        out = []
+        for at in range(0, len(ids) - PASSAGE + 1, STEP):
+            own, doc = ids[at : at + STEP + PASSAGE - 1], text[at : at + STEP + PASSAGE - 1]
+            grams, windows = mixed(_runs(own, GRAM)), _runs(own, PASSAGE)
+            # The lowest run of every window with its position in the low bits, the leftmost of equal ones.
+            low, length, width = (grams & ~POSITION) | np.arange(len(grams), dtype=np.uint64), 1, PASSAGE - GRAM + 1
+            while length < width:
+                step = min(length, width - length)
+                low = np.minimum(low[:-step], low[step:])
+                length += step
+            low = (low & POSITION).astype(np.int64)
+            whole = doc[: len(low)] == doc[PASSAGE - 1 :]
+            new = whole.copy()
+            new[1:] &= (low[1:] != low[:-1]) | ~whole[:-1]
+            start = np.flatnonzero(new)
+            ends = np.flatnonzero(whole & ~np.append(whole[1:] & ~new[1:], False))
+            more = ends - start
+            # The two end windows overlap or touch, so they and their distance tell the whole.
+            key = mixed(mixed(windows[start]) * np.uint64(BASE) + windows[ends] + more.astype(np.uint64))
+            name = mixed(grams[low[start]] ^ np.uint64(BASE)) >> np.uint64(32)
+            docs = doc[start]
+            number = np.array([g[0] for g in group], np.uint64)[docs]
+            out.append(np.stack([number, (start + at - first[docs]).astype(np.uint64), more.astype(np.uint64), name, key]))
+        return out
+
+
+_LISTED = "batch bigint, bucket int, anchors binary, keys binary, holders binary, several binary, ats binary, digests binary, docs binary, starts binary, mores binary, counts binary, buckets binary"
+_LISTED_KINDS = (pa.int64(), pa.int32(), *[pa.binary()] * 11)
+_LISTED_NAMES = [c.split(" ")[0] for c in _LISTED.split(", ")]
+
+
+def _named(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of texts: what they ask of every bucket, and in a row of its own (bucket -1) where their stretches lie."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in _grouped(batches):
+            found = Stretches([x or b"" for x in batch.column("data").to_pylist()])
+            if not len(found.key):
+                continue
+            name, n = (part << 33) + n, n + 1
+            order, first = found.distinct()
+            ats = batch.column("at").to_numpy()
+            places = ats[found.text[order]]
+            holders = np.minimum.reduceat(places, first)
+            several = (np.maximum.reduceat(places, first) > holders).astype(np.uint8)
+            rows = [
+                (name, b, found.anchor[order[first[x]]].tobytes(), found.key[order[first[x]]].tobytes(), planes(holders[x]), several[x].tobytes(), *[None] * 7)
+                for b, x in by_bucket(found, order, first, buckets)
+            ]
+            counts = np.diff(first, append=len(order))
+            lists = (ats, batch.column("digest").to_numpy(), found.text[order], found.start[order], found.more[order], counts, found.anchor[order[first]].astype(np.int64) % buckets)
+            rows.append((name, -1, *[None] * 4, *[planes(x.astype(np.int64)) for x in lists]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _LISTED_KINDS)], names=_LISTED_NAMES)
 
-def _lists(columns: np.ndarray, sizes: list[int], names: list[str]) -> pa.Array:
-    """One list of structs per size, from the columns side by side."""
-    at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-    return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(c) for c in columns], names=names))
+    return run
 
 
-STRETCH = ["run", "key", "start", "more"]
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about ``BATCH`` bytes."""
+    for batch in batches:
+        step = max(1, min(10_000, int(batch.num_rows * BATCH / max(1, batch.nbytes))))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
 
 
-def _gist(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, rows=2000):
-        found = [stretches(text.split()) for text in texts_of(batch)]
-        lists = _lists(np.concatenate(found, axis=1), [f.shape[1] for f in found], STRETCH)
-        yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("digest"), lists], names=["at", "digest", "found"])
+_MET = "at bigint, digest bigint, first bigint, run bigint, start bigint, more bigint"
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches with an earlier holder (``first``), and those of first holders whose run stands in others as well (``run``)."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            ats, digests, docs, starts, mores, counts, buckets = (from_planes(row[c]) for c in ("ats", "digests", "docs", "starts", "mores", "counts", "buckets"))
+            task, owner = np.zeros(len(counts), np.uint8), np.zeros(len(counts), np.int64)
+            by = np.argsort(buckets, kind="stable")
+            edges = np.searchsorted(buckets[by], np.arange(buckets.max() + 2))
+            for x in row["answers"]:
+                numbers = by[edges[x["bucket"]] + np.frombuffer(x["numbers"], np.uint32).astype(np.int64)]
+                task[numbers], owner[numbers] = np.frombuffer(x["tasks"], np.uint8), from_planes(x["holders"])
+            string = np.repeat(np.arange(len(counts)), counts)
+            places = ats[docs]
+            cut = (task[string] & CUT > 0) & (places > owner[string])
+            doubt = (task[string] & ~np.uint8(CUT) > 0) & (places == owner[string])
+            x = np.flatnonzero(cut | doubt)
+            if len(x):
+                columns = [pa.array(c) for c in (places[x], digests[docs[x]])]
+                columns += [pa.array(owner[string[x]], mask=~cut[x]), pa.array(string[x], mask=cut[x]), pa.array(starts[x]), pa.array(mores[x])]
+                yield pa.RecordBatch.from_arrays(columns, names=[c.split(" ")[0] for c in _MET.split(", ")])
 
 
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of the stretches in question, one by one."""
     for batch in slices(batches):
-        found, sizes = [np.empty((3, 0), np.int64)], []
-        for text, asked in zip(texts_of(batch), batch.column("asked").to_pylist(), strict=True):
-            words = text.split()
-            for x in asked:
-                start, n = x["start"], x["more"] + 1
-                windows = _mixed(_runs(_ids(words[start : start + n + PASSAGE - 1]), PASSAGE)).view(np.int64)
-                found.append(np.stack([np.full(n, x["run"]), windows, np.arange(start, start + n)]))
-            sizes.append(sum(x["more"] + 1 for x in asked))
-        lists = _lists(np.concatenate(found, axis=1), sizes, ["run", "window", "start"])
+        found, sizes = [np.empty((2, 0), np.int64)], []
+        for data, asked in zip(batch.column("data").to_pylist(), batch.column("asked").to_pylist(), strict=True):
+            ids = np.concatenate([_words(np.frombuffer(p, np.uint8))[1] for p in _pieces(data)])
+            # Stretches of one text share no window.
+            at = np.concatenate([np.arange(x["start"], x["start"] + x["more"] + 1) for x in asked])
+            if len(at) * PASSAGE < len(ids):
+                windows = np.concatenate([_runs(ids[x["start"] : x["start"] + x["more"] + PASSAGE], PASSAGE) for x in asked])
+            else:
+                windows = _runs(ids, PASSAGE)[at]
+            found.append(np.stack([mixed(windows).view(np.int64), at]))
+            sizes.append(len(at))
+        lists = _lists(np.concatenate(found, axis=1), sizes, ["window", "start"])
         yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("digest"), lists], names=["at", "digest", "found"])
 
 
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """A text in pieces of bounded size that end where a word does."""
+    at = 0
+    while at < len(data) or not at:
+        end = at + 4 * BATCH
+        while end < len(data) and not _SPACE[data[end]]:
+            end += 1
+        yield data[at:end]
+        at = max(end, 1)
+
+
+def _lists(columns: np.ndarray, sizes: list[int], names: list[str]) -> pa.Array:
+    """One list of structs per size, from the columns side by side."""
+    at = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(c) for c in columns], names=names))
+
+
 def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The same positions in ranges that neither touch nor overlap."""
     out: list[tuple[int, int]] = []
@@ -275,9 +368,9 @@ def without(text: str, cut: list[int], words: list[tuple[int, int]]) -> tuple[li
     gone, kept, at, n = set(cut), [], 0, 0
     words = _joined(words)
     for k, line in enumerate(split_lines(text)):
-        own = [m.span() for m in re.finditer(r"\S+", line)] if words else []
-        here = range(at, at + len(own))
-        at += len(own)
+        count = len(line.encode("utf-8", "surrogatepass").split()) if words else 0
+        here = range(at, at + count)
+        at += count
         while n < len(words) and words[n][1] <= here.start:
             n += 1
         lost: set[int] = set()
@@ -288,44 +381,56 @@ def without(text: str, cut: list[int], words: list[tuple[int, int]]) -> tuple[li
             lost.update(range(max(first, here.start) - here.start, min(end, here.stop) - here.start))
         if k in gone:
             continue
-        if lost and len(lost) == len(own):
+        if lost and len(lost) == count:
             gone.add(k)
             continue
         if lost:
-            stay = [j for j in range(len(own)) if j not in lost]
+            own = [m.span() for m in _WORD.finditer(line)]
+            stay = [j for j in range(count) if j not in lost]
             # Each word that stays keeps the white space before it; the first keeps the line's.
-            line = line[: own[0][0]] + "".join(line[own[j - 1][1] if i and j else own[j][0] : own[j][1]] for i, j in enumerate(stay)) + (line[own[-1][1] :] if stay[-1] == len(own) - 1 else "")
+            line = line[: own[0][0]] + "".join(line[own[j - 1][1] if i and j else own[j][0] : own[j][1]] for i, j in enumerate(stay)) + (line[own[-1][1] :] if stay[-1] == count - 1 else "")
         kept.append(line)
     return sorted(gone), "\n".join(kept)
 
 
+_KEPT = {c: k for c, k in DOCUMENT_COLUMNS.items() if c != "text"} | {"n_lines": "int", "cut": "array<int>", "partners": "array<bigint>", "kept_text": "string"}
+
+
 def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        cuts, texts = [], []
-        for text, cut, words in zip(batch.column("text"), batch.column("cut").to_pylist(), batch.column("words").to_pylist(), strict=True):
-            gone, kept = without(text.as_py() or "", cut, [(w["first"], w["end"]) for w in words]) if cut or words else ([], None)
-            cuts.append(gone)
-            texts.append(kept)
-        columns = {c: batch.column(c) for c in DOCUMENT_COLUMNS} | {"cut": pa.array(cuts, pa.list_(pa.int32())), "partners": batch.column("partners"), "kept_text": pa.array(texts, pa.string())}
-        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    for batch in slices(batches, rows=5000):
+        text = batch.column("text")
+        changed = [len(p) > 0 for p in batch.column("partners")]
+        rows = [k for k, c in enumerate(changed) if c]
+        cuts, texts = [[]] * batch.num_rows, []
+        if rows:
+            some = batch.take(pa.array(rows))
+            for k, old, cut, words in zip(rows, some.column("text"), some.column("cut").to_pylist(), some.column("words").to_pylist(), strict=True):
+                cuts[k], kept = without(old.as_py() or "", cut, [(w["first"], w["end"]) for w in words])
+                texts.append(kept)
+            text = pc.replace_with_mask(text, pa.array(changed), pa.array(texts, pa.string()))
+        columns = {c: batch.column(c) for c in _KEPT if c not in ("cut", "kept_text")} | {"cut": pa.array(cuts, pa.list_(pa.int32())), "kept_text": text}
+        yield pa.RecordBatch.from_arrays([columns[c] for c in _KEPT], names=list(_KEPT))
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
     return documents.withColumn("at", F.coalesce("doc_id", F.lit(LAST))).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def cuts(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def lines_of(documents: DataFrame) -> DataFrame:
+    """(at, digest, size, lines, words): each row's bytes, the hashes of its lines and their numbers of words; stored."""
+    keyed = _keyed(pick(documents, {"doc_id": "bigint", "text": "string"})).select("at", "digest", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"), "text")
+    return stored(keyed.mapInArrow(_drawn, "at bigint, digest bigint, size bigint, lines array<bigint>, words array<int>"), "linededup-lines")
+
+
+def cuts(drawn: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(at, digest, cut, partners): for each row that loses lines their numbers from 0, and the documents they align with.
 
     ``at`` is the doc_id, or the largest bigint where that is null, and
     ``digest`` tells rows of one doc_id apart.
     """
-    keyed = _keyed(pick(documents, {"doc_id": "bigint", "text": "string"}))
-    drawn = stored(
-        keyed.select("at", "digest", "text").mapInArrow(_drawn, "at bigint, digest bigint, lines array<binary>, words array<int>"), "linededup-lines"
-    )
     keys = drawn.select("at", F.explode(F.arrays_zip("lines", "words")).alias("x")).where(F.col("x.words") >= min_words).select("at", F.col("x.lines").alias("line"))
-    firsts = keys.groupBy("line").agg(F.min("at").alias("a"), F.max("at").alias("last")).where("a < last").select("line", "a")
+    # Stored, so that the join has exchanges of its own, whose large partitions are split.
+    firsts = stored(keys.groupBy("line").agg(F.min("at").alias("a"), F.max("at").alias("last")).where("a < last").select("line", "a"), "linededup-firsts")
     pairs = keys.join(firsts, "line").where("at > a").select("a", F.col("at").alias("b")).distinct()
     rows = drawn.select(F.col("at").alias("b"), "digest", F.col("lines").alias("lines_b"), F.col("words").alias("words_b")).distinct()
     first = drawn.select(F.col("at").alias("a"), F.col("lines").alias("lines_a")).distinct()
@@ -336,44 +441,45 @@ def cuts(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def shared_passages(documents: DataFrame) -> DataFrame:
-    """(at, digest, words, partners): for each row that loses passages their word positions, and the first documents that have them."""
-    keyed = _keyed(pick(documents, {"doc_id": "bigint", "text": "string"})).select("at", "digest", "text")
-    kind = f"at bigint, digest bigint, found array<struct<{','.join(f'{c}:bigint' for c in STRETCH)}>>"
-    drawn = stored(keyed.mapInArrow(_gist, kind), "linededup-stretches").select("at", "digest", F.explode("found").alias("x")).select("at", "digest", "x.*")
-    several = drawn.groupBy("run").agg(F.min("at").alias("a"), F.max("at").alias("z")).where("a < z").select("run")
-    # Stored, so that the join has exchanges of its own, whose large partitions are split.
-    several = stored(several, "linededup-several").hint("shuffle_hash")
-    shared = stored(drawn.join(several, "run", "left_semi"), "linededup-shared")
-    # Equal stretches, whole.
-    whole = stored(shared.groupBy("run", "key").agg(F.min("at").alias("first")), "linededup-whole")
-    met = stored(shared.join(whole, ["run", "key"]).select("run", "at", "digest", "start", "more", "first"), "linededup-met")
-    repeats = met.where("at > first").select("at", "digest", "first", "start", "more")
+def shared_passages(documents: DataFrame, size: int) -> DataFrame:
+    """(at, digest, words, partners): for each row that loses passages their word positions, and the first documents that have them; ``size`` is the bytes of all."""
+    keyed = _keyed(pick(documents, {"doc_id": "bigint", "text": "string"})).select("at", "digest", F.col("text").cast("binary").alias("data"))
+    buckets = max(1, -(-size // BUCKET))
+    with small_transfers(documents.sparkSession):
+        listed = stored(keyed.mapInArrow(_named(buckets), _LISTED), "linededup-stretches")
+        asked = listed.where("bucket >= 0").select("batch", "bucket", "anchors", "keys", "holders", "several")
+        answers = stored(asked.groupBy("bucket").applyInArrow(lambda t: verdicts(t, 1), ANSWER), "linededup-answers")
+        by_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "numbers", "holders", "tasks")).alias("answers"))
+        index = listed.where("bucket = -1").select("batch", "ats", "digests", "docs", "starts", "mores", "counts", "buckets")
+        met = stored(index.join(by_batch, "batch").drop("batch").mapInArrow(_told, _MET), "linededup-met")
+    repeats = met.where("first IS NOT NULL").select("at", "digest", "first", "start", "more")
     # Windows of the first of each, where its run stands in different stretches.
-    doubt = whole.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
-    asked = met.where("at = first").join(doubt, "run", "left_semi").groupBy("at", "digest").agg(F.collect_set(F.struct("run", "start", "more")).alias("asked"))
-    single = keyed.join(asked, ["at", "digest"]).mapInArrow(_single, "at bigint, digest bigint, found array<struct<run:bigint,window:bigint,start:bigint>>")
+    asked = met.where("run IS NOT NULL").groupBy("at", "digest").agg(F.collect_set(F.struct("start", "more")).alias("asked"))
+    single = keyed.join(asked, ["at", "digest"]).mapInArrow(_single, "at bigint, digest bigint, found array<struct<window:bigint,start:bigint>>")
     windows = stored(single, "linededup-windows").select("at", "digest", F.explode("found").alias("x")).select("at", "digest", "x.*")
-    firsts = windows.groupBy("run", "window").agg(F.min("at").alias("first"), F.max("at").alias("z")).where("first < z").drop("z")
-    others = windows.join(firsts, ["run", "window"]).where("at > first").select("at", "digest", "first", "start", F.lit(0).cast("bigint").alias("more"))
+    # Stored, so that the join has exchanges of its own, whose large partitions are split.
+    firsts = stored(windows.groupBy("window").agg(F.min("at").alias("first"), F.max("at").alias("z")).where("first < z").drop("z"), "linededup-firsts")
+    others = windows.join(firsts, "window").where("at > first").select("at", "digest", "first", "start", F.lit(0).cast("bigint").alias("more"))
     span = F.struct(F.col("start").cast("int").alias("first"), (F.col("start") + F.col("more") + PASSAGE).cast("int").alias("end"))
     return repeats.unionByName(others).groupBy("at", "digest").agg(F.collect_set(span).alias("words"), F.collect_set("first").alias("partners"))
 
 
 def dedup(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The columns of documents, with repeated blocks and passages deleted from later ones, and n_lines, cut, partners, kept_text."""
+    """The columns of documents but the text, with n_lines, cut, partners, and the text without repeated blocks as kept_text."""
     kinds = {"cut": "array<int>", "words": "array<struct<first:int,end:int>>", "partners": "array<bigint>"}
     none = {c: F.array().cast(kind) for c, kind in kinds.items()}
-    by_line = cuts(documents, min_words).select("at", "digest", "cut", none["words"].alias("words"), "partners")
-    by_word = shared_passages(documents).select("at", "digest", none["cut"].alias("cut"), "words", "partners")
-    both = by_line.unionByName(by_word).groupBy("at", "digest").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in kinds])
-    found = stored(both.withColumn("partners", F.sort_array(F.array_distinct("partners"))), "linededup-cuts")
+    with small_transfers(documents.sparkSession):
+        drawn = lines_of(documents)
+        size = drawn.agg(F.sum("size").alias("n")).first()["n"] or 0
+        by_line = cuts(drawn, min_words).select("at", "digest", "cut", none["words"].alias("words"), "partners")
+        by_word = shared_passages(documents, size).select("at", "digest", none["cut"].alias("cut"), "words", "partners")
+        both = by_line.unionByName(by_word).groupBy("at", "digest").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in kinds])
+        found = stored(both.withColumn("partners", F.sort_array(F.array_distinct("partners"))), "linededup-cuts")
     joined = _keyed(pick(documents, DOCUMENT_COLUMNS)).join(found, ["at", "digest"], "left")
-    columns = ", ".join(f"{c} {kind}" for c, kind in DOCUMENT_COLUMNS.items())
-    applied = joined.select(*DOCUMENT_COLUMNS, *[F.coalesce(c, none[c]).alias(c) for c in kinds]).mapInArrow(
-        _applied, f"{columns}, cut array<int>, partners array<bigint>, kept_text string"
-    )
-    return applied.select(*DOCUMENT_COLUMNS, F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n_lines"), "cut", "partners", F.when(F.size("partners") > 0, F.col("kept_text")).otherwise(F.col("text")).alias("kept_text"))
+    text = F.coalesce("text", F.lit(""))
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1
+    asked = joined.select(*DOCUMENT_COLUMNS, n_lines.alias("n_lines"), *[F.coalesce(c, none[c]).alias(c) for c in kinds])
+    return asked.mapInArrow(_applied, ", ".join(f"{c} {kind}" for c, kind in _KEPT.items()))
 
 
 def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

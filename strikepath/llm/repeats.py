@@ -59,24 +59,42 @@ TOGETHER = 1 << 20
 LAST = (1 << 63) - 1
 #: Odd, so that its powers have inverses modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
-_POSITION = np.uint64((1 << 24) - 1)
+POSITION = np.uint64((1 << 24) - 1)
 #: What a batch is asked: to cut the string from later documents, to send it to a block, to send its windows.
 CUT, BLOCK, WINDOWS = 1, 2, 4
 
 
-def _mixed(values: np.ndarray) -> np.ndarray:
+def mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(31))) * np.uint64(BASE)
     return values ^ (values >> np.uint64(29))
 
 
 @lru_cache(maxsize=2)
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
-class Strings:
+class Keyed:
+    """Pieces of texts with hashes that tell which are equal (``key``) and which may share something (``anchor``)."""
+
+    text: np.ndarray
+    start: np.ndarray
+    more: np.ndarray
+    anchor: np.ndarray
+    key: np.ndarray
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces in order of anchor and key, and where each different one begins in that order."""
+        order = np.lexsort((self.key, self.anchor))
+        anchor, key = self.anchor[order], self.key[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])
+        return order, np.flatnonzero(new)
+
+
+class Strings(Keyed):
     """The strings of some texts: which text, where in it, how many windows beyond the first, hashes of anchor and string, and where its anchor is."""
 
     def __init__(self, texts: list[bytes]):
@@ -96,31 +114,23 @@ class Strings:
         self.text, self.start, self.more = (columns[k].astype(np.int64) for k in range(3))
         self.anchor, self.key, self.offset = columns[3].astype(np.uint32), columns[4], columns[5].astype(np.int64)
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """The strings in order of anchor and key, and where each different one begins in that order."""
-        order = np.lexsort((self.key, self.anchor))
-        anchor, key = self.anchor[order], self.key[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])
-        return order, np.flatnonzero(new)
-
 
 def _strings(parts: list[tuple[int, int, bytes]]) -> np.ndarray:
     sizes = np.array([len(p[2]) for p in parts])
     data = np.frombuffer(b"".join(p[2] for p in parts), np.uint8)
     n, room = len(data), 1 << max(16, len(data).bit_length())
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, room)[:n], out=sums[1:])
-    inverse = _powers(pow(BASE, -1, 1 << 64), room)
-    anchors = _mixed((sums[ANCHOR:] - sums[:-ANCHOR]) * inverse[: n - ANCHOR + 1])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, room)[:n], out=sums[1:])
+    inverse = powers(pow(BASE, -1, 1 << 64), room)
+    anchors = mixed((sums[ANCHOR:] - sums[:-ANCHOR]) * inverse[: n - ANCHOR + 1])
     # The lowest anchor of every window with its position in the low bits, the leftmost of equal ones.
-    low = (anchors & ~_POSITION) | np.arange(len(anchors), dtype=np.uint64)
+    low = (anchors & ~POSITION) | np.arange(len(anchors), dtype=np.uint64)
     width, length = WINDOW - ANCHOR + 1, 1
     while length < width:
         step = min(length, width - length)
         low = np.minimum(low[:-step], low[step:])
         length += step
-    at = (low & _POSITION).astype(np.int64)
+    at = (low & POSITION).astype(np.int64)
     ends = np.cumsum(sizes)
     part = np.repeat(np.arange(len(parts)), sizes)
     whole = part[: len(at)] == part[WINDOW - 1 :]
@@ -130,9 +140,9 @@ def _strings(parts: list[tuple[int, int, bytes]]) -> np.ndarray:
     start = np.flatnonzero(begins)
     last = np.minimum(np.append(start[1:] - 1, n), ends[part[start]] - WINDOW)
     more = last - start
-    key = _mixed((sums[last + WINDOW] - sums[start]) * inverse[start] + more.astype(np.uint64))
+    key = mixed((sums[last + WINDOW] - sums[start]) * inverse[start] + more.astype(np.uint64))
     numbers = np.array([p[0] for p in parts], np.uint64), (np.array([p[1] for p in parts]) - (ends - sizes)).astype(np.int64)
-    name = _mixed(anchors[at[start]] ^ np.uint64(BASE)) >> np.uint64(32)
+    name = mixed(anchors[at[start]] ^ np.uint64(BASE)) >> np.uint64(32)
     return np.stack([numbers[0][part[start]], (start + numbers[1][part[start]]).astype(np.uint64), more.astype(np.uint64), name, key, (at[start] - start).astype(np.uint64)])
 
 
@@ -166,7 +176,7 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def _buckets(strings: Strings, order: np.ndarray, first: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+def by_bucket(strings: Keyed, order: np.ndarray, first: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
     """Numbers of the different strings by bucket of their anchors."""
     bucket = strings.anchor[order[first]] % np.uint32(buckets)
     by = np.argsort(bucket, kind="stable")
@@ -174,19 +184,19 @@ def _buckets(strings: Strings, order: np.ndarray, first: np.ndarray, buckets: in
     return [(int(bucket[x[0]]), x) for x in np.split(by, cuts[1:])] if len(by) else []
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(values: np.ndarray) -> bytes:
     """Whole numbers from their least on, equal bytes of all of them together: near numbers then shrink well."""
     least = values.min()
     return least.tobytes() + (values - least).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _from_planes(data: bytes) -> np.ndarray:
+def from_planes(data: bytes) -> np.ndarray:
     least = np.frombuffer(data, np.int64, 1)
     return np.frombuffer(data, np.uint8, offset=8).reshape(8, -1).T.copy().view(np.int64).ravel() + least
 
 
 _ASKED = "batch bigint, bucket int, anchors binary, keys binary, holders binary, several binary"
-_ANSWER = "batch bigint, bucket int, numbers binary, holders binary, tasks binary"
+ANSWER = "batch bigint, bucket int, numbers binary, holders binary, tasks binary"
 
 
 def _asking(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -200,8 +210,8 @@ def _asking(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             holders = np.minimum.reduceat(places, first)
             several = (np.maximum.reduceat(places, first) > holders).astype(np.uint8)
             out = [
-                (row["batch"], b, strings.anchor[order[first[x]]].tobytes(), strings.key[order[first[x]]].tobytes(), _planes(holders[x]), several[x].tobytes())
-                for b, x in _buckets(strings, order, first, buckets)
+                (row["batch"], b, strings.anchor[order[first[x]]].tobytes(), strings.key[order[first[x]]].tobytes(), planes(holders[x]), several[x].tobytes())
+                for b, x in by_bucket(strings, order, first, buckets)
             ]
             kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["batch", "bucket", "anchors", "keys", "holders", "several"])
@@ -209,13 +219,13 @@ def _asking(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _verdicts(asked: pa.Table, largest: int) -> pa.Table:
+def verdicts(asked: pa.Table, largest: int) -> pa.Table:
     """Of one bucket: what each batch is to do with which of the strings it named."""
     def column(name: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(asked.column(name).to_pylist()), kind)
 
     anchor, key, several = column("anchors", np.uint32), column("keys", np.uint64), column("several", np.uint8)
-    holder = np.concatenate([_from_planes(x) for x in asked.column("holders").to_pylist()])
+    holder = np.concatenate([from_planes(x) for x in asked.column("holders").to_pylist()])
     sizes = np.array([len(x) // 4 for x in asked.column("anchors").to_pylist()])
     order = np.lexsort((key, anchor))
     a, k = anchor[order], key[order]
@@ -241,7 +251,7 @@ def _verdicts(asked: pa.Table, largest: int) -> pa.Table:
     for batch, bucket, size in zip(asked.column("batch").to_pylist(), asked.column("bucket").to_pylist(), sizes, strict=True):
         told = np.flatnonzero(answer[at : at + size])
         if len(told):
-            for c, x in zip(out, (batch, bucket, told.astype(np.uint32).tobytes(), _planes(owner[at + told]), answer[at + told].tobytes()), strict=True):
+            for c, x in zip(out, (batch, bucket, told.astype(np.uint32).tobytes(), planes(owner[at + told]), answer[at + told].tobytes()), strict=True):
                 out[c].append(x)
         at += size
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -267,11 +277,11 @@ def _answering(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for row in _each(batches):
             strings = Strings(row["texts"])
             order, first = strings.distinct()
-            by_bucket = dict(_buckets(strings, order, first, buckets))
+            named = dict(by_bucket(strings, order, first, buckets))
             task, owner = np.zeros(len(first), np.uint8), np.zeros(len(first), np.int64)
             for x in row["answers"]:
-                numbers = by_bucket[x["bucket"]][np.frombuffer(x["numbers"], np.uint32)]
-                task[numbers], owner[numbers] = np.frombuffer(x["tasks"], np.uint8), _from_planes(x["holders"])
+                numbers = named[x["bucket"]][np.frombuffer(x["numbers"], np.uint32)]
+                task[numbers], owner[numbers] = np.frombuffer(x["tasks"], np.uint8), from_planes(x["holders"])
             counts = np.diff(first, append=len(order))
             task, owner = np.repeat(task, counts), np.repeat(owner, counts)
             places = _places(row["ids"])[strings.text[order]]
@@ -402,7 +412,7 @@ def removed(documents: DataFrame) -> DataFrame:
     largest = LARGEST
     with small_transfers(documents.sparkSession):
         asked = batches.mapInArrow(_asking(buckets), _ASKED)
-        answers = stored(asked.groupBy("bucket").applyInArrow(lambda t: _verdicts(t, largest), _ANSWER), "repeats-answers")
+        answers = stored(asked.groupBy("bucket").applyInArrow(lambda t: verdicts(t, largest), ANSWER), "repeats-answers")
         by_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "numbers", "holders", "tasks")).alias("answers"))
         found = stored(batches.join(by_batch, "batch").select("batch", "ids", "texts", "answers").mapInArrow(_answering(buckets), _FOUND), "repeats-found")
 
