@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``. All but the last return
 the columns of documents.
+
+Defined results: a null, empty or blank text fails the quality rules, as does any
+with fewer than fifty words, so the later stages see none of the corpus; each of
+them takes such rows all the same and gives what its operator states. Rows that
+share a doc_id are judged each on its own. Very long texts are worked on whole.
+An empty table gives no row at any stage; further columns of the documents are
+left behind by the first stage.
 """
 
 from __future__ import annotations
