@@ -50,6 +50,8 @@ class WordBpe:
         self.vocab: dict[str, int] = data["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.token = {i: t for t, i in (self.vocab | self.special).items()}
+        # Every entry as it is decoded, by id.
+        self.entry = np.array([self.token.get(i, "").encode() for i in range(max(self.token) + 1)], object)
         self.special_pattern = re.compile("|".join(re.escape(t) for t in self.special) or "(?!)")
         split = next(p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
@@ -60,8 +62,8 @@ class WordBpe:
         self.final = {t.removesuffix(WORD_END): i for t, i in self.vocab.items() if t.endswith(WORD_END)}
         self.inner = {t: i for t, i in self.vocab.items() if not t.endswith(WORD_END)}
         self.kept = kept
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}
         # Merges: rank of a pair of ids, and which pair an id is made of.
         size = max(self.vocab.values()) + 1
         self.size = size
@@ -168,48 +170,50 @@ class WordBpe:
             self.known.clear()
         ids = self.known
         words = list({w for p in pieces.values() for w in p}.difference(ids))
-        token = self.token
         for w, own in zip(words, self.encode_words(words), strict=True):
-            ids[w] = (np.array(own, "<u4").tobytes(), " ".join([token[i] for i in own]).encode())
+            ids[w] = np.array(own, "<u4").tobytes()
         for c, p in pieces.items():
-            found = [ids[w] for w in p]
-            self.cache[c] = found[0] if len(found) == 1 else (b"".join([x[0] for x in found]), b" ".join([x[1] for x in found]))
+            self.cache[c] = b"".join([ids[w] for w in p])
 
-    def _plain(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of texts without special tokens. A space always ends a word, so texts go chunk by chunk."""
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens. A space always ends a word, so texts go chunk by chunk."""
         if len(self.cache) > self.kept:
             self.cache.clear()
         split = [t.split(" ") for t in texts]
         unseen = set().union(*split).difference(self.cache)
         self._learn(unseen)
         get = self.cache.__getitem__
-        out = []
-        for chunks in split:
-            found = [x for x in map(get, chunks) if x[0]]
-            out.append((b"".join([x[0] for x in found]), b" ".join([x[1] for x in found])))
+        out = [b"".join(map(get, chunks)) for chunks in split]
         for c in unseen:
             if len(c) > 100:
                 del self.cache[c]
         return out
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Each text's ids as little-endian unsigned 32-bit integers, and its decoded text in UTF-8."""
+    def encode_ids(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
         special = [bool(self.special_pattern.search(t)) for t in texts]
         plain = iter(self._plain([t for t, s in zip(texts, special, strict=True) if not s]))
         return [self._mixed(t) if s else next(plain) for t, s in zip(texts, special, strict=True)]
 
-    def _mixed(self, text: str) -> tuple[bytes, bytes]:
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Each text's ids, and the text decoded from them in UTF-8."""
+        return [(ids, self.decode_ids(ids)) for ids in self.encode_ids(texts)]
+
+    def _mixed(self, text: str) -> bytes:
         parts, at = [], 0
         for m in self.special_pattern.finditer(text):
             parts += self._plain([text[at : m.start()]])
-            parts.append((np.array([self.special[m[0]]], "<u4").tobytes(), m[0].encode()))
+            parts.append(np.array([self.special[m[0]]], "<u4").tobytes())
             at = m.end()
-        parts = [p for p in [*parts, *self._plain([text[at:]])] if p[0]]
-        return b"".join([p[0] for p in parts]), b" ".join([p[1] for p in parts])
+        return b"".join([*parts, *self._plain([text[at:]])])
 
-    def decode(self, ids: list[int]) -> str:
+    def decode_ids(self, ids: bytes) -> bytes:
         """Entries joined by spaces, as the vocabulary file names no decoder."""
-        return " ".join([self.token[i] for i in ids if i in self.token])
+        return b" ".join(self.entry[np.frombuffer(ids, "<u4")].tolist())
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids, unknown ones left out."""
+        return self.decode_ids(np.array([i for i in ids if i in self.token], "<u4").tobytes()).decode()
 
 
 _encoders: dict[str, WordBpe] = {}
@@ -222,10 +226,11 @@ def encoder(vocabulary: str) -> WordBpe:
     return _encoders[vocabulary]
 
 
-def _batches(vocabulary: str, make: Callable[[bytes, bytes], tuple], types: list[pa.DataType], names: list[str]):
+def _batches(vocabulary: str, make: Callable[[WordBpe, bytes], tuple], types: list[pa.DataType], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=2000, chars=8_000_000):
-            rows = [make(*x) for x in encoder(vocabulary).encode(texts_of(batch))]
+            bpe = encoder(vocabulary)
+            rows = [make(bpe, ids) for ids in bpe.encode_ids(texts_of(batch))]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *names])
 
@@ -234,7 +239,7 @@ def _batches(vocabulary: str, make: Callable[[bytes, bytes], tuple], types: list
 
 def encode(documents: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, ids) of whole texts."""
-    make = lambda ids, _: (np.frombuffer(ids, "<u4").astype(np.int32),)
+    make = lambda _, ids: (np.frombuffer(ids, "<u4").astype(np.int32),)
     run = _batches(vocabulary, make, [pa.list_(pa.int32())], ["ids"])
     return pick(documents, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, ENCODED)
 
@@ -252,6 +257,6 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
 def round_trip(documents: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids and the text decoded from them, as digests."""
-    make = lambda ids, text: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest())
+    make = lambda bpe, ids: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode_ids(ids)).hexdigest())
     run = _batches(vocabulary, make, [pa.int64(), pa.string(), pa.string()], ["n_tokens", "ids_sha256", "decoded_sha256"])
     return pick(documents, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, DIGEST)
