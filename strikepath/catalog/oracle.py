@@ -1308,6 +1308,12 @@ def _builds() -> None:
         "futures_trade_size_1s AS underlying_trade_size FROM strict) x"
     )
 
+    register(
+        "e04_colocated_trades",
+        pick("week_id ticker second:t observed_at:t selected_futures_symbol underlying_trade_price:d underlying_trade_count:i "
+             "underlying_trade_size:d has_underlying_trade_price", "bysec"),
+    )
+
     def both(columns: str, source: str) -> str:
         return " UNION ALL ".join(content(p, columns, source) for p in ("contract_evolution_1s", "contract_plot_sample"))
 

@@ -29,7 +29,7 @@ from strikepath.operators import (
 )
 from strikepath.plans import trade_enrichment, views, weekly_contracts, weekly_markets
 from strikepath.session import scratch_path
-from strikepath.sources import adapters, tables
+from strikepath.sources import adapters, colocated, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,9 +235,7 @@ def _(d):
         ("contract_evolution_1s", traded, "second", "futures_trade_count_1s"),
         ("contract_plot_sample", by_second, "second", "underlying_trade_count"),
     ]
-    return tables.first_source_per_week(sources).groupBy("week_id", "source").agg(
-        agg.rows().alias("n_rows"), agg.sum_or_zero("trade_count").alias("trade_count")
-    )
+    return tables.first_source_totals(sources)
 
 
 # --- projections, filters, predicates ----------------------------------------
@@ -427,10 +425,8 @@ def _(d):
 
 @query("a05_distinct_with_null")
 def _(d):
-    return d.contracts.groupBy("week_id").agg(
-        agg.distinct_with_null("inferred_winner").alias("n_winners"),
-        agg.distinct_with_null("selected_futures_symbol").alias("n_symbols"),
-    )
+    counted = summary.distinct_counts(d.quotes, WEEK, ["inferred_winner", "selected_futures_symbol"], ["inferred_winner", "selected_futures_symbol"])
+    return counted.select("week_id", F.col("n_inferred_winner").alias("n_winners"), F.col("n_selected_futures_symbol").alias("n_symbols"))
 
 
 @query("a06_dominant_symbol")
@@ -1133,7 +1129,7 @@ def _(d):
 
 @query("v17_decision_table")
 def _(d):
-    return views.decision_table(d.decisions)
+    return views.decision_table(d.decisions, 200)
 
 
 @query("v18_heatmap_matrix")
@@ -1178,7 +1174,7 @@ def _(d):
 
 @query("v23_preview_evolution")
 def _(d):
-    return views.evolution_preview(d.quotes)
+    return views.evolution_preview(d.quotes, 300)
 
 
 @query("v23_preview_decisions")
@@ -1348,3 +1344,12 @@ def _(d):
     root = _enriched_root(d)
     trade_enrichment.build(d.spark, d.trades, root, strict=True)
     return _enriched(d, root, trade_enrichment.build(d.spark, d.trades, root).drop("n_rows"))
+
+
+@query("e04_colocated_trades")
+def _(d):
+    """Panel and trade bars in files by second, joined where they lie."""
+    panel_rows = d.quotes.select("week_id", "ticker", "second", "observed_at", "selected_futures_symbol")
+    found = colocated.write_colocated(bars.trade_bars(d.trades), d.scratch("trades-by-second"), ["second"], 8)
+    lying = colocated.write_colocated(panel_rows, d.scratch("panel-by-second"), ["second"], 8, ["ticker"])
+    return enrich.with_trades_of_second(lying, found).drop("underlying_trade_symbol")

@@ -44,11 +44,7 @@ TRADE_PRICE_CANDIDATES = (
     "last_trade",
     "trade",
 )
-UNDERLYING_CANDIDATES = (
-    ("underlying_quote_mid", "BTC futures quote mid"),
-    ("underlying_modeling", "BTC futures reference value"),
-    ("underlying_value", "BTC futures reference value"),
-)
+UNDERLYING_CANDIDATES = ("underlying_quote_mid", "underlying_modeling", "underlying_value")
 DOLLAR_DISTANCES = (
     "distance_from_threshold_dollars",
     "threshold_distance_dollars",
@@ -111,7 +107,7 @@ def path_facts(df: DataFrame, at: str) -> DataFrame:
 
     One grouped pass; what a week decides is merged from its contracts.
     """
-    names = [n for n, _ in UNDERLYING_CANDIDATES if n in df.columns]
+    names = _present(df, UNDERLYING_CANDIDATES)
     units = unit_columns(df)
     first = lambda value: F.min_by(value, F.when(value.isNotNull(), F.col(at)))
     parts = {f"_n_{n}": F.count(parse_number(n)) for n in names}
@@ -133,7 +129,7 @@ def path_facts(df: DataFrame, at: str) -> DataFrame:
 
 def chosen_series(df: DataFrame) -> Column:
     """The value of the row's ``underlying_source_column``."""
-    return _value_of(F.col("underlying_source_column"), [n for n, _ in UNDERLYING_CANDIDATES if n in df.columns])
+    return _value_of(F.col("underlying_source_column"), _present(df, UNDERLYING_CANDIDATES))
 
 
 def unit_columns(df: DataFrame, any_column: bool = False) -> list[str]:
@@ -188,7 +184,7 @@ def with_trade_price(df: DataFrame) -> DataFrame:
 
 def with_underlying_series(df: DataFrame, decide_on: DataFrame | None = None) -> DataFrame:
     """Add ``underlying_series`` and its source: quote mid if the week has any, else a fallback."""
-    names = [n for n, _ in UNDERLYING_CANDIDATES if n in df.columns]
+    names = _present(df, UNDERLYING_CANDIDATES)
     choice = chosen_column(df if decide_on is None else decide_on, names, "underlying_source_column")
     return per_week(df, choice).withColumn(
         "underlying_series", _value_of(F.col("underlying_source_column"), names)

@@ -65,6 +65,13 @@ def attach_trades_by_second(panel: DataFrame, bars: DataFrame, replace_strict: b
     )
 
 
+def with_trades_of_second(panel: DataFrame, bars: DataFrame) -> DataFrame:
+    """The same for products that lie together by second (``sources/colocated.py``): a plain join, so that neither moves."""
+    return panel.join(bars, "second", "left").withColumn(
+        "has_underlying_trade_price", F.col("underlying_trade_price").isNotNull()
+    )
+
+
 def alias_strict_trades(panel: DataFrame) -> DataFrame:
     """Copy the strict columns that exist to the by-second names."""
     pairs = dict(zip(BY_SECOND_COLUMNS[:3], STRICT_COLUMNS[:3]))

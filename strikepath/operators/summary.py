@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,3 +141,18 @@ def event_window_response(features: DataFrame, by_bucket: bool = True) -> DataFr
 def contract_evolution(features: DataFrame) -> DataFrame:
     """The panel columns kept for following single contracts."""
     return keep_existing(features, "week_id", *EVOLUTION_COLUMNS)
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str], null_counts: Sequence[str] = ()) -> DataFrame:
+    """Exact numbers of distinct values of several columns per group, as ``n_<column>``.
+
+    Rows are reduced to the combinations that occur before anything is repeated per
+    column, and each column's values are then reduced again, so every step merges
+    in the map tasks and no group's values meet in one task. NULL is one more
+    value for the columns in ``null_counts`` and none for the others.
+    """
+    combinations = df.groupBy(*keys, *columns).agg(rows().alias("_n")).where(F.col("_n") > 0)
+    cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value")) for c in columns])
+    values = combinations.select(*keys, F.inline(cells)).groupBy(*keys, "_column", "_value").agg(rows().alias("_n"))
+    counted = F.col("_value").isNotNull() | F.col("_column").isin(*null_counts)
+    return values.groupBy(*keys).agg(*[F.count_if((F.col("_column") == c) & counted).alias(f"n_{c}") for c in columns])

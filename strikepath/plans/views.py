@@ -260,7 +260,7 @@ DECISION_TABLE = (
 )
 
 
-def decision_table(decisions: DataFrame, n: int = 200) -> DataFrame:
+def decision_table(decisions: DataFrame, n: int) -> DataFrame:
     """Each week's contracts that were decided longest before their close."""
     top = stats.top_per_group(
         _decided(decisions), [WEEK], n, F.desc_nulls_last("minutes_before_close_at_decision"), "ticker"
@@ -369,7 +369,7 @@ PREVIEW_COLUMNS = (
 )
 
 
-def evolution_preview(evolution: DataFrame, n: int = 300) -> DataFrame:
+def evolution_preview(evolution: DataFrame, n: int) -> DataFrame:
     """First rows of every contract."""
     top = stats.top_per_group(evolution, CONTRACT, n, order_column(evolution))
     shown = display.with_display_prices(display.with_underlying_columns(top), decide_on=evolution)

@@ -33,10 +33,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``, and their place in the file."""
-    return tables.with_source_row(load(spark, sf_dir, "events")).selectExpr(
-        "source_row",
+def quotes(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
+    """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``; with their place in the file where asked."""
+    events = load(spark, sf_dir, "events")
+    return (tables.with_source_row(events) if placed else events).selectExpr(
+        *([SOURCE_ROW] if placed else []),
         "event_id",
         "ts",
         "user_id",
@@ -50,7 +51,7 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def micro_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = quotes(spark, sf_dir).selectExpr(
+    df = quotes(spark, sf_dir, placed=True).selectExpr(
         "ts AS timestamp",
         "event_type AS symbol",
         "px AS mid_price",
@@ -96,7 +97,7 @@ def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (
-        quotes(spark, sf_dir)
+        quotes(spark, sf_dir, placed=True)
         .where("event_type = 'click'")
         .groupBy(F.col("w15").alias("window_start"))
         .agg(
@@ -212,7 +213,7 @@ def contract_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (
-        quotes(spark, sf_dir)
+        quotes(spark, sf_dir, placed=True)
         .where("event_type = 'purchase'")
         .selectExpr("ts AS ts_event", "px AS price", "1 + k % 5 AS size", "event_type AS symbol", "source_row")
     )

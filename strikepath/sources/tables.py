@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,13 +144,8 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return combined
 
 
-def first_source_per_week(sources: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
-    """Per week, the rows of the first source that has usable values.
-
-    ``sources`` lists ``(name, frame, time column, count column)`` in order of
-    preference. A source counts for a week if it has a row with a time there;
-    a source that lacks either column is passed over.
-    """
+def _usable(sources: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Rows of all sources that have a time and a count, with their source and its place in the order of preference."""
     usable = [
         frame.select(
             WEEK,
@@ -164,12 +159,34 @@ def first_source_per_week(sources: Sequence[tuple[str, DataFrame, str, str]]) ->
     ]
     if not usable:
         raise ValueError("no source has both a time and a count column")
-    rows = union_all(usable)
+    return union_all(usable)
+
+
+def first_source_per_week(sources: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Per week, the rows of the first source that has usable values.
+
+    ``sources`` lists ``(name, frame, time column, count column)`` in order of
+    preference. A source counts for a week if it has a row with a time there;
+    a source that lacks either column is passed over.
+    """
+    rows = _usable(sources)
     best = rows.groupBy(WEEK).agg(F.min("priority").alias("priority"))
     # One row per week: a century of weeks is about 5,200 rows.
     return rows.join(F.broadcast(best), [WEEK, "priority"], "left_semi")
 
 
+def first_source_totals(sources: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Per week, the rows and the trades of the first source that has usable values; each source is read once.
+
+    Every source is reduced to one row a week before the choice is made.
+    """
+    totals = _usable(sources).groupBy(WEEK, "source", "priority").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("trade_count"), F.lit(0)).alias("trade_count")
+    )
+    best = F.min("priority").over(Window.partitionBy(WEEK))
+    return totals.withColumn("best", best).where(F.col("priority") == F.col("best")).drop("priority", "best")
+
+
 def discover_files(
     spark: SparkSession,
     root: str,

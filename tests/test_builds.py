@@ -132,8 +132,8 @@ def test_complete_weeks_of_a_folder_and_of_its_source(spark, sf_dir, tmp_path):
 def test_windows_come_before_panel_products(spark, sf_dir, monkeypatch):
     """The order of the reference; a later source answers only for a week the earlier ones lack."""
     seen = []
-    real = tables.first_source_per_week
-    monkeypatch.setattr(tables, "first_source_per_week", lambda sources: seen.extend(s[0] for s in sources) or real(sources))
+    real = tables.first_source_totals
+    monkeypatch.setattr(tables, "first_source_totals", lambda sources: seen.extend(s[0] for s in sources) or real(sources))
     got = queries.QUERIES["s09_first_source_per_week"](spark, sf_dir).collect()
     order = ["futures_label_window_behavior", "futures_15m_windows", "contract_evolution_1s", "contract_plot_sample"]
     assert seen == order
@@ -141,5 +141,8 @@ def test_windows_come_before_panel_products(spark, sf_dir, monkeypatch):
     assert labelled.count() > 0 and "futures_label_window_behavior" in {r.source for r in got}
     # Every source but the first lacks nothing the one before it has, and has one week more.
     frames = [spark.createDataFrame([(w, w, k) for w in ("w1", "w2", "w3", "w4")[: k + 1]], "week_id string, at string, n int") for k in range(4)]
-    rows = real([(name, f, "at", "n") for name, f in zip(order, frames, strict=True)]).collect()
+    sources = [(name, f, "at", "n") for name, f in zip(order, frames, strict=True)]
+    rows = tables.first_source_per_week(sources).collect()
     assert sorted((r.week_id, r.source) for r in rows) == list(zip(["w1", "w2", "w3", "w4"], order, strict=True))
+    totals = real(sources).collect()
+    assert sorted((r.week_id, r.source, r.n_rows, r.trade_count) for r in totals) == [(f"w{k + 1}", order[k], 1, k) for k in range(4)]

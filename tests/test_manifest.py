@@ -127,3 +127,25 @@ def test_only_changed_weeks_are_built_and_vanished_ones_go(spark, sf_dir, tmp_pa
     assert weekly_contracts.refresh(spark, read(), root, price_unit="as_is")[0] == weeks[:2]
     tables.drop_weeks(spark, root, "sensitivity_bins", weeks[:1])
     assert weekly_contracts.refresh(spark, read(), root, price_unit="as_is") == (weeks[:1], [])
+
+
+def test_products_that_lie_together_join_without_an_exchange(spark, sf_dir, tmp_path):
+    from strikepath.operators import bars, enrich
+    from strikepath.sources import colocated
+
+    rows = adapters.contract_quotes(spark, sf_dir).select("ticker", "second", "observed_at", "underlying_value")
+    found = bars.trade_bars(adapters.trades(spark, sf_dir))
+    panel = colocated.write_colocated(rows, str(tmp_path / "panel"), ["second"], 5, ["ticker"])
+    trades = colocated.write_colocated(found, str(tmp_path / "trades"), ["second"], 5)
+    assert len(glob.glob(f"{tmp_path}/panel/*.parquet")) == 5 and not [t for t in spark.catalog.listTables() if t.name.startswith("colocated")]
+    # Small sides would be broadcast; this is about large ones.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich.with_trades_of_second(panel, trades)
+        got = sorted(map(str, joined.select("ticker", "observed_at", "underlying_trade_price").collect()))
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    wanted = enrich.attach_trades_by_second(rows, found).select("ticker", "observed_at", "underlying_trade_price")
+    assert got == sorted(map(str, wanted.collect()))

@@ -430,3 +430,13 @@ def test_values_of_any_size_order_ticks_without_a_place(make):
     rows = [("2024-01-01", "A", x) for x in (5e11, 6e11, 1.0)]
     df = make(rows, "t string, symbol string, price double").selectExpr("cast(t AS timestamp) AS ts_event", "price", "1d AS size", "symbol")
     assert bars.trade_bars(df).first().underlying_trade_price == 6e11
+
+
+def test_distinct_counts_without_expanding_rows(spark, make):
+    rows = [("w", "a", 1), ("w", "a", 2), ("w", None, 1), ("w", "b", None), (None, "a", 1), ("v", None, None)]
+    df = make(rows, "week string, name string, n int")
+    counted = summary.distinct_counts(df, ["week"], ["name", "n"], ["name"])
+    assert sorted(map(tuple, counted.collect()), key=str) == sorted([("w", 3, 2), (None, 1, 1), ("v", 1, 0)], key=str)
+    assert "Expand" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    many = spark.range(50_000).selectExpr("id % 3 AS g", "id % 7001 AS a", "concat('x', id % 97) AS b")
+    assert sorted(map(tuple, summary.distinct_counts(many, ["g"], ["a", "b"]).collect())) == [(g, 7001, 97) for g in range(3)]
