@@ -131,6 +131,22 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op11_repeats": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 50)) AS p FROM d WHERE length(h) >= 100)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+r AS (SELECT w.doc_id, w.p FROM w JOIN f USING (s) WHERE w.doc_id > f.first),
+b AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 1 ELSE 0 END AS new FROM r),
+g AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM b),
+x AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS z FROM g GROUP BY doc_id, span),
+y AS (SELECT x.*, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM x),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept, max(z) AS last,
+             sum(z - a) AS n_removed, count(*) AS n_spans FROM y JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""",
     "op12_lexical": r"""
 WITH w AS (
   SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

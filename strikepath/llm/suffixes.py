@@ -30,6 +30,22 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1], dtype=np.int32) + np.repeat(starts - ends + counts, counts).astype(np.int32, copy=False)
 
 
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    new = np.empty(len(values), bool)
+    new[:1] = True
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new.nonzero()[0]
+
+
+def _lengths(starts: np.ndarray, end: int) -> np.ndarray:
+    """From each start to the next, and from the last to the end."""
+    out = np.empty(len(starts), starts.dtype)
+    np.subtract(starts[1:], starts[:-1], out=out[:-1])
+    out[-1] = end - starts[-1]
+    return out
+
+
 def suffix_order(text: np.ndarray, string_starts: np.ndarray, block_starts: np.ndarray) -> np.ndarray:
     """Positions of ``text`` block by block, each block's in the order of their suffixes within their strings.
 
@@ -79,18 +95,19 @@ def suffix_order(text: np.ndarray, string_starts: np.ndarray, block_starts: np.n
         to, size = to[real], length[members[real]]
         if not len(to):
             continue
-        # Positions pointed at, by their group, then by how often.
-        by = np.argsort(to, kind="stable")
+        # Positions pointed at, by their group, then by how often; one position is pointed at from one group only.
+        by = to.argsort()
         to, size = to[by], size[by]
-        one = np.flatnonzero(np.diff(to, prepend=-1))
-        often = np.diff(one, append=len(to))
+        one = _starts(to)
+        often = _lengths(one, len(to))
         to, size = to[one], size[one]
-        length[to] += often * size
+        length[to] += (often * size).astype(np.int32)
         home = group[to]
-        by = np.lexsort((often, home))
-        to, often, home = to[by], often[by], home[by]
-        run = np.flatnonzero(np.diff(home, prepend=-1))
-        many = np.diff(run, append=len(to))
+        both = (home.astype(np.int64) << 32) | often
+        by = both.argsort()
+        to, home, both = to[by], home[by], both[by]
+        run = _starts(home)
+        many = _lengths(run, len(to))
         owner = home[run]
         upper = owner + sizes[owner] - many
         slots = _spread(upper, many)
@@ -98,16 +115,18 @@ def suffix_order(text: np.ndarray, string_starts: np.ndarray, block_starts: np.n
         pointed[to] = True
         held = order[slots]
         moved = held[~pointed[held]]
-        was = place[to]
-        free = was[was < np.repeat(upper, many)]
-        order[free], place[moved] = moved, free
+        if len(moved):
+            was = place[to]
+            free = was[was < np.repeat(upper, many)]
+            order[free], place[moved] = moved, free
         order[slots], place[to] = to, slots
         pointed[to] = False
-        sizes[owner] -= many
-        new = np.flatnonzero((np.diff(home, prepend=-1) != 0) | (np.diff(often, prepend=-1) != 0))
-        more = np.diff(new, append=len(to))
-        sizes[slots[new]] = more
-        group[to] = np.repeat(slots[new], more)
+        sizes[owner] -= many.astype(np.int32)
+        new = _starts(both)
+        more = _lengths(new, len(to))
+        head = slots[new]
+        sizes[head] = more
+        group[to] = np.repeat(head, more)
 
     return _emit(order, place, group, sizes, length, string_starts, block_starts)
 
@@ -137,11 +156,20 @@ def _emit(order, place, group, sizes, length, string_starts, block_starts) -> np
     by = np.argsort(step, kind="stable")
     heads = heads[by]
     bounds = np.flatnonzero(np.diff(step[by], prepend=-1, append=-1))
+    # Group, repeats and place in one number where they fit.
+    bits = int(n + 1).bit_length()
+    high = bits + int(repeats.max()).bit_length()
+    fits = high + int(len(heads) + 1).bit_length() < 63
     for a, b in zip(bounds, bounds[1:]):
         own = heads[a:b]
         slots = _spread(own, sizes[own])
         members = order[slots]
-        members = members[np.lexsort((place[beyond[members]], repeats[members], group[members]))]
+        after = place[beyond[members]]
+        if fits:
+            rank = (np.repeat(np.arange(b - a, dtype=np.int64), sizes[own]) << high) | (repeats[members] << bits) | (after + 1)
+            members = members[rank.argsort()]
+        else:
+            members = members[np.lexsort((after, repeats[members], group[members]))]
         order[slots] = members
         place[members] = slots
     return order
