@@ -113,7 +113,7 @@ def _arrays(sets: list[np.ndarray]) -> pa.Array:
 
 def _sketch(width: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, rows=2000, chars=8_000_000):
+        for batch in slices(batches, rows=2000, chars=2_000_000):
             sets = shingler(width).sets(texts_of(batch))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([_set_id(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), _arrays([s[:k] for s in sets])],

@@ -146,7 +146,7 @@ def _cut(vocabulary: str, window: int) -> Callable[[Iterator[pa.RecordBatch]], I
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
-        for batch in slices(batches, rows=4000, chars=16_000_000):
+        for batch in slices(batches, rows=4000, chars=4_000_000):
             rows = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch)), strict=True):
                 ids += end
