@@ -8,7 +8,8 @@ where the template would begin; places on which enough anchors agree are
 candidates, and a candidate counts when its mandatory phrases stand there.
 
 Phrases of the base set are templates of their own, found in the same way at
-every place where their words stand consecutively.
+every place where their words stand consecutively. A template that is nothing but
+its phrase has one anchor. The registered query has a base set of its own.
 
 Defined results: a null or empty text has no words and no labels; repeated rows
 each get a row; an empty input gives no row; further columns are ignored.
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -91,6 +92,12 @@ TEMPLATES = (
     Template("unlicense", "This is free and unencumbered software released into the public domain", ("free and unencumbered software released into the public domain",)),
 )
 
+# The registered query's base phrase of this licence is longer; its name alone is a template of the method there.
+QUERY_TEMPLATES = (
+    Template("mit", "under the MIT license", ("under the MIT license",), base=True),
+    *[replace(t, base=t.base and t.label != "mit") for t in TEMPLATES],
+)
+
 
 class Index:
     """Postings of the templates' anchors, given how many of ``documents`` hold each word."""
@@ -103,9 +110,9 @@ class Index:
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         idf = lambda w: math.log((documents + 1) / (frequency.get(w, 0) + 1))
         for k, words in enumerate(self.words):
-            rare = sorted(set(words), key=lambda w: (-idf(w), w))[: 1 if templates[k].base else anchors]
-            # A base phrase is verified whole at each place of its rarest word.
-            self.need.append(1 if templates[k].base else max(1, len(rare) // 2))
+            # A phrase is verified whole at each place of its rarest word.
+            rare = sorted(set(words), key=lambda w: (-idf(w), w))[: 1 if templates[k].base or self.phrases[k] == [words] else anchors]
+            self.need.append(max(1, len(rare) // 2))
             for at, w in enumerate(words):
                 if w in rare:
                     self.postings[w].append((k, at))

@@ -27,7 +27,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of every document."""
-    found = licenses.scan(read(spark, sf_dir, "documents"))
+    found = licenses.scan(read(spark, sf_dir, "documents"), licenses.QUERY_TEMPLATES)
     return found.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",

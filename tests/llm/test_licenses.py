@@ -2,6 +2,7 @@ import re
 
 from conftest_llm import clashing, documents, ODD
 from strikepath.llm import licenses
+from strikepath.llm.queries import QUERIES
 
 PHRASES = {"mit": "the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 TEXTS = [
@@ -40,3 +41,19 @@ def test_base_equals_brute_force_and_templates_add_labels(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
+
+
+def test_query_counts_its_own_phrases(spark, tmp_path, monkeypatch):
+    """Its base phrase is "under the mit license"; the licence's name alone still labels."""
+    monkeypatch.setitem(PHRASES, "mit", "under the mit license")
+    more = ["x under the MIT license, Under-The_MIT/License", "under the mit", "under the mit, under the mit license, version 2", "CC BY NC under the MIT License", "see the MIT license"]
+    rows = [*enumerate(TEXTS + more), *[(100 + i, t) for i, (_, t) in enumerate(ODD)]]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in QUERIES["op2_licenses"](spark, str(tmp_path)).collect()}
+    for i, text in rows:
+        *counts, labels = brute(text)
+        r = out[i]
+        assert [r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]] == [*counts, ",".join(labels)], text
+        assert set(labels) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+    assert (out[0]["n_base"], out[0]["first_word"], out[7]["n_base"], out[7]["last_word"]) == (1, 0, 2, 5)
+    assert (out[8]["labels"], out[11]["n_base"], out[11]["labels"], out[11]["score"]) == ("", 0, "mit", 1.0)
