@@ -33,8 +33,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
-def quotes(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
-    """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``; with their place in the file where asked."""
+def _events(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
+    """Events with ``k`` and their week ``wk``; with their place in the file where asked."""
     events = load(spark, sf_dir, "events")
     return (tables.with_source_row(events) if placed else events).selectExpr(
         *([SOURCE_ROW] if placed else []),
@@ -44,8 +44,15 @@ def quotes(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
         "event_type",
         "value",
         "cast(get_json_object(props, '$.k') AS int) AS k",
-        "1e5 + value * 10 AS px",
         "date_trunc('WEEK', ts) AS wk",
+    )
+
+
+def quotes(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
+    """Events with the terms every role shares: ``k``, ``px``, ``wk``, ``w15``; with their place in the file where asked."""
+    return _events(spark, sf_dir, placed).selectExpr(
+        "*",
+        "1e5 + value * 10 AS px",
         "timestamp_seconds(unix_seconds(ts) - pmod(unix_seconds(ts), 900)) AS w15",
     )
 
@@ -121,11 +128,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.conform(df, roles.LABELS)
 
 
-def _panel_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panel columns that come straight from one event."""
+def _panel_base(events: DataFrame, *further: str) -> DataFrame:
+    """Panel columns that come straight from one event, and ``further`` ones as they are."""
     return (
-        quotes(spark, sf_dir)
-        .selectExpr("*", "unix_micros(ts) - unix_micros(wk) AS elapsed")
+        events.selectExpr("*", "1e5 + value * 10 AS px", "unix_micros(ts) - unix_micros(wk) AS elapsed")
         .selectExpr("*", f"({WEEK_MICROS} - elapsed) * {LIFE_SECONDS}e0 / {WEEK_MICROS} AS left_s", "px - 100500 AS gap")
         .selectExpr(
             "concat('C', user_id, '-', date_format(wk, 'yyyyMMdd')) AS ticker",
@@ -172,8 +178,8 @@ def _panel_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             "true AS is_valid_spread",
             f"CASE WHEN ts < timestamp '{PERIOD_SPLIT}' THEN 'early' ELSE 'late' END AS data_source_period",
             "ts AS observed_at",
-            "user_id",
             "wk",
+            *further,
         )
     )
 
@@ -186,20 +192,28 @@ QUOTE_PANEL = T.StructType([f for f in PANEL.fields if f.name not in DECISION_CO
 
 def contract_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel without its decision columns: one scan, no join."""
-    return roles.conform(_panel_base(spark, sf_dir), QUOTE_PANEL)
+    return roles.conform(_panel_base(_events(spark, sf_dir)), QUOTE_PANEL)
 
 
 def contract_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole panel. ``observed_at`` orders rows that share a second."""
+    """The whole panel. ``observed_at`` orders rows that share a second.
+
+    Events meet their decision as they are read and get the panel's columns after
+    it, so the exchange carries six short columns and not fifty. Events without a
+    user or a time match nothing and are dealt over all tasks. The decisions have
+    an exchange of their own, which lets adaptive execution split a large contract.
+    """
+    keyless = F.col("user_id").isNull() | F.col("wk").isNull()
+    events = _events(spark, sf_dir).withColumn(
+        "deal", F.when(keyless, F.xxhash64("event_id", "user_id", "ts", "value", "event_type")).otherwise(0)
+    )
     decided = (
-        quotes(spark, sf_dir)
-        .where(F.col("k") >= DECIDED_AT)
+        events.where(F.col("k") >= DECIDED_AT)
         .groupBy("user_id", "wk")
-        .agg(F.min("ts").alias("decision_time"))
+        .agg(F.min("ts").alias("decision_time"), F.min("deal").alias("deal"))
     )
     df = (
-        _panel_base(spark, sf_dir)
-        .join(decided, ["user_id", "wk"], "left")
+        _panel_base(events.join(decided, ["user_id", "wk", "deal"], "left"), "decision_time")
         .selectExpr(
             "*",
             "decision_time IS NOT NULL AS decision_found",

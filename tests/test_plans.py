@@ -82,3 +82,53 @@ def test_views_read_every_row_of_a_large_week(spark):
     shown = views.distance_histogram(panel_rows)
     assert shown.agg(F.sum("count")).first()[0] == 160_000
     assert inspect.signature(weekly_contracts.products).parameters["cap"].default is None
+
+
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def test_panel_exchanges_events_and_not_its_columns(spark, tmp_path):
+    """The join of the decisions deals out the short rows of events; the decisions come from an exchange of their own."""
+    spark.createDataFrame([], EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "-1")
+    try:
+        plan = initial(adapters.contract_1s(spark, str(tmp_path)))
+    finally:
+        spark.conf.set(name, before)
+    below = plan[plan.index("SortMergeJoin") :]
+    assert not any(c in below for c in ("ticker", "log_moneyness", "best_bid", "px"))
+    assert below.count("Exchange hashpartitioning(user_id") == 3 and re.search(r"Exchange hashpartitioning\(user_id#\d+L?, wk#\d+, deal#", below)
+
+
+def test_panel_of_events_without_user_or_time(spark, tmp_path):
+    """They keep their rows, find no decision and are dealt apart; repeated and undecided rows stay as well."""
+    at = "2024-01-0{} 10:00:0{}"
+    rows = [
+        (1, at.format(2, 0), 7, 50), (2, at.format(2, 1), 7, 97), (3, at.format(2, 2), 7, 10), (3, at.format(2, 2), 7, 10), (4, at.format(9, 0), 7, 20),
+        (5, None, 7, 99), (6, at.format(2, 0), 8, None), (None, None, None, 99), *[(100 + i, at.format(2, i), None, 99) for i in range(9)],
+    ]
+    events = spark.createDataFrame([(e, t, u, "click", 1.5, f'{{"k": {k}}}' if k is not None else None) for e, t, u, k in rows], "event_id long, ts string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    try:
+        for limit in ("-1", before):
+            spark.conf.set(name, limit)
+            df = adapters.contract_1s(spark, str(tmp_path))
+            cells = df.selectExpr("ticker", "cast(observed_at AS string)", "cast(yes_state_cents AS int)", "decision_found", "cast(decision_time AS string)", "is_after_decision", "underlying_value")
+            found.append(sorted(map(str, map(tuple, cells.collect()))))
+    finally:
+        spark.conf.set(name, before)
+
+    def decided(user, t):
+        return user == 7 and t is not None and t.startswith("2024-01-02")
+
+    expected = [
+        (
+            f"C{u}-{'20240108' if t.startswith('2024-01-09') else '20240101'}" if u is not None and t is not None else None,
+            t, k, decided(u, t), at.format(2, 1) if decided(u, t) else None, decided(u, t) and t >= at.format(2, 1), 100015.0,
+        )
+        for _, t, u, k in rows
+    ]
+    assert found == [sorted(map(str, expected))] * 2
